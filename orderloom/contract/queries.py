@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import batch_id, normalise_name, target_table
 from ..operators import checks, clean, evolve, incremental, keys, rollups
-from ..plans import intermediate, marts, operations, staging
+from ..plans import ingest, intermediate, marts, operations, staging
+from ..session import scratch_dir
+from ..sources.raw import read_raw
 from . import bindings as raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,7 +238,13 @@ def duplicate_rows(spark, sf):
 
 
 def ingest_csv_roundtrip(spark, sf):
-    return operations.csv_round_trip(raw.table(spark, sf, "customer"), "customer")
+    """Write a table as CSV drops, ingest them, and read the raw table back, typed."""
+    customer = raw.table(spark, sf, "customer")
+    base = scratch_dir(spark, "round-trip")
+    customer.write.option("header", True).option("escape", '"').csv(f"{base}/landing")
+    ingest.ingest(spark, f"{base}/landing", f"{base}/warehouse", datetime(2024, 1, 1),
+                  ingest.IngestOptions(tables={"part-": "customer"}))
+    return read_raw(spark, f"{base}/warehouse", "customer").select(*customer.columns)
 
 
 # --- quality ----------------------------------------------------------------

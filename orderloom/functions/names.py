@@ -8,6 +8,11 @@ from pyspark.sql import Column, functions as F
 DATE_WORDS = ("date", "time", "_at", "timestamp")
 
 
+def col(name: str) -> Column:
+    """A column by its exact name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def normalise_name(name: Column) -> Column:
     """Trim, lower-case, and turn spaces into underscores."""
     return F.replace(F.lower(F.trim(name)), F.lit(" "), F.lit("_"))

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import col
 from ..functions.values import TYPE_ORDER, fits, null_if_token, parse_date
 
 
 def drop_all_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows in which every (named) column is NULL."""
-    return df.dropna(how="all", subset=list(columns) if columns else None)
+    return df.where(reduce(or_, [col(c).isNotNull() for c in columns or df.columns]))
 
 
 def apply_null_tokens(df: DataFrame, columns: Iterable[str],
                       keep: Iterable[str] = ()) -> DataFrame:
     """Turn missing-value tokens into NULL, except in the ``keep`` columns."""
     keep = set(keep)
-    return df.withColumns({c: null_if_token(F.col(c)) for c in columns if c not in keep})
+    return df.withColumns({c: null_if_token(col(c)) for c in columns if c not in keep})
 
 
 def select_not_null(df: DataFrame, key: str, renames: dict[str, str]) -> DataFrame:
@@ -34,7 +37,7 @@ def type_counts(columns: Sequence[str], date_columns: Sequence[str] = ()) -> lis
     """
     out = []
     for c in columns:
-        value = F.col(c)
+        value = col(c)
         out.append(F.count(value).alias(f"{c}::n_values"))
         out += [F.count_if(fits(value, t)).alias(f"{c}::{t}") for t in TYPE_ORDER]
         if c in date_columns:

@@ -1,0 +1,247 @@
+"""CSV drops, one behaviour each."""
+
+import hashlib
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+GOOD = " Order ID ,Amount,Order Date\n1,10.5,2024-01-01\n2,11,2024-01-02\n,,\n"
+
+
+def test_first_load_names_types_and_counts(drops):
+    drops.put("orders_20240101.csv", GOOD)
+    log = drops.load()["orders_20240101.csv"]
+    assert (log["table_name"], log["status"]) == ("orders", "SUCCESS")
+    assert (log["rows_read"], log["rows_loaded"], log["rows_rejected"]) == (3, 2, 1)
+    assert log["batch_id"] == hashlib.md5(b"orders_20240101.csv").hexdigest()[:8]
+    assert log["file_size"] == len(GOOD)
+    assert drops.table("orders").dtypes == [
+        ("order_id", "bigint"), ("amount", "double"), ("order_date", "timestamp_ntz"),
+        ("_ingested_at", "timestamp_ntz"), ("_source_file", "string"), ("_batch_id", "string")]
+    assert drops.rows("orders", "order_id", "amount", "order_date", "_batch_id") == [
+        (1, 10.5, datetime(2024, 1, 1), log["batch_id"]),
+        (2, 11.0, datetime(2024, 1, 2), log["batch_id"])]
+
+
+def test_loaded_files_are_skipped(drops):
+    drops.put("orders_20240101.csv", GOOD)
+    drops.load()
+    assert drops.load() == {}
+    assert drops.table("orders").count() == 2
+
+
+def test_added_column_is_null_in_old_rows(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,1\n")
+    drops.load()
+    drops.put("orders_20240102.csv", "order_id,amount,channel\n2,2,web\n")
+    drops.load()
+    assert drops.rows("orders", "order_id", "amount", "channel") == [(1, 1, None), (2, 2, "web")]
+    registry = drops.audit().registry().orderBy("version").collect()
+    assert [r["is_active"] for r in registry] == [False, True]
+    assert registry[1]["column_order"] == ["order_id", "amount", "channel"]
+
+
+def test_unchanged_schema_is_registered_once(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,1\n")
+    drops.put("orders_20240102.csv", "order_id,amount\n2,1\n")
+    drops.load()
+    drops.put("orders_20240103.csv", "order_id,amount\n3,1\n")
+    drops.load()
+    assert drops.audit().registry().count() == 1
+
+
+def test_missing_column_is_loaded_and_quarantined(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,1\n")
+    drops.load()
+    drops.put("orders_20240103.csv", "order_id\n3\n")
+    assert drops.load()["orders_20240103.csv"]["status"] == "SUCCESS"
+    assert drops.rows("orders", "order_id", "amount") == [(1, 1), (3, None)]
+    aside = drops.audit().quarantined().collect()
+    assert [(r["source_file"], r["reason"], r["record"]) for r in aside] == [
+        ("orders_20240103.csv", "columns removed: ['amount']", '{"order_id":"3","amount":null}')]
+
+
+def test_reordered_columns_bind_by_name(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,10\n")
+    drops.put("orders_20240104.csv", "amount,order_id\n40,4\n")
+    drops.load()
+    assert drops.rows("orders", "order_id", "amount") == [(1, 10), (4, 40)]
+
+
+def test_ragged_file_fails_whole_and_may_be_retried(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,10\n")
+    drops.put("orders_20240105.csv", "order_id,amount\n5\n6,60\n7,70,extra\n")
+    log = drops.load()
+    assert log["orders_20240101.csv"]["status"] == "SUCCESS"
+    assert log["orders_20240105.csv"]["status"] == "FAILED"
+    assert log["orders_20240105.csv"]["rows_loaded"] == 0
+    assert drops.rows("orders", "order_id") == [(1,)]
+    assert sorted(r["record"] for r in drops.audit().quarantined().collect()) == [
+        "5", "6,60", "7,70,extra", "order_id,amount"]
+    drops.put("orders_20240105.csv", "order_id,amount\n5,50\n6,60\n")
+    assert drops.load()["orders_20240105.csv"]["status"] == "SUCCESS"
+    assert drops.rows("orders", "order_id") == [(1,), (5,), (6,)]
+
+
+def test_type_conflict_fails_and_widening_does_not(drops):
+    drops.put("orders_20240101.csv", "order_id,amount\n1,10\n")
+    drops.load()
+    drops.put("orders_20240106.csv", "order_id,amount\n6,lots\n")
+    drops.put("orders_20240107.csv", "order_id,amount\n7,7.5\n")
+    log = drops.load()
+    assert log["orders_20240106.csv"]["message"] == (
+        "type conflict: amount is bigint, file has string")
+    assert log["orders_20240107.csv"]["status"] == "SUCCESS"
+    assert drops.rows("orders", "order_id", "amount") == [(1, 10.0), (7, 7.5)]
+
+
+def test_table_names(drops):
+    for name in ("shop_orders_dataset.csv", "shop_orders_dataset_20240101.csv", "Plain2.csv"):
+        drops.put(name, "a\n1\n")
+    assert {f: r["table_name"] for f, r in drops.load().items()} == {
+        "shop_orders_dataset.csv": "shop_orders_dataset",
+        "shop_orders_dataset_20240101.csv": "shop", "Plain2.csv": "plain2"}
+
+
+def test_explicit_table_for_a_prefix(drops):
+    drops.put("shop_orders_2024.csv", "a\n1\n")
+    assert drops.load(tables={"shop_orders": "orders"})["shop_orders_2024.csv"][
+        "table_name"] == "orders"
+
+
+def test_date_promotion_is_all_or_nothing(drops):
+    drops.put("dates.csv", "seen_date,bad_date,sentiment\n"
+              "2024-01-05,2024-01-05,good\n01/06/2024,soon,bad\n"
+              "13/01/2024,2024-01-06,good\n\"Jan 8, 2024\",2024-01-07,bad\n")
+    log = drops.load()["dates.csv"]
+    assert log["promoted"] == ["seen_date"]
+    assert dict(drops.table("dates").dtypes)["bad_date"] == "string"
+    assert dict(drops.table("dates").dtypes)["sentiment"] == "string"
+    assert drops.rows("dates", "seen_date") == [
+        (datetime(2024, 1, d),) for d in (13, 5, 6, 8)]
+
+
+def test_colliding_and_reserved_headers_fail(drops):
+    drops.put("dup_headers.csv", "A b,a_b\n1,2\n")
+    drops.put("reserved.csv", "_batch_id,x\n1,2\n")
+    drops.put("unnamed.csv", "a,,b\n1,2,3\n")
+    drops.put("empty.csv", "")
+    log = drops.load()
+    assert log["dup_headers.csv"]["message"] == "column names collide: ['a_b']"
+    assert log["reserved.csv"]["message"] == "reserved column names: ['_batch_id']"
+    assert log["unnamed.csv"]["message"] == "header has an empty column name"
+    assert log["empty.csv"]["message"] == "no header"
+    assert {r["status"] for r in log.values()} == {"FAILED"}
+
+
+def test_file_names_with_spaces_and_percents(drops):
+    drops.put("my items+100%25.csv", "a\n1\n")
+    assert drops.load()["my items+100%25.csv"]["message"] == ""
+    assert drops.rows("my items+100%25", "a", "_source_file") == [(1, "my items+100%25.csv")]
+    assert drops.load() == {}
+
+
+def test_header_without_rows_is_a_table(drops):
+    drops.put("items.csv", "a,b\n")
+    assert drops.load()["items.csv"]["status"] == "SUCCESS"
+    assert drops.table("items").count() == 0
+
+
+def test_pinned_text_keeps_leading_zeros(drops):
+    drops.put("zips.csv", 'zip\n"01151"\n')
+    drops.load(pinned_types={("zips", "zip"): "string"})
+    assert drops.rows("zips", "zip") == [("01151",)]
+
+
+def test_inferred_zips_lose_them_but_raw_does_not(drops):
+    from orderloom.sources.raw import read_text
+    drops.put("zips.csv", 'zip\n"01151"\n')
+    drops.load()
+    assert drops.rows("zips", "zip") == [(1151,)]
+    assert read_text(drops.spark, drops.root, "zips", ["zip"]).first()["zip"] == "01151"
+
+
+def test_missing_tokens(drops):
+    cells = "id,state\n1,NA\n2,NULL\n3,\n4,\"\"\n5,SP\n"
+    drops.put("tokens.csv", cells)
+    drops.put("kept.csv", cells)
+    drops.load(keep_tokens=frozenset({("kept", "state")}))
+    assert drops.rows("tokens", "id", "state") == [
+        (1, None), (2, None), (3, None), (4, None), (5, "SP")]
+    assert [r[1] for r in drops.rows("kept", "id", "state")][:2] == ["NA", "NULL"]
+
+
+REVIEWS = ('review_id,comment\n1,"two\nlines, one ""quoted"" word"\n2,plain\n'
+           '3,"a\n\n""b"""\n4,5" pipe\n')
+
+
+def test_free_text_with_newlines_and_quotes(drops):
+    drops.put("reviews.csv", REVIEWS)
+    assert drops.load()["reviews.csv"]["rows_loaded"] == 4
+    assert drops.rows("reviews", "review_id", "comment") == [
+        (1, 'two\nlines, one "quoted" word'), (2, "plain"), (3, 'a\n\n"b"'), (4, '5" pipe')]
+
+
+def test_only_files_with_open_quotes_are_read_whole(drops):
+    from orderloom.sources.landing import list_files, profile_files
+    drops.put("plain.csv", 'a,b\n"x, ""y""",1\n"",2\n')
+    drops.put("spans.csv", 'a,b\n"x\ny",1\n')
+    drops.put("stray.csv", 'a,b\n5" pipe,1\n')
+    paths = [r["path"] for r in list_files(drops.spark, str(drops.landing)).collect()]
+    found = {r["source_file"]: r["open_lines"] for r in profile_files(drops.spark, paths).collect()}
+    assert found == {"plain.csv": 0, "spans.csv": 2, "stray.csv": 1}
+
+
+def test_duplicate_rows_are_counted_on_request(drops):
+    drops.put("items.csv", "a,b\n1,x\n1,x\n2,y\n1,x\n")
+    assert drops.load(count_duplicates=True)["items.csv"]["rows_duplicate"] == 2
+
+
+def test_content_batch_id_follows_the_content(drops):
+    drops.put("one.csv", "a\n1\n")
+    drops.put("two.csv", "a\n1\n")
+    drops.put("three.csv", "a\n2\n")
+    log = drops.load(batch_from_content=True)
+    assert log["one.csv"]["batch_id"] == log["two.csv"]["batch_id"] != log["three.csv"]["batch_id"]
+    assert drops.rows("one", "_batch_id") == [(log["one.csv"]["batch_id"],)]
+
+
+def test_rerun_after_a_crash_before_logging_does_not_repeat_rows(drops, monkeypatch):
+    from orderloom.sources.audit import Audit
+    drops.put("orders_1.csv", "id\n1\n2\n")
+    append = Audit.append
+
+    def crash(self, name, rows):
+        rows = list(rows)
+        if name == "ingestion_log" and rows:
+            raise RuntimeError("lost")
+        append(self, name, rows)
+
+    monkeypatch.setattr(Audit, "append", crash)
+    try:
+        drops.load()
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    drops.load()
+    assert drops.rows("orders", "id") == [(1,), (2,)]
+
+
+def test_empty_or_absent_folder(drops, tmp_path):
+    assert drops.load() == {}
+    drops.landing = tmp_path / "nowhere"
+    assert drops.load() == {}
+
+
+def test_log_written_before_a_column_existed_reads_as_null(drops):
+    drops.audit().ensure()
+    old = drops.spark.sql("select 'orders' table_name, 'SUCCESS' status")
+    old.write.mode("append").parquet(f"{drops.root}/audit/ingestion_log")
+    log = drops.audit().read("ingestion_log")
+    assert log.where(F.col("source_file").isNull()).count() == 1
+
+
+def test_names_with_dots(drops):
+    drops.put("dots.csv", "a.b,c\n1,\n,\n")
+    assert drops.load()["dots.csv"]["rows_rejected"] == 1
+    assert drops.rows("dots", "`a.b`") == [(1,)]
