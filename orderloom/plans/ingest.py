@@ -19,9 +19,12 @@ from ..sources.audit import Audit
 from ..sources.landing import (CORRUPT, header_names, list_files, profile_files, read_rows,
                                text_lines)
 from ..sources.raw import write_raw
+from ..sources.spanning import read_spanning, unfit_files
 from .operations import pending_files
 
 TABLE_THREADS = 4
+# How a file is read: split at line ends, whole, or split with its records put together.
+LINES, WHOLE, JOINED = "lines", "whole", "joined"
 _LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_batch_id": "string"}
 
 
@@ -39,6 +42,8 @@ class IngestOptions:
     spanning: Mapping[str, bool] = field(default_factory=dict)
     # Batch id from the file's name, or from its content.
     batch_from_content: bool = False
+    # Files with records spanning lines are read whole, one task each, up to this size.
+    whole_file_bytes: int = 256 * 1024 * 1024
     # Count surplus copies of rows per file; costs a shuffle.
     count_duplicates: bool = False
 
@@ -51,7 +56,7 @@ class _File:
     table: str
     batch: str
     columns: list[str]
-    spanning: bool
+    reading: str
     stats: Row | None = None
     copies: int | None = None
     error: str | None = None
@@ -121,7 +126,10 @@ def _describe(listed: Row, profile: Row | None, options: IngestOptions) -> _File
     file = _File(
         path=listed["path"], name=listed["source_file"], size=listed["file_size"], table=table,
         batch=profile["content_id"] if by_content else listed["name_id"], columns=names,
-        spanning=options.spanning.get(table, bool(profile and profile["open_lines"])))
+        reading=WHOLE if options.spanning.get(table, bool(profile and profile["open_lines"]))
+        else LINES)
+    if file.reading == WHOLE and file.size > options.whole_file_bytes:
+        file.reading = JOINED
     reserved = [n for n in names if n in (*LINEAGE, CORRUPT)]
     if not names:
         file.error = "no header"
@@ -146,9 +154,14 @@ class _Load:
     def table(self, files: list[_File]) -> list[tuple]:
         """Load one table's files; returns its new registry rows."""
         readable = [f for f in files if not f.error]
+        joined = [f for f in readable if f.reading == JOINED]
+        if joined:
+            unfit = unfit_files(self.spark, [f.path for f in joined])
+            for file in joined:
+                file.reading = WHOLE if file.name in unfit else JOINED
         groups: dict[tuple, list[_File]] = defaultdict(list)
         for file in readable:
-            groups[(tuple(file.columns), file.spanning)].append(file)
+            groups[(tuple(file.columns), file.reading)].append(file)
         for group in groups.values():
             self._attempt(self._measure, group)
         registered = self._decide(readable)
@@ -169,7 +182,11 @@ class _Load:
 
     def _rows(self, files: list[_File]) -> DataFrame:
         first = files[0]
-        rows = read_rows(self.spark, [f.path for f in files], first.columns, first.spanning)
+        paths = [f.path for f in files]
+        if first.reading == JOINED:
+            rows = read_spanning(self.spark, paths, first.columns)
+        else:
+            rows = read_rows(self.spark, paths, first.columns, first.reading == WHOLE)
         keep = {c for t, c in self.options.keep_tokens if t == first.table}
         return apply_null_tokens(rows, first.columns, keep)
 

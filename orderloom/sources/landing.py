@@ -22,7 +22,7 @@ def missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _file_name() -> Column:
+def file_name() -> Column:
     """Name of the file a row is read from; the metadata column holds it URI-encoded."""
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
@@ -53,11 +53,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of the files with the file name and the start of the split they are in."""
     return spark.read.text(list(paths)).select(
-        _file_name().alias("source_file"),
+        file_name().alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def _open_ended(line: Column) -> Column:
+def open_ended(line: Column) -> Column:
     """Whether a line has quotes other than whole quoted fields.
 
     If no line of a file has, no record of it spans lines.
@@ -73,7 +73,7 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     lines = text_lines(spark, paths)
     counted = lines.groupBy("source_file").agg(
-        F.count_if(_open_ended(F.col("value"))).alias("open_lines"),
+        F.count_if(open_ended(F.col("value"))).alias("open_lines"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.xxhash64("block", "value").bitwiseAND(0xFFFFFFFF)).alias("line_sum"))
     first = (lines.where((F.col("block") == 0) & (F.trim("value") != ""))
@@ -93,16 +93,16 @@ def header_names(header: str | None) -> list[str]:
 
 
 def read_rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-              spanning: bool) -> DataFrame:
+              whole: bool) -> DataFrame:
     """Rows of files sharing one header, every column as text.
 
-    Rows with too few or too many cells keep their line in `CORRUPT`. Files whose
-    records may span lines are read whole, one task per file; all others split.
+    Rows with too few or too many cells keep their line in `CORRUPT`. With
+    ``whole`` a record may span lines and each file is one task; else files split.
     """
     schema = StructType([StructField(c, StringType()) for c in [*columns, CORRUPT]])
     rows = (spark.read.schema(schema)
-            .option("header", True).option("multiLine", spanning)
+            .option("header", True).option("multiLine", whole)
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .csv(list(paths)))
-    return rows.select(*map(col, columns), CORRUPT, _file_name().alias("_source_file"))
+    return rows.select(*map(col, columns), CORRUPT, file_name().alias("_source_file"))
