@@ -110,7 +110,7 @@ def _new_files(spark: SparkSession, audit: Audit, landing: str,
     table = target_table(name)
     for prefix, target in options.tables.items():
         table = F.when(name.startswith(prefix), target).otherwise(table)
-    pending = (pending_files(list_files(spark, landing), audit.read("ingestion_log"))
+    pending = (pending_files(list_files(spark, landing), audit.processed())
                .select("*", table.alias("table_name"), batch_id(name).alias("name_id")).collect())
     if not pending:
         return []

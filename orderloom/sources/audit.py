@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keys import latest_per_key
@@ -62,6 +62,17 @@ class Audit:
     def read(self, name: str) -> DataFrame:
         return read_or_empty(self.spark, self._path(name), TABLES[name])
 
+    def processed(self) -> DataFrame:
+        """Files that are loaded: a SUCCESS row and no later reopening."""
+        def last(status: str) -> Column:
+            return F.max(F.when(F.col("status") == status, F.col("ingested_at")))
+
+        return (self.read("ingestion_log").groupBy("source_file")
+                .agg(last("SUCCESS").alias("loaded"), last("REOPENED").alias("reopened"))
+                .where(F.col("reopened").isNull() | (F.col("loaded") > F.col("reopened")))
+                .where(F.col("loaded").isNotNull())
+                .select("source_file", F.lit("SUCCESS").alias("status")))
+
     def registry(self) -> DataFrame:
         """Every registered schema as JSON too, the newest of each table marked active."""
         newest = F.max("version").over(Window.partitionBy("table_name"))

@@ -33,9 +33,10 @@ def read_text(spark: SparkSession, root: str, table: str, columns: list[str]) ->
     return read_or_empty(spark, raw_path(root, table), StructType(business + LINEAGE))
 
 
-def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A raw table with its registered types."""
-    schemas = Audit(spark, root).active_schemas()
+def read_raw(spark: SparkSession, root: str, table: str,
+             schemas: dict[str, tuple[int, dict[str, str]]] | None = None) -> DataFrame:
+    """A raw table with its registered types, looked up unless given."""
+    schemas = Audit(spark, root).active_schemas() if schemas is None else schemas
     if table not in schemas:
         raise ValueError(f"no raw table {table!r}")
     _, columns = schemas[table]
