@@ -211,7 +211,8 @@ def batch_history(spark, sf):
         F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
 
 
-SRC6 = F.substring(F.md5(F.lit("src6").cast("binary")), 1, 8)
+def _src6():
+    return batch_id(F.lit("src6"))
 
 
 def _document_heads(spark, sf):
@@ -219,12 +220,12 @@ def _document_heads(spark, sf):
 
 
 def batch_rollback(spark, sf):
-    return operations.without_batch(_document_heads(spark, sf), SRC6)
+    return operations.without_batch(_document_heads(spark, sf), _src6())
 
 
 def batch_reprocess(spark, sf):
     return operations.reprocess_batch(
-        _document_heads(spark, sf), SRC6, "doc_id",
+        _document_heads(spark, sf), _src6(), "doc_id",
         lambda batch: batch.withColumn("lang", F.upper("lang")), [F.asc("lang")])
 
 
