@@ -21,18 +21,17 @@ TIMESTAMP = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 # Narrowest first: the first type every value fits is the column's type.
 TYPE_ORDER = ("bigint", "double", "boolean", "timestamp_ntz")
 
-# Date shapes tried after ISO. Month comes first, then day, when both could fit.
-DATE_FORMATS = (
-    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a",
-    "d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss",
-    "yyyy/M/d", "yyyy/M/d H:mm", "yyyy/M/d H:mm:ss",
-    "M-d-yyyy", "M-d-yyyy H:mm", "M-d-yyyy H:mm:ss",
-    "d-M-yyyy", "d-M-yyyy H:mm", "d-M-yyyy H:mm:ss",
-    "M.d.yyyy", "M.d.yyyy H:mm:ss", "d.M.yyyy", "d.M.yyyy H:mm:ss",
-    "d MMM yyyy", "d MMM yyyy H:mm:ss", "d-MMM-yyyy", "d-MMM-yyyy H:mm:ss",
-    "MMM d, yyyy", "MMM d, yyyy H:mm:ss", "MMM d yyyy",
-    "d MMMM yyyy", "MMMM d, yyyy", "yyyyMMdd",
-)
+# Shapes of a day that is not ISO, and the ISO day or ``d MMM yyyy`` each turns into.
+# Month comes before day wherever both orders could be meant.
+_MONTH_FIRST = (r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})$", "$3-$1-$2")
+_DAY_FIRST = (_MONTH_FIRST[0], "$3-$2-$1")
+_YEAR_FIRST = (r"^([0-9]{4})[/.]?([0-9]{1,2})[/.]?([0-9]{2}|[0-9])$", "$1-$2-$3")
+_NAMED_AFTER = (r"^([0-9]{1,2})[ -]([A-Za-z]{3})[a-z]*[ ,-]+([0-9]{4})$", "$1 $2 $3")
+_NAMED_BEFORE = (r"^([A-Za-z]{3})[a-z]*[ -]([0-9]{1,2})[ ,-]+([0-9]{4})$", "$2 $1 $3")
+# A day, then maybe a clock time, then maybe am or pm.
+_DAY_AND_CLOCK = (r"^(.+?)(?:[ T]+([0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,9})?)?)"
+                  r"(?: ?([AaPp])[Mm])?)?$")
+_LONGEST_DATE = 48
 
 MONEY_SCALE = 100
 
@@ -55,22 +54,37 @@ def fits(value: Column, type_name: str) -> Column:
     return F.lit(True)
 
 
+def _parse_day(day: Column) -> Column:
+    """Date from a non-ISO day. Only the form whose shape fits is tried."""
+    def iso(shape: tuple[str, str]) -> Column:
+        return F.regexp_replace(day, *map(F.lit, shape)).try_cast("date")
+
+    def named(shape: tuple[str, str]) -> Column:
+        return F.try_to_date(F.initcap(F.regexp_replace(day, *map(F.lit, shape))), "d MMM yyyy")
+
+    return (F.when(day.rlike(_MONTH_FIRST[0]), F.coalesce(iso(_MONTH_FIRST), iso(_DAY_FIRST)))
+            .when(day.rlike(_YEAR_FIRST[0]), iso(_YEAR_FIRST))
+            .when(day.rlike(_NAMED_AFTER[0]), named(_NAMED_AFTER))
+            .when(day.rlike(_NAMED_BEFORE[0]), named(_NAMED_BEFORE)))
+
+
 def parse_date(value: Column) -> Column:
     """Timestamp without zone from mixed text forms, NULL where none fits.
 
-    Non-ISO forms are parsed as UTC instants and turned back into wall-clock
-    time, so the session zone never shifts a value.
+    Works on wall-clock text throughout, so the session zone never shifts a value.
     """
     text = F.trim(value)
-
-    def wall_clock(fmt: str) -> Column:
-        instant = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{fmt} X"))
-        return F.timestamp_add("MICROSECOND", F.unix_micros(instant),
-                               F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-
-    iso = F.when(text.rlike(r"^[0-9]{4}(-|$)"), text.try_cast("timestamp_ntz"))
-    other = F.coalesce(*[wall_clock(fmt) for fmt in DATE_FORMATS])
-    return F.coalesce(iso, other)
+    clock = F.regexp_extract(text, _DAY_AND_CLOCK, 2)
+    half = F.lower(F.regexp_extract(text, _DAY_AND_CLOCK, 3))
+    hour = F.split_part(clock, F.lit(":"), F.lit(1)).try_cast("int")
+    hour24 = (F.when((half == "") | ~hour.between(1, 12), hour)
+              .otherwise(hour % 12 + F.when(half == "p", 12).otherwise(0)))
+    time = F.when(clock == "", "00:00:00").otherwise(
+        F.concat(hour24.cast("string"), F.regexp_extract(clock, ":.*$", 0)))
+    day = _parse_day(F.regexp_extract(text, _DAY_AND_CLOCK, 1))
+    other = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), time).try_cast("timestamp_ntz")
+    return (F.when(text.rlike("^[0-9]{4}(-|$)"), text.try_cast("timestamp_ntz"))
+            .when(F.length(text) <= _LONGEST_DATE, other))
 
 
 def typed(value: Column, type_name: str) -> Column:

@@ -18,6 +18,7 @@ from ..operators.keys import duplicate_rows
 from ..sources.audit import Audit
 from ..sources.landing import (CORRUPT, header_names, list_files, profile_files, read_rows,
                                text_lines)
+from ..sources.local import local_table
 from ..sources.raw import write_raw
 from ..sources.spanning import read_spanning, unfit_files
 from .operations import pending_files
@@ -301,8 +302,8 @@ class _Load:
         failed = [f for f in files if f.error]
         if not failed:
             return
-        why = self.spark.createDataFrame(
-            [(f.name, f.table, f.batch, f.error) for f in failed],
+        why = local_table(
+            self.spark, [(f.name, f.table, f.batch, f.error) for f in failed],
             "_source_file string, table_name string, batch string, reason string")
         lines = (text_lines(self.spark, [f.path for f in failed])
                  .withColumnRenamed("source_file", "_source_file").join(why, "_source_file"))

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.keys import latest_per_key
 from .landing import missing_path
+from .local import local_table
 
 LOG = ("table_name string, batch_id string, schema_hash string, source_file string, "
        "file_size bigint, rows_read bigint, rows_loaded bigint, rows_rejected bigint, "
@@ -56,7 +57,7 @@ class Audit:
 
     def append(self, name: str, rows: Iterable[tuple]) -> None:
         """Add a run's rows as one file."""
-        (self.spark.createDataFrame(list(rows), TABLES[name]).coalesce(1)
+        (local_table(self.spark, list(rows), TABLES[name])
          .write.mode("append").parquet(self._path(name)))
 
     def read(self, name: str) -> DataFrame:

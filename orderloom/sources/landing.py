@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.names import col
+from .local import local_table
 
 FILES_SCHEMA = "path string, source_file string, file_size bigint, modified_at timestamp"
 CORRUPT = "_corrupt"
@@ -38,9 +39,9 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     except AnalysisException as error:
         if not missing_path(error):
             raise
-        return spark.createDataFrame([], FILES_SCHEMA)
-    named = spark.createDataFrame(
-        [(unquote(uri), unquote(uri).rsplit("/", 1)[-1]) for uri in found.inputFiles()],
+        return local_table(spark, [], FILES_SCHEMA)
+    named = local_table(
+        spark, [(unquote(uri), unquote(uri).rsplit("/", 1)[-1]) for uri in found.inputFiles()],
         "path string, source_file string")
     sized = found.select(F.element_at(F.split("path", "/"), -1).alias("source_file"),
                          F.col("length").alias("file_size"),

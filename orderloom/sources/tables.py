@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from ..operators.incremental import upsert
 from ..operators.keys import latest_per_key
 from .audit import read_or_empty
+from .local import local_table
 
 MANIFEST = ("table_name string, version bigint, part string, path string, full boolean, "
             "n_rows bigint, schema_json string, published_at timestamp_ntz")
@@ -155,6 +156,6 @@ class Tables:
         rows = [(e.table, e.version, e.part, e.path, e.full, e.n_rows, e.schema_json, at)
                 for entries in self.staged.values() for e in entries]
         if rows:
-            (self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+            (local_table(self.spark, rows, MANIFEST)
              .write.mode("append").parquet(self.manifest_path))
         self.staged, self._live = {}, None
