@@ -90,7 +90,7 @@ def header_names(header: str | None) -> list[str]:
     """Column names in a header line."""
     if header is None:
         return []
-    return next(csv.reader([header.removeprefix("﻿")]), [])
+    return next(csv.reader([header.removeprefix("\ufeff")]), [])
 
 
 def read_rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
