@@ -117,8 +117,7 @@ def incremental_upsert(spark, sf):
 def fct_orders_incremental(spark, sf):
     return marts.fct_orders_incremental(
         _fact(spark, sf, _target_orders(spark, sf)), stg_orders(spark, sf),
-        stg_customers(spark, sf), order_items_aggregated(spark, sf),
-        order_payments_pivoted(spark, sf))
+        stg_customers(spark, sf), stg_order_items(spark, sf), stg_order_payments(spark, sf))
 
 
 # --- ingestion --------------------------------------------------------------

@@ -15,6 +15,15 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("n_records") > 1))
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Repeated values and NULL rows of a key column, as one row from one pass."""
+    per_value = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_records"))
+    present = F.col(key).isNotNull()
+    return per_value.agg(
+        F.count_if(present & (F.col("n_records") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(~present, F.col("n_records"))), F.lit(0)).alias("missing"))
+
+
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column with its number of NULLs, from one pass over the table."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -61,6 +70,15 @@ def result(name: str, failing: DataFrame, rows: Column | None = None) -> DataFra
                     F.when(F.col("failing_rows") > 0, "fail").otherwise("pass").alias("status")))
 
 
+def status_rows(counts: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Summary rows from one row of counts: count column -> check name."""
+    rows = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(c).cast("bigint").alias("failing_rows"))
+        for c, name in names.items()])).alias("r")).select("r.*")
+    return rows.withColumn(
+        "status", F.when(F.col("failing_rows") > 0, "fail").otherwise("pass"))
+
+
 def summary(results: Sequence[DataFrame]) -> DataFrame:
     """All summary rows together."""
     return reduce(DataFrame.unionByName, results)

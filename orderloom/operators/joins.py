@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 1 / 32     # a key with this share of the rows is hot; so at most 32 are
 SALTS = 32             # tasks one hot key is spread over
+FEW_KEYS = 200_000     # keys that may be sent to every task
 _SKETCH_ITEMS = 4096   # frequency error below 0.1 % of the rows
 _SALT = "__salt"
 
@@ -28,6 +29,18 @@ def hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
             for c in columns}
 
 
+def only_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows worth keeping for a later join to ``keys``, at the least all that match.
+
+    With few keys, counted first, the rest goes before it is shuffled. With many
+    the rows stay as they are, and the join itself decides.
+    """
+    wanted = keys.select(key).distinct()
+    if wanted.limit(FEW_KEYS + 1).count() > FEW_KEYS:
+        return rows
+    return rows.join(F.broadcast(wanted), key, "left_semi").select(*rows.columns)
+
+
 def _is_hot(key: str, hot: Sequence) -> Column:
     known = [v for v in hot if v is not None]
     test = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)

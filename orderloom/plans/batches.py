@@ -62,6 +62,6 @@ def reprocess(models: Models, batch: str) -> None:
     by_month = month_of("purchased_at")
     models.tables.merge("stg_orders", again, "order_id", marts.latest_load(), by_month)
     staged = models.tables.read("stg_orders", staged=True).join(keys, "order_id", "left_semi")
-    fact = marts.fct_orders(staged, models("stg_customers"), models("int_order_items_aggregated"),
-                            models("int_order_payments_pivoted"))
+    fact = marts.fct_orders_for(staged, models("stg_customers"), models("stg_order_items"),
+                                models("stg_order_payments"))
     models.tables.merge("fct_orders", fact, "order_id", marts.latest_load(), by_month)

@@ -95,19 +95,18 @@ def build_models(models: Models, options: DailyOptions = DailyOptions()) -> None
         tables.merge("stg_orders", fresh, "order_id", marts.latest_load(), by_month)
 
     staged_orders = tables.read("stg_orders", staged=True)
-    inputs = (models("stg_customers"), models("int_order_items_aggregated"),
-              models("int_order_payments_pivoted"))
+    inputs = (models("stg_customers"), models("stg_order_items"), models("stg_order_payments"))
     target = None if options.full_refresh else tables.read("fct_orders")
     if target is None:
-        tables.build("fct_orders", marts.fct_orders(staged_orders, *inputs), by_month)
-    elif options.late_inputs:
-        again = marts.late_orders(target, staged_orders, models("stg_customers"),
-                                  models("stg_order_items"), models("stg_order_payments"))
-        tables.merge("fct_orders", marts.fct_orders(again, *inputs), "order_id",
-                     marts.latest_load(), by_month)
+        fact = marts.fct_orders(staged_orders, models("stg_customers"),
+                                models("int_order_items_aggregated"),
+                                models("int_order_payments_pivoted"))
+        tables.build("fct_orders", fact, by_month)
     else:
-        tables.merge("fct_orders", marts.fct_orders_increment(target, staged_orders, *inputs),
-                     "order_id", marts.latest_load(), by_month)
+        due = (marts.late_orders(target, staged_orders, *inputs) if options.late_inputs
+               else marts.new_orders(target, staged_orders))
+        tables.merge("fct_orders", marts.fct_orders_for(due, *inputs), "order_id",
+                     marts.latest_load(), by_month)
 
     tables.build("dim_customers", marts.dim_customers(models("stg_customers")))
     tables.build("dim_products", marts.dim_products(models("int_products_translated")))

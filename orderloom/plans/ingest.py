@@ -16,8 +16,8 @@ from ..operators.clean import apply_null_tokens, drop_all_null, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
 from ..sources.audit import Audit
-from ..sources.landing import (CORRUPT, header_names, list_files, profile_files, read_rows,
-                               text_lines)
+from ..sources.landing import (CORRUPT, header_names, headers, list_files, profile_files,
+                               read_rows, text_lines)
 from ..sources.local import local_table
 from ..sources.raw import write_raw
 from ..sources.spanning import read_spanning, unfit_files
@@ -39,7 +39,7 @@ class IngestOptions:
     pinned_types: Mapping[tuple[str, str], str] = field(default_factory=dict)
     # (table, column) pairs whose missing-value tokens are real values.
     keep_tokens: frozenset[tuple[str, str]] = frozenset()
-    # table -> whether records may span lines; found out per file where not given.
+    # table -> whether records may span lines; where not given, a pass over the text tells.
     spanning: Mapping[str, bool] = field(default_factory=dict)
     # Batch id from the file's name, or from its content.
     batch_from_content: bool = False
@@ -115,13 +115,18 @@ def _new_files(spark: SparkSession, audit: Audit, landing: str,
                .select("*", table.alias("table_name"), batch_id(name).alias("name_id")).collect())
     if not pending:
         return []
-    profiles = {r["source_file"]: r
-                for r in profile_files(spark, [p["path"] for p in pending]).collect()}
-    return [_describe(p, profiles.get(p["source_file"]), options) for p in pending]
-
-
-def _describe(listed: Row, profile: Row | None, options: IngestOptions) -> _File:
-    names = normalise_header(header_names(profile["header"] if profile else None))
+    first_lines = headers(spark, {p["source_file"]: p["path"] for p in pending if p["file_size"]})
+    unknown = [p["path"] for p in pending
+               if options.batch_from_content or p["table_name"] not in options.spanning]
+    profiles = {r["source_file"]: r for r in profile_files(spark, unknown).collect()} \
+        if unknown else {}
+    return [_describe(p, first_lines.get(p["source_file"]), profiles.get(p["source_file"]),
+                      options) for p in pending]
+
+
+def _describe(listed: Row, header: str | None, profile: Row | None,
+              options: IngestOptions) -> _File:
+    names = normalise_header(header_names(header))
     table = listed["table_name"]
     by_content = options.batch_from_content and profile is not None
     file = _File(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import PAYMENT_COLUMNS
 from ..operators.incremental import high_water_mark, newer_than, upsert
-from ..operators.joins import hot_values, lookup
+from ..operators.joins import hot_values, lookup, only_keys
+from .intermediate import order_items_aggregated, order_payments_pivoted
 
 ORDER_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "order_status",
                  "purchased_at", "approved_at", "delivered_carrier_at",
@@ -57,18 +58,25 @@ def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
     return measured.select(*ORDER_COLUMNS, *zeroed, "_ingested_at")
 
 
-def fct_orders_increment(target: DataFrame, orders: DataFrame, customers: DataFrame,
-                         items: DataFrame, payments: DataFrame) -> DataFrame:
-    """Fact rows for the orders loaded after the newest one in the target."""
-    fresh = newer_than(orders, "_ingested_at", high_water_mark(target, "_ingested_at"))
-    return fct_orders(fresh, customers, items, payments)
+def fct_orders_for(orders: DataFrame, customers: DataFrame, item_lines: DataFrame,
+                   payment_lines: DataFrame) -> DataFrame:
+    """Fact rows for some orders, from all their item and payment lines."""
+    return fct_orders(
+        orders, customers,
+        order_items_aggregated(only_keys(item_lines, orders, "order_id")),
+        order_payments_pivoted(only_keys(payment_lines, orders, "order_id")))
+
+
+def new_orders(target: DataFrame, orders: DataFrame) -> DataFrame:
+    """Staged orders loaded after the newest one in the target."""
+    return newer_than(orders, "_ingested_at", high_water_mark(target, "_ingested_at"))
 
 
 def fct_orders_incremental(target: DataFrame, orders: DataFrame, customers: DataFrame,
-                           items: DataFrame, payments: DataFrame) -> DataFrame:
+                           item_lines: DataFrame, payment_lines: DataFrame) -> DataFrame:
     """The whole fact after an incremental run."""
-    return upsert(target, fct_orders_increment(target, orders, customers, items, payments),
-                  "order_id", latest_load())
+    batch = fct_orders_for(new_orders(target, orders), customers, item_lines, payment_lines)
+    return upsert(target, batch, "order_id", latest_load())
 
 
 def late_orders(target: DataFrame, orders: DataFrame, customers: DataFrame,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,8 @@ from .local import local_table
 
 FILES_SCHEMA = "path string, source_file string, file_size bigint, modified_at timestamp"
 CORRUPT = "_corrupt"
+MAX_HEAD_READS = 2000
+HEAD_THREADS = 16
 # A quoted field, alone between its separators, with quotes inside doubled.
 _QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
@@ -66,24 +69,37 @@ def open_ended(line: Column) -> Column:
     return line.contains('"') & F.regexp_replace(line, _QUOTED_FIELD, "$1").contains('"')
 
 
+def headers(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
+    """First filled line of each file, by file name; files are given as name -> path.
+
+    For a moderate number of files each is opened for its first line only. Past
+    that, one job over all of them is cheaper than a job each.
+    """
+    filled = F.trim("value") != ""
+    if len(files) <= MAX_HEAD_READS:
+        def head(item: tuple[str, str]) -> tuple[str, list]:
+            return item[0], spark.read.text(item[1]).where(filled).head(1)
+
+        with ThreadPoolExecutor(HEAD_THREADS) as pool:
+            return {name: rows[0]["value"] for name, rows in pool.map(head, files.items()) if rows}
+    first = (text_lines(spark, list(files.values())).where((F.col("block") == 0) & filled)
+             .select("source_file", F.struct(F.monotonically_increasing_id(), "value").alias("line"))
+             .groupBy("source_file").agg(F.min("line").alias("first")))
+    return {r["source_file"]: r["first"]["value"] for r in first.collect()}
+
+
 def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: header line, lines that may belong to a longer record, content hash.
+    """Per file: lines that may belong to a longer record, and a hash of the content.
 
-    The counts use long buffers only, so they hash-aggregate over the full text;
-    the header looks at each file's first split alone.
+    All buffers are longs, so this hash-aggregates over the text in one pass.
     """
-    lines = text_lines(spark, paths)
-    counted = lines.groupBy("source_file").agg(
+    counted = text_lines(spark, paths).groupBy("source_file").agg(
         F.count_if(open_ended(F.col("value"))).alias("open_lines"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.xxhash64("block", "value").bitwiseAND(0xFFFFFFFF)).alias("line_sum"))
-    first = (lines.where((F.col("block") == 0) & (F.trim("value") != ""))
-             .select("source_file", F.struct(F.monotonically_increasing_id(), "value").alias("line"))
-             .groupBy("source_file").agg(F.min("line").alias("first")))
+        F.sum(F.xxhash64("value").bitwiseAND(0xFFFFFFFF)).alias("line_sum"))
     content = F.concat_ws(":", F.col("n_lines"), F.col("line_sum"))
-    return counted.join(first, "source_file", "left").select(
-        "source_file", F.col("first.value").alias("header"), "open_lines",
-        F.substring(F.md5(content.cast("binary")), 1, 8).alias("content_id"))
+    return counted.select("source_file", "open_lines",
+                          F.substring(F.md5(content.cast("binary")), 1, 8).alias("content_id"))
 
 
 def header_names(header: str | None) -> list[str]:

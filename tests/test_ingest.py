@@ -182,6 +182,22 @@ def test_free_text_with_newlines_and_quotes(drops):
         (1, 'two\nlines, one "quoted" word'), (2, "plain"), (3, 'a\n\n"b"'), (4, '5" pipe')]
 
 
+def test_headers_are_the_same_however_they_are_read(drops, monkeypatch):
+    from orderloom.sources import landing
+    drops.put("a.csv", "\n\nx,y\n1,2\n")
+    drops.put("b.csv", "\ufeffp,q\r\n1,2\r\n")
+    files = {r["source_file"]: r["path"]
+             for r in landing.list_files(drops.spark, str(drops.landing)).collect()}
+    few = landing.headers(drops.spark, files)
+    monkeypatch.setattr(landing, "MAX_HEAD_READS", 0)
+    assert landing.headers(drops.spark, files) == few
+    assert {n: landing.header_names(h) for n, h in few.items()} == {
+        "a.csv": ["x", "y"], "b.csv": ["p", "q"]}
+    drops.load()
+    assert drops.rows("a", "x", "y") == [(1, 2)]
+    assert drops.rows("b", "p", "q") == [(1, 2)]
+
+
 def test_only_files_with_open_quotes_are_read_whole(drops):
     from orderloom.sources.landing import list_files, profile_files
     drops.put("plain.csv", 'a,b\n"x, ""y""",1\n"",2\n')
