@@ -41,17 +41,13 @@ def null_if_token(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TOKENS), value)
 
 
-def fits(value: Column, type_name: str) -> Column:
-    """Whether a non-null text can be read as the type."""
-    if type_name == "bigint":
-        return value.rlike(INTEGER) & value.try_cast("bigint").isNotNull()
-    if type_name == "double":
-        return value.rlike(DOUBLE)
-    if type_name == "boolean":
-        return value.rlike(BOOLEAN)
-    if type_name == "timestamp_ntz":
-        return value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull()
-    return F.lit(True)
+def type_class(value: Column) -> Column:
+    """Position in `TYPE_ORDER` of the narrowest type a text fits; one more for plain text."""
+    integer = value.rlike(INTEGER) & value.try_cast("bigint").isNotNull()
+    timestamp = value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull()
+    return (F.when(value.isNull(), F.lit(None).cast("int")).when(integer, 0)
+            .when(value.rlike(DOUBLE), 1).when(value.rlike(BOOLEAN), 2)
+            .when(timestamp, 3).otherwise(len(TYPE_ORDER)))
 
 
 def _parse_day(day: Column) -> Column:

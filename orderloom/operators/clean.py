@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import col
-from ..functions.values import TYPE_ORDER, fits, null_if_token, parse_date
+from ..functions.values import TYPE_ORDER, null_if_token, parse_date, type_class
 
 
 def drop_all_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -30,19 +30,26 @@ def select_not_null(df: DataFrame, key: str, renames: dict[str, str]) -> DataFra
         *[F.col(old).alias(new) for old, new in renames.items()])
 
 
-def type_counts(columns: Sequence[str], date_columns: Sequence[str] = ()) -> list[Column]:
-    """Aggregates counting, per text column, its values and those fitting each type.
+def type_classes(columns: Sequence[str], date_columns: Sequence[str] = ()) -> list[Column]:
+    """Each text column as the class of its cells, so that every cell is tested once.
 
-    Columns named as dates are also counted against the looser date forms.
+    Columns named as dates also say whether a cell reads as any form of date.
     """
+    dates = [parse_date(col(c)).isNotNull().alias(f"{c}::dated") for c in date_columns]
+    return [type_class(col(c)).alias(c) for c in columns] + dates
+
+
+def type_counts(columns: Sequence[str], date_columns: Sequence[str] = ()) -> list[Column]:
+    """Aggregates over `type_classes`: values per column, and those fitting each type."""
     out = []
     for c in columns:
-        value = col(c)
-        out.append(F.count(value).alias(f"{c}::n_values"))
-        out += [F.count_if(fits(value, t)).alias(f"{c}::{t}") for t in TYPE_ORDER]
-        if c in date_columns:
-            out.append(F.count(parse_date(value)).alias(f"{c}::date_text"))
-    return out
+        cell = col(c)
+        out += [F.count(cell).alias(f"{c}::n_values"),
+                F.count_if(cell == 0).alias(f"{c}::bigint"),
+                F.count_if(cell <= 1).alias(f"{c}::double"),
+                F.count_if(cell == 2).alias(f"{c}::boolean"),
+                F.count_if(cell == 3).alias(f"{c}::timestamp_ntz")]
+    return out + [F.count_if(col(f"{c}::dated")).alias(f"{c}::date_text") for c in date_columns]
 
 
 def winning_type(n_values: Column, fitting: dict[str, Column]) -> Column:
@@ -56,7 +63,7 @@ def winning_type(n_values: Column, fitting: dict[str, Column]) -> Column:
 def infer_types(df: DataFrame) -> DataFrame:
     """One row per text column with its inferred type, from one aggregation."""
     columns = df.columns
-    counted = df.agg(*type_counts(columns))
+    counted = df.select(*type_classes(columns)).agg(*type_counts(columns))
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
                  F.col(f"`{c}::n_values`").alias("n_values"),

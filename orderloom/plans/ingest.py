@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
 from ..functions.values import TYPE_ORDER
-from ..operators.clean import apply_null_tokens, drop_all_null, type_counts
+from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
 from ..sources.audit import Audit
@@ -202,10 +202,13 @@ class _Load:
         rows = self._rows(files)
         blank = F.coalesce(*[col(c) for c in columns]).isNull()
         dated = [c for c in columns if looks_like_date(c)]
-        stats = rows.groupBy("_source_file").agg(
+        cells = rows.select("_source_file", blank.alias("::blank"),
+                            F.col(CORRUPT).isNotNull().alias("::corrupt"),
+                            *type_classes(columns, dated))
+        stats = cells.groupBy("_source_file").agg(
             F.count(F.lit(1)).alias("rows_read"),
-            F.count_if(blank & F.col(CORRUPT).isNull()).alias("rows_blank"),
-            F.count(CORRUPT).alias("rows_corrupt"),
+            F.count_if(col("::blank") & ~col("::corrupt")).alias("rows_blank"),
+            F.count_if(col("::corrupt")).alias("rows_corrupt"),
             *type_counts(columns, dated))
         found = {r["_source_file"]: r for r in stats.collect()}
         empty = Row("rows_read", "rows_blank", "rows_corrupt")(0, 0, 0)

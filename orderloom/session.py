@@ -34,13 +34,16 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
+def scratch_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset (tests, one machine) is a local temporary folder used.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Where that is
+    unset, it lies under ``root``; without one, in a local temporary folder, which
+    only a session on one machine may use.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or root
     if shared:
         return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"{label}-")

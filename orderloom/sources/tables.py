@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.incremental import upsert
 from ..operators.keys import latest_per_key
+from ..session import scratch_dir
 from .audit import read_or_empty
 from .local import local_table
 
@@ -108,7 +109,7 @@ class Tables:
         if not live:
             self.build(table, batch, part)
             return
-        path = f"{self.root}/work/{table}/v{self._next(table):08d}"
+        path = scratch_dir(self.spark, table, f"{self.root}/work")
         batch.write.mode("overwrite").parquet(path)
         batch = self.spark.read.schema(batch.schema).parquet(path)
         target = self._open(list(live.values()))
@@ -119,6 +120,10 @@ class Tables:
                    .distinct().collect()}
         if not touched:
             return
+        merged_types = dict(target.unionByName(batch, allowMissingColumns=True).dtypes)
+        if any(merged_types[c] != t for c, t in target.dtypes):
+            # Parquet cannot be read under another type: a widened column is rewritten whole.
+            touched |= set(live)
         old = self._open([e for name, e in live.items() if name in touched])
         if old is None:
             old = self.spark.createDataFrame([], target.schema)

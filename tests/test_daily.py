@@ -135,6 +135,18 @@ def test_order_that_moves_month_leaves_the_old_one(shop):
     assert Tables(shop.spark, shop.root).live("fct_orders")["2018-02"].path is None
 
 
+def test_widened_column_rewrites_every_part(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    part = F.col("p")
+    tables.build("t", spark.createDataFrame([(1, 10, "a"), (2, 20, "b")],
+                                            "k int, v bigint, p string"), part)
+    tables.publish(DAY[0])
+    tables.merge("t", spark.createDataFrame([(2, 2.5, "b")], "k int, v double, p string"), "k",
+                 [F.desc("v")], part)
+    tables.publish(DAY[1])
+    assert sorted(map(tuple, tables.read("t").collect())) == [(1, 10.0, "a"), (2, 2.5, "b")]
+
+
 def test_incremental_equals_rebuild(shop):
     shop.run(0)
     shop.put(f"{PREFIX}orders_dataset_2.csv", ORDERS_HEAD +
