@@ -15,12 +15,13 @@ from ..functions.values import TYPE_ORDER
 from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
+from ..session import WIDE_QUERY, scratch_dir, settings
 from ..sources.audit import Audit
 from ..sources.landing import (CORRUPT, header_names, headers, list_files, profile_files,
                                read_rows, text_lines)
 from ..sources.local import local_table
 from ..sources.raw import write_raw
-from ..sources.spanning import read_spanning, unfit_files
+from ..sources.spanning import read_spanning, store_lines, unfit_files
 from .operations import pending_files
 
 TABLE_THREADS = 4
@@ -90,7 +91,7 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
         by_table[file.table].append(file)
 
     load = _Load(spark, audit, root, run_ts, options)
-    with ThreadPoolExecutor(TABLE_THREADS) as pool:
+    with settings(spark, WIDE_QUERY), ThreadPoolExecutor(TABLE_THREADS) as pool:
         registered = [row for rows in pool.map(load.table, by_table.values()) for row in rows]
     load.quarantine_failed(files)
     if registered:
@@ -156,13 +157,17 @@ class _Load:
         self.spark, self.audit, self.root = spark, audit, root
         self.run_ts, self.options = run_ts, options
         self.schemas = audit.active_schemas()
+        self.lines: dict[str, DataFrame] = {}
 
     def table(self, files: list[_File]) -> list[tuple]:
         """Load one table's files; returns its new registry rows."""
         readable = [f for f in files if not f.error]
         joined = [f for f in readable if f.reading == JOINED]
         if joined:
-            unfit = unfit_files(self.spark, [f.path for f in joined])
+            folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
+            lines = store_lines(self.spark, [f.path for f in joined], folder)
+            self.lines[joined[0].table] = lines
+            unfit = unfit_files(lines)
             for file in joined:
                 file.reading = WHOLE if file.name in unfit else JOINED
         groups: dict[tuple, list[_File]] = defaultdict(list)
@@ -190,7 +195,9 @@ class _Load:
         first = files[0]
         paths = [f.path for f in files]
         if first.reading == JOINED:
-            rows = read_spanning(self.spark, paths, first.columns)
+            lines = self.lines[first.table].where(
+                F.col("_source_file").isin([f.name for f in files]))
+            rows = read_spanning(lines, first.columns)
         else:
             rows = read_rows(self.spark, paths, first.columns, first.reading == WHOLE)
         keep = {c for t, c in self.options.keep_tokens if t == first.table}

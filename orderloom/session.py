@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -34,6 +37,27 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+# The JVM does not compile methods of over 8000 bytecodes. Queries with many
+# expressions per column generate such methods unless told to split them.
+WIDE_QUERY = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; the old ones come back afterwards."""
+    old = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
     """A fresh folder every executor can reach.
 

@@ -69,13 +69,18 @@ def _records(lines: DataFrame) -> DataFrame:
             .withColumn("value", F.rtrim("value", F.lit("\r"))))
 
 
-def unfit_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+def store_lines(spark: SparkSession, paths: Sequence[str], folder: str) -> DataFrame:
+    """The files' lines by record, kept in a table so that they are numbered once."""
+    _numbered_lines(spark, paths).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def unfit_files(lines: DataFrame) -> set[str]:
     """Names of files with quotes in odd places or overlong records.
 
     Record lengths are summed first, so a stray quote that seems to open a
     record as long as the file is found before any lines are put together.
     """
-    lines = _numbered_lines(spark, paths)
     too_long = (lines.where(~F.col("whole")).groupBy("_source_file", "record")
                 .agg(F.sum(F.length("value") + 1).alias("chars"))
                 .where(F.col("chars") > MAX_RECORD_CHARS)
@@ -88,13 +93,13 @@ def unfit_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     return unfit | {r[0] for r in odd.collect()}
 
 
-def read_spanning(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def read_spanning(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of files `unfit_files` found nothing in, as `landing.read_rows` gives them."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT])
     parsed = F.from_csv("value", schema, {
         "quote": '"', "escape": '"', "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT})
-    return (_records(_numbered_lines(spark, paths)).where(F.col("record") > 1)
+    return (_records(lines).where(F.col("record") > 1)
             .select(parsed.alias("row"), "_source_file")
             .select(*[F.col("row").getField(c).alias(c) for c in [*columns, CORRUPT]],
                     "_source_file"))

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from orderloom.sources.landing import CORRUPT, read_rows
-from orderloom.sources.spanning import read_spanning, unfit_files
+from orderloom.sources.spanning import read_spanning, store_lines, unfit_files
 
 COLUMNS = ["id", "text", "n"]
 
@@ -51,9 +51,10 @@ def test_equals_the_whole_file_reader(spark, tmp_path, small_splits):
         path.write_text(_file(seed, 60), encoding="utf-8", newline="")
         paths.append(str(path))
     assert spark.read.text(paths).rdd.getNumPartitions() > 20
-    assert unfit_files(spark, paths) == set()
+    lines = store_lines(spark, paths, str(tmp_path / "lines"))
+    assert unfit_files(lines) == set()
     want = _bag(read_rows(spark, paths, COLUMNS, whole=True))
-    assert _bag(read_spanning(spark, paths, COLUMNS)) == want
+    assert _bag(read_spanning(lines, COLUMNS)) == want
     assert len(want) > 200
 
 
@@ -64,7 +65,8 @@ def test_stray_and_unclosed_quotes_are_left_to_the_whole_file_reader(spark, tmp_
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     paths = [str(tmp_path / name) for name in files]
-    assert unfit_files(spark, paths) == {"stray.csv", "unclosed.csv"}
+    lines = store_lines(spark, paths, str(tmp_path / "lines"))
+    assert unfit_files(lines) == {"stray.csv", "unclosed.csv"}
 
 
 def test_ingest_joins_large_spanning_files(drops):
