@@ -20,7 +20,7 @@ from ..sources.audit import Audit
 from ..sources.landing import (CORRUPT, header_names, headers, list_files, profile_files,
                                read_rows, text_lines)
 from ..sources.local import local_table
-from ..sources.raw import write_raw
+from ..sources.raw import read_text, write_raw
 from ..sources.spanning import read_spanning, store_lines, unfit_files
 from .operations import pending_files
 
@@ -65,6 +65,7 @@ class _File:
     removed: list[str] = field(default_factory=list)
     promoted: list[str] = field(default_factory=list)
     schema_hash: str | None = None
+    notes: str = ""
 
     @property
     def read(self) -> int:
@@ -208,7 +209,9 @@ class _Load:
         columns = files[0].columns
         rows = self._rows(files)
         blank = F.coalesce(*[col(c) for c in columns]).isNull()
-        dated = [c for c in columns if looks_like_date(c)]
+        pinned = {c for (t, c), kind in self.options.pinned_types.items()
+                  if t == files[0].table and kind == "date_text"}
+        dated = [c for c in columns if looks_like_date(c) or c in pinned]
         cells = rows.select("_source_file", blank.alias("::blank"),
                             F.col(CORRUPT).isNotNull().alias("::corrupt"),
                             *type_classes(columns, dated))
@@ -239,7 +242,13 @@ class _Load:
             found, file.error = self._column_types(file, known)
             if file.error:
                 continue
-            file.removed = detect_drift(known, found).removed
+            drift = detect_drift(known, found)
+            file.removed = drift.removed
+            file.notes = "; ".join(
+                f"{what}: {names}" for what, names in (
+                    ("added", drift.added), ("removed", drift.removed),
+                    ("retyped", [f"{c} {old} -> {new}" for c, old, new in drift.type_changes]))
+                if names)
             file.promoted = [c for c, t in found.items()
                              if t == "date_text" or (t == "timestamp_ntz" and looks_like_date(c))]
             merged = {**known, **found}
@@ -283,9 +292,9 @@ class _Load:
         stored = rows.select(*map(col, first.columns), _ntz(self.run_ts).alias("_ingested_at"),
                              self._batch(files).alias("_batch_id"), "_source_file")
         write_raw(stored, self.root, first.table)
-        for file in files:
-            if file.removed:
-                self._quarantine_shrunk(file, stored)
+        shrunk = [f for f in files if f.removed]
+        if shrunk:
+            self._quarantine_shrunk(shrunk)
 
     def _batch(self, files: list[_File]) -> Column:
         if not self.options.batch_from_content:
@@ -293,39 +302,34 @@ class _Load:
         pairs = [F.lit(x) for f in files for x in (f.name, f.batch)]
         return F.create_map(*pairs)[F.col("_source_file")]
 
-    def _put_aside(self, rows: DataFrame, table: Column, batch: Column, reason: Column,
-                   record: Column) -> None:
-        self.audit.quarantine(rows.select(
-            table.alias("table_name"), batch.alias("batch_id"), reason.alias("reason"),
-            record.alias("record"), _ntz(self.run_ts).alias("quarantined_at"),
-            F.lit(self.run_ts.strftime("%Y%m%dT%H%M%S%f")).alias("run_id"),
-            F.col("_source_file").alias("source_file")))
-
-    def _quarantine_shrunk(self, file: _File, stored: DataFrame) -> None:
-        """Copy the rows of a file that lacks known columns, which are NULL in it."""
-        _, columns = self.schemas[file.table]
-        adapted = stored.where(F.col("_source_file") == file.name).select(
-            *[(col(c) if c in file.columns else F.lit(None).cast("string")).alias(c)
-              for c in columns], *LINEAGE)
-        record = F.to_json(F.struct(*[col(c) for c in columns]),
-                           {"ignoreNullFields": "false"})
-        self._put_aside(adapted, F.lit(file.table), F.col("_batch_id"),
-                        F.lit(f"columns removed: {file.removed}"), record)
+    def _put_aside(self, rows: DataFrame, files: list[_File], reasons: list[str]) -> None:
+        """Quarantine the ``record`` texts of some files, each file for its reason."""
+        why = local_table(
+            self.spark, [(f.name, f.table, f.batch, r) for f, r in zip(files, reasons)],
+            "source_file string, table_name string, batch_id string, reason string")
+        self.audit.quarantine(rows.join(why, "source_file").select(
+            "table_name", "batch_id", "reason", "record",
+            _ntz(self.run_ts).alias("quarantined_at"),
+            F.lit(self.run_ts.strftime("%Y%m%dT%H%M%S%f")).alias("run_id"), "source_file"))
+
+    def _quarantine_shrunk(self, files: list[_File]) -> None:
+        """Copy the stored rows of files that lack known columns, which are NULL in them."""
+        _, columns = self.schemas[files[0].table]
+        stored = read_text(self.spark, self.root, files[0].table, list(columns))
+        record = F.to_json(F.struct(*map(col, columns)), {"ignoreNullFields": "false"})
+        rows = stored.where(F.col("_source_file").isin([f.name for f in files])).select(
+            F.col("_source_file").alias("source_file"), record.alias("record"))
+        self._put_aside(rows, files, [f"columns removed: {f.removed}" for f in files])
 
     def quarantine_failed(self, files: list[_File]) -> None:
         """Put every line of the failed files aside, in one job."""
         failed = [f for f in files if f.error]
-        if not failed:
-            return
-        why = local_table(
-            self.spark, [(f.name, f.table, f.batch, f.error) for f in failed],
-            "_source_file string, table_name string, batch string, reason string")
-        lines = (text_lines(self.spark, [f.path for f in failed])
-                 .withColumnRenamed("source_file", "_source_file").join(why, "_source_file"))
-        self._put_aside(lines, F.col("table_name"), F.col("batch"), F.col("reason"),
-                        F.col("value"))
+        if failed:
+            lines = text_lines(self.spark, [f.path for f in failed])
+            self._put_aside(lines.select("source_file", F.col("value").alias("record")),
+                            failed, [f.error for f in failed])
 
     def log_row(self, file: _File) -> tuple:
         return (file.table, file.batch, file.schema_hash, file.name, file.size, file.read,
                 file.loaded, file.read - file.loaded, file.copies, file.promoted,
-                "FAILED" if file.error else "SUCCESS", file.error or "", self.run_ts)
+                "FAILED" if file.error else "SUCCESS", file.error or file.notes, self.run_ts)

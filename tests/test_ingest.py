@@ -34,7 +34,7 @@ def test_added_column_is_null_in_old_rows(drops):
     drops.put("orders_20240101.csv", "order_id,amount\n1,1\n")
     drops.load()
     drops.put("orders_20240102.csv", "order_id,amount,channel\n2,2,web\n")
-    drops.load()
+    assert drops.load()["orders_20240102.csv"]["message"] == "added: ['channel']"
     assert drops.rows("orders", "order_id", "amount", "channel") == [(1, 1, None), (2, 2, "web")]
     registry = drops.audit().registry().orderBy("version").collect()
     assert [r["is_active"] for r in registry] == [False, True]
@@ -92,6 +92,7 @@ def test_type_conflict_fails_and_widening_does_not(drops):
     assert log["orders_20240106.csv"]["message"] == (
         "type conflict: amount is bigint, file has string")
     assert log["orders_20240107.csv"]["status"] == "SUCCESS"
+    assert log["orders_20240107.csv"]["message"] == "retyped: ['amount bigint -> double']"
     assert drops.rows("orders", "order_id", "amount") == [(1, 10.0), (7, 7.5)]
 
 
@@ -121,6 +122,12 @@ def test_date_promotion_is_all_or_nothing(drops):
         (datetime(2024, 1, d),) for d in (13, 5, 6, 8)]
 
 
+def test_date_rule_may_be_overridden_both_ways(drops):
+    drops.put("dates.csv", "seen_date,day\n01/06/2024,01/07/2024\n")
+    drops.load(pinned_types={("dates", "seen_date"): "string", ("dates", "day"): "date_text"})
+    assert drops.rows("dates", "seen_date", "day") == [("01/06/2024", datetime(2024, 1, 7))]
+
+
 def test_colliding_and_reserved_headers_fail(drops):
     drops.put("dup_headers.csv", "A b,a_b\n1,2\n")
     drops.put("reserved.csv", "_batch_id,x\n1,2\n")
