@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 # Cell texts the CSV reader treats as missing.
@@ -36,6 +38,11 @@ _LONGEST_DATE = 48
 MONEY_SCALE = 100
 
 
+def naive_utc(ts: datetime) -> datetime:
+    """A point in time as UTC wall-clock, which the lineage columns hold."""
+    return ts.astimezone(timezone.utc).replace(tzinfo=None) if ts.tzinfo else ts
+
+
 def null_if_token(value: Column) -> Column:
     """NULL where the text is one of the missing-value tokens."""
     return F.when(~value.isin(*NULL_TOKENS), value)

@@ -8,7 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.audit import Audit
-from ..sources.raw import read_text
+from ..sources.raw import MissingTable, read_text
 from ..sources.tables import month_of
 from . import marts, staging
 from .daily import Models
@@ -34,7 +34,7 @@ def roll_back(spark: SparkSession, root: str, table: str, batch: str, at: dateti
     audit = Audit(spark, root)
     columns = audit.table_columns(table)
     if columns is None:
-        raise ValueError(f"no raw table {table!r}")
+        raise MissingTable(f"no raw table {table!r}")
     stored = read_text(spark, root, table, columns)
     found = (stored.where(F.col("_batch_id") == batch)
              .select("_source_file", F.col("_metadata.file_path").alias("file")).distinct()

@@ -8,9 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import SOURCES
+from ..functions.values import naive_utc
 from ..operators.incremental import high_water_mark, newer_than
 from ..sources.audit import Audit
-from ..sources.raw import read_raw
+from ..sources.raw import MissingTable, read_raw
 from ..sources.tables import Tables, month_of
 from . import intermediate, marts, quality, staging
 from .ingest import IngestOptions, ingest
@@ -76,7 +77,7 @@ class Models:
                                                     self("stg_category_translation"))
         table = self.tables.read(name, self.staged)
         if table is None:
-            raise ValueError(f"model {name!r} has not been built")
+            raise MissingTable(f"model {name!r} has not been built")
         return table
 
 
@@ -114,6 +115,7 @@ def build_models(models: Models, options: DailyOptions = DailyOptions()) -> None
 
 def check_models(models: Models, run_ts: datetime) -> DataFrame:
     """Run the checks once and keep their results in the audit."""
+    run_ts = naive_utc(run_ts)
     audit = Audit(models.spark, models.root)
     rows = quality.model_checks(models).collect()
     audit.append("check_results", [(*r, run_ts) for r in rows])
@@ -124,6 +126,7 @@ def check_models(models: Models, run_ts: datetime) -> DataFrame:
 def run_daily(spark: SparkSession, landing: str, root: str, run_ts: datetime,
               options: DailyOptions = DailyOptions()) -> DailyResult:
     """One day's work. Failing checks leave the live tables as they were."""
+    run_ts = naive_utc(run_ts)
     files = ingest(spark, landing, root, run_ts, options.ingest)
     failed = [r["source_file"] for r in
               files.where(F.col("status") == "FAILED").select("source_file").collect()]
@@ -141,11 +144,18 @@ def run_daily(spark: SparkSession, landing: str, root: str, run_ts: datetime,
 
 
 def create_views(spark: SparkSession, root: str, source_prefix: str = "") -> list[str]:
-    """Temporary views over every layer, for SQL: raw, staging, intermediate, marts, audit."""
+    """Temporary views over every layer, for SQL: raw, staging, intermediate, marts, audit.
+
+    Models whose sources have not been loaded, or that have not been built, are left out.
+    """
     models = Models(spark, root, source_prefix)
     audit = Audit(spark, root)
-    views = {SOURCES[s].table(source_prefix): models.raw(s) for s in SOURCES}
-    views |= {name: models(name) for name in (*STAGED_VIEWS, *INTERMEDIATE_VIEWS, *TABLES)}
+    views = {table: read_raw(spark, root, table, models.schemas) for table in models.schemas}
+    for name in (*STAGED_VIEWS, *INTERMEDIATE_VIEWS, *TABLES):
+        try:
+            views[name] = models(name)
+        except MissingTable:
+            continue
     views |= {"ingestion_log": audit.read("ingestion_log"), "schema_registry": audit.registry(),
               "check_results": audit.read("check_results"), "quarantine": audit.quarantined()}
     for name, df in views.items():

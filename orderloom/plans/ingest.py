@@ -8,10 +8,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
-from ..functions.values import TYPE_ORDER
+from ..functions.values import TYPE_ORDER, naive_utc
 from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
@@ -34,7 +35,7 @@ _LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_b
 class IngestOptions:
     """What a load may be told; the defaults match the described behaviour."""
 
-    # File-name prefix -> table, ahead of the naming rule.
+    # File-name prefix -> table, ahead of the naming rule; the longest prefix counts.
     tables: Mapping[str, str] = field(default_factory=dict)
     # (table, column) -> type, ahead of inference.
     pinned_types: Mapping[tuple[str, str], str] = field(default_factory=dict)
@@ -84,6 +85,7 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     after its rows are stored and storing replaces, so a run that dies half way
     is simply repeated.
     """
+    run_ts = naive_utc(run_ts)
     audit = Audit(spark, root)
     audit.ensure()
     files = _new_files(spark, audit, landing, options)
@@ -111,14 +113,14 @@ def _new_files(spark: SparkSession, audit: Audit, landing: str,
                options: IngestOptions) -> list[_File]:
     name = F.col("source_file")
     table = target_table(name)
-    for prefix, target in options.tables.items():
+    for prefix, target in sorted(options.tables.items(), key=lambda pair: len(pair[0])):
         table = F.when(name.startswith(prefix), target).otherwise(table)
     pending = (pending_files(list_files(spark, landing), audit.processed())
                .select("*", table.alias("table_name"), batch_id(name).alias("name_id")).collect())
     if not pending:
         return []
     first_lines = headers(spark, {p["source_file"]: p["path"] for p in pending if p["file_size"]})
-    unknown = [p["path"] for p in pending
+    unknown = [p["path"] for p in pending if p["source_file"] in first_lines
                if options.batch_from_content or p["table_name"] not in options.spanning]
     profiles = {r["source_file"]: r for r in profile_files(spark, unknown).collect()} \
         if unknown else {}
@@ -163,14 +165,7 @@ class _Load:
     def table(self, files: list[_File]) -> list[tuple]:
         """Load one table's files; returns its new registry rows."""
         readable = [f for f in files if not f.error]
-        joined = [f for f in readable if f.reading == JOINED]
-        if joined:
-            folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
-            lines = store_lines(self.spark, [f.path for f in joined], folder)
-            self.lines[joined[0].table] = lines
-            unfit = unfit_files(lines)
-            for file in joined:
-                file.reading = WHOLE if file.name in unfit else JOINED
+        self._join_lines([f for f in readable if f.reading == JOINED])
         groups: dict[tuple, list[_File]] = defaultdict(list)
         for file in readable:
             groups[(tuple(file.columns), file.reading)].append(file)
@@ -181,6 +176,20 @@ class _Load:
             self._attempt(self._store, [f for f in group if not f.error])
         return registered
 
+    def _join_lines(self, files: list[_File]) -> None:
+        """Prepare large files whose records span lines; unfit ones are read whole."""
+        if not files:
+            return
+        try:
+            folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
+            lines = store_lines(self.spark, [f.path for f in files], folder)
+            unfit = unfit_files(lines)
+            self.lines[files[0].table] = lines
+        except PySparkException:
+            unfit = {f.name for f in files}
+        for file in files:
+            file.reading = WHOLE if file.name in unfit else JOINED
+
     def _attempt(self, work: Callable[[list[_File]], None], files: list[_File]) -> None:
         """Do a group at once; if that fails, file by file, to fail only the bad ones."""
         try:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -73,12 +73,16 @@ def headers(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
     """First filled line of each file, by file name; files are given as name -> path.
 
     For a moderate number of files each is opened for its first line only. Past
-    that, one job over all of them is cheaper than a job each.
+    that, one job over all of them is cheaper than a job each. An unreadable file
+    has no header.
     """
     filled = F.trim("value") != ""
     if len(files) <= MAX_HEAD_READS:
         def head(item: tuple[str, str]) -> tuple[str, list]:
-            return item[0], spark.read.text(item[1]).where(filled).head(1)
+            try:
+                return item[0], spark.read.text(item[1]).where(filled).head(1)
+            except PySparkException:
+                return item[0], []
 
         with ThreadPoolExecutor(HEAD_THREADS) as pool:
             return {name: rows[0]["value"] for name, rows in pool.map(head, files.items()) if rows}

@@ -13,6 +13,10 @@ LINEAGE = [StructField("_ingested_at", TimestampNTZType()),
            StructField("_batch_id", StringType()), StructField("_source_file", StringType())]
 
 
+class MissingTable(ValueError):
+    """A raw or model table that is not there yet."""
+
+
 def raw_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/raw/{table}"
 
@@ -38,7 +42,7 @@ def read_raw(spark: SparkSession, root: str, table: str,
     """A raw table with its registered types, looked up unless given."""
     schemas = Audit(spark, root).active_schemas() if schemas is None else schemas
     if table not in schemas:
-        raise ValueError(f"no raw table {table!r}")
+        raise MissingTable(f"no raw table {table!r}")
     _, columns = schemas[table]
     return read_text(spark, root, table, list(columns)).select(
         *[typed(col(c), t).alias(c) for c, t in columns.items()],

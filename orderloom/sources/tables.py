@@ -74,6 +74,14 @@ class Tables:
                     r["n_rows"], r["schema_json"])
         return self._live.get(table, {})
 
+    def superseded(self) -> DataFrame:
+        """Folders of parts that a later version replaced; none is read any more."""
+        self.live("")
+        live = local_table(self.spark, [(e.path,) for parts in self._live.values()
+                                        for e in parts.values() if e.path], "path string")
+        return (self.manifest().where(F.col("path").isNotNull())
+                .join(live, "path", "left_anti").select("table_name", "version", "part", "path"))
+
     def _after_staging(self, table: str) -> dict[str, Entry]:
         entries = self.staged.get(table, [])
         kept = {} if any(e.full for e in entries) else self.live(table)

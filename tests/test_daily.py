@@ -120,8 +120,12 @@ def test_update_replaces_adds_and_touches_only_its_months(shop):
     assert set(fact) == {"o1", "o2", "o3"}
     assert (fact["o2"]["order_status"], fact["o2"]["customer_unique_id"]) == ("shipped", "u1")
     assert fact["o3"]["order_status"] == "paid"
-    live = Tables(shop.spark, shop.root).live("fct_orders")
+    tables = Tables(shop.spark, shop.root)
+    live = tables.live("fct_orders")
     assert live["2018-01"].path == january
+    assert {(r["table_name"], r["version"], r["part"]) for r in tables.superseded().collect()} == {
+        ("stg_orders", 1, "2018-02"), ("fct_orders", 1, "2018-02"),
+        ("dim_customers", 1, "all"), ("dim_products", 1, "all")}
     assert sorted(live) == ["2018-01", "2018-02", "2018-03"]
 
 
@@ -275,6 +279,17 @@ def test_views_answer_sql(shop):
     assert shop.spark.sql("select count(*) n from ingestion_log").first()["n"] == 9
 
 
+def test_views_before_everything_is_there(drops):
+    drops.put("customers_dataset.csv", FIRST["customers_dataset"])
+    drops.put("extra.csv", "a\n1\n")
+    drops.load()
+    names = create_views(drops.spark, drops.root)
+    assert names == ["check_results", "customers_dataset", "extra", "ingestion_log",
+                     "quarantine", "schema_registry", "stg_customers"]
+    with pytest.raises(ValueError, match="orders_dataset"):
+        build_models(Models(drops.spark, drops.root))
+
+
 def test_unpublished_build_is_invisible(shop):
     shop.run(0)
     models = shop.models(staged=True)
