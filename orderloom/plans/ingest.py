@@ -7,8 +7,8 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
@@ -22,12 +22,10 @@ from ..sources.landing import (CORRUPT, header_names, headers, list_files, profi
                                read_rows, text_lines)
 from ..sources.local import local_table
 from ..sources.raw import read_text, write_raw
-from ..sources.spanning import read_spanning, store_lines, unfit_files
+from ..sources.spanning import header_lengths, overlong_records, read_spanning, store_lines
 from .operations import pending_files
 
 TABLE_THREADS = 4
-# How a file is read: split at line ends, whole, or split with its records put together.
-LINES, WHOLE, JOINED = "lines", "whole", "joined"
 _LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_batch_id": "string"}
 
 
@@ -45,8 +43,6 @@ class IngestOptions:
     spanning: Mapping[str, bool] = field(default_factory=dict)
     # Batch id from the file's name, or from its content.
     batch_from_content: bool = False
-    # Files with records spanning lines are read whole, one task each, up to this size.
-    whole_file_bytes: int = 256 * 1024 * 1024
     # Count surplus copies of rows per file; costs a shuffle.
     count_duplicates: bool = False
 
@@ -58,8 +54,9 @@ class _File:
     size: int
     table: str
     batch: str
+    header: str | None
     columns: list[str]
-    reading: str
+    spanning: bool
     stats: Row | None = None
     copies: int | None = None
     error: str | None = None
@@ -135,11 +132,9 @@ def _describe(listed: Row, header: str | None, profile: Row | None,
     by_content = options.batch_from_content and profile is not None
     file = _File(
         path=listed["path"], name=listed["source_file"], size=listed["file_size"], table=table,
-        batch=profile["content_id"] if by_content else listed["name_id"], columns=names,
-        reading=WHOLE if options.spanning.get(table, bool(profile and profile["open_lines"]))
-        else LINES)
-    if file.reading == WHOLE and file.size > options.whole_file_bytes:
-        file.reading = JOINED
+        batch=profile["content_id"] if by_content else listed["name_id"],
+        header=header, columns=names,
+        spanning=options.spanning.get(table, bool(profile and profile["open_lines"])))
     reserved = [n for n in names if n in (*LINEAGE, CORRUPT)]
     if not names:
         file.error = "no header"
@@ -165,10 +160,12 @@ class _Load:
     def table(self, files: list[_File]) -> list[tuple]:
         """Load one table's files; returns its new registry rows."""
         readable = [f for f in files if not f.error]
-        self._join_lines([f for f in readable if f.reading == JOINED])
+        spanning = [f for f in readable if f.spanning]
+        if spanning:
+            self._attempt(self._join_lines, spanning)
         groups: dict[tuple, list[_File]] = defaultdict(list)
-        for file in readable:
-            groups[(tuple(file.columns), file.reading)].append(file)
+        for file in (f for f in readable if not f.error):
+            groups[(tuple(file.columns), file.spanning)].append(file)
         for group in groups.values():
             self._attempt(self._measure, group)
         registered = self._decide(readable)
@@ -177,18 +174,16 @@ class _Load:
         return registered
 
     def _join_lines(self, files: list[_File]) -> None:
-        """Prepare large files whose records span lines; unfit ones are read whole."""
-        if not files:
-            return
-        try:
-            folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
-            lines = store_lines(self.spark, [f.path for f in files], folder)
-            unfit = unfit_files(lines)
-            self.lines[files[0].table] = lines
-        except PySparkException:
-            unfit = {f.name for f in files}
+        """Number the lines of files whose records span lines."""
+        folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
+        lines = store_lines(self.spark, [f.path for f in files], folder)
+        overlong, first = overlong_records(lines), header_lengths(lines)
         for file in files:
-            file.reading = WHOLE if file.name in unfit else JOINED
+            self.lines[file.name] = lines
+            if file.name in overlong:
+                file.error = f"a record of {overlong[file.name]} characters, or an unclosed quote"
+            elif first.get(file.name) != len(file.header.removeprefix("\ufeff")):
+                file.error = "the first record is not the first line"
 
     def _attempt(self, work: Callable[[list[_File]], None], files: list[_File]) -> None:
         """Do a group at once; if that fails, file by file, to fail only the bad ones."""
@@ -203,13 +198,16 @@ class _Load:
 
     def _rows(self, files: list[_File]) -> DataFrame:
         first = files[0]
-        paths = [f.path for f in files]
-        if first.reading == JOINED:
-            lines = self.lines[first.table].where(
-                F.col("_source_file").isin([f.name for f in files]))
+        if first.spanning:
+            names = defaultdict(list)
+            for file in files:
+                names[id(self.lines[file.name])].append(file.name)
+            lines = reduce(DataFrame.unionByName, [
+                self.lines[group[0]].where(F.col("_source_file").isin(group))
+                for group in names.values()])
             rows = read_spanning(lines, first.columns)
         else:
-            rows = read_rows(self.spark, paths, first.columns, first.reading == WHOLE)
+            rows = read_rows(self.spark, [f.path for f in files], first.columns)
         keep = {c for t, c in self.options.keep_tokens if t == first.table}
         return apply_null_tokens(rows, first.columns, keep)
 

@@ -18,8 +18,10 @@ FILES_SCHEMA = "path string, source_file string, file_size bigint, modified_at t
 CORRUPT = "_corrupt"
 MAX_HEAD_READS = 2000
 HEAD_THREADS = 16
-# A quoted field, alone between its separators, with quotes inside doubled.
-_QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+# A quoted field up to its closing quote; quotes inside it are doubled. Quotes
+# elsewhere than at the start of a field are plain text.
+TO_CLOSING_QUOTE = r'^[^"]*+(?:""[^"]*+)*+"'
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 
 
 def missing_path(error: AnalysisException) -> bool:
@@ -61,12 +63,13 @@ def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def open_ended(line: Column) -> Column:
-    """Whether a line has quotes other than whole quoted fields.
+def ends_inside(line: Column) -> Column:
+    """Whether a line that starts a record ends within a quoted cell.
 
-    If no line of a file has, no record of it spans lines.
+    If no line of a file does, no record of it spans lines.
     """
-    return line.contains('"') & F.regexp_replace(line, _QUOTED_FIELD, "$1").contains('"')
+    plain = F.regexp_replace(line, f"(^|,){_QUOTED}", "$1x")
+    return line.contains('"') & plain.rlike('(^|,)"')
 
 
 def headers(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
@@ -93,12 +96,12 @@ def headers(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
 
 
 def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: lines that may belong to a longer record, and a hash of the content.
+    """Per file: lines that begin a longer record, and a hash of the content.
 
     All buffers are longs, so this hash-aggregates over the text in one pass.
     """
     counted = text_lines(spark, paths).groupBy("source_file").agg(
-        F.count_if(open_ended(F.col("value"))).alias("open_lines"),
+        F.count_if(ends_inside(F.col("value"))).alias("open_lines"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.xxhash64("value").bitwiseAND(0xFFFFFFFF)).alias("line_sum"))
     content = F.concat_ws(":", F.col("n_lines"), F.col("line_sum"))
@@ -113,16 +116,15 @@ def header_names(header: str | None) -> list[str]:
     return next(csv.reader([header.removeprefix("\ufeff")]), [])
 
 
-def read_rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-              whole: bool) -> DataFrame:
+def read_rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows of files sharing one header, every column as text.
 
-    Rows with too few or too many cells keep their line in `CORRUPT`. With
-    ``whole`` a record may span lines and each file is one task; else files split.
+    Rows with too few or too many cells keep their line in `CORRUPT`. Every line
+    is a record; `spanning` reads files for which that does not hold.
     """
     schema = StructType([StructField(c, StringType()) for c in [*columns, CORRUPT]])
     rows = (spark.read.schema(schema)
-            .option("header", True).option("multiLine", whole)
+            .option("header", True)
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .csv(list(paths)))

@@ -1,21 +1,47 @@
-"""Large CSV files whose quoted cells hold line breaks, read by many tasks.
+"""CSV files whose quoted cells hold line breaks, each read by many tasks.
 
-Spark's reader gives such a file to one task. Here its lines are read in splits,
+Spark's reader gives such a file to one task and rewrites the breaks. Here its lines are read in splits,
 numbered by the record they belong to, and only the lines of longer records are
-put together. A line starts a record when the quotes before it are even, which
-needs one number per split to be carried along the file.
+put together. Whether a line starts inside a quoted cell follows from the lines
+before it: each either keeps that state, swaps it, or ends in the same state
+whatever came before. So one row per split is enough to carry it along a file.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .landing import CORRUPT, file_name, open_ended
+from .landing import CORRUPT, TO_CLOSING_QUOTE, ends_inside, file_name
 
-# Longer records are left to the whole-file reader.
-MAX_RECORD_CHARS = 16 * 1024 * 1024
+# A file with a longer record fails: a quote that is never closed makes such records.
+MAX_RECORD_CHARS = 64 * 1024 * 1024
+
+
+def _inside_after(line: Column) -> Column:
+    """Whether a line that starts within a quoted cell also ends within one."""
+    rest = F.regexp_replace(line, TO_CLOSING_QUOTE, "x")
+    return ~line.rlike(TO_CLOSING_QUOTE) | ends_inside(rest)
+
+
+def _carry(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Add what `_state` needs to tell the state before each row.
+
+    A row's ``from_out`` and ``from_in`` are the states it ends in. Where they are
+    equal the row fixes the state; else ``from_out`` says whether it swaps it.
+    """
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    fixes = F.col("from_out") == F.col("from_in")
+    swaps = F.when(fixes, 0).otherwise(F.col("from_out"))
+    swapped = rows.withColumn("swapped", F.coalesce(F.sum(swaps).over(before), F.lit(0)))
+    mark = F.when(fixes, F.col("from_out") - F.col("swapped"))
+    return swapped.withColumn("mark", F.last(mark, ignorenulls=True).over(before))
+
+
+def _state(start: Column) -> Column:
+    """1 within a quoted cell, else 0, given the state before the first row."""
+    return F.pmod(F.coalesce("mark", start) + F.col("swapped"), F.lit(2))
 
 
 def _numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -27,36 +53,42 @@ def _numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     text = F.col("value")
     lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
         file_name().alias("_source_file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), "value",
-        ((F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2).alias("odd"),
-        (F.trim(F.rtrim(text, F.lit("\r"))) != "").alias("filled"))
-
-    split = Window.partitionBy("_source_file", "block").orderBy("at")
-    earlier = split.rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    inside = lines.withColumn("before", before)
-
+        F.monotonically_increasing_id().alias("at"),
+        F.rtrim(text, F.lit("\r")).alias("bare"), "value").select(
+        "_source_file", "block", "at", "value", (F.trim("bare") != "").alias("filled"),
+        ends_inside(F.col("bare")).cast("int").alias("from_out"),
+        _inside_after(F.col("bare")).cast("int").alias("from_in"))
+    carried = _carry(lines, ["_source_file", "block"], "at")
+
+    out, inside = F.lit(0), F.lit(1)
+
+    def after(start: Column) -> Column:
+        return F.when(_state(start) == 0, F.col("from_out")).otherwise(F.col("from_in"))
+
+    splits = carried.groupBy("_source_file", "block").agg(
+        F.max(F.struct("at", after(out).alias("from_out"), after(inside).alias("from_in")))
+        .alias("end"),
+        F.count_if(F.col("filled") & (_state(out) == 0)).alias("starts_from_out"),
+        F.count_if(F.col("filled") & (_state(inside) == 0)).alias("starts_from_in"))
     in_file = (Window.partitionBy("_source_file").orderBy("block")
                .rowsBetween(Window.unboundedPreceding, -1))
-    splits = inside.groupBy("_source_file", "block").agg(
-        F.sum("odd").alias("odd_lines"),
-        F.count_if(F.col("filled") & (F.col("before") == 0)).alias("starts_if_even"),
-        F.count_if(F.col("filled") & (F.col("before") == 1)).alias("starts_if_odd"))
-    carried = splits.withColumn("carry", F.coalesce(F.sum("odd_lines").over(in_file), F.lit(0)) % 2)
-    starts_here = F.when(F.col("carry") == 0, F.col("starts_if_even")).otherwise(
-        F.col("starts_if_odd"))
-    offsets = (carried.withColumn("starts_here", starts_here)
-               .select("_source_file", "block", "carry",
+    offsets = (_carry(splits.select("*", "end.from_out", "end.from_in"),
+                      ["_source_file"], "block")
+               .withColumn("start", _state(out))
+               .withColumn("starts_here", F.when(F.col("start") == 0, F.col("starts_from_out"))
+                           .otherwise(F.col("starts_from_in")))
+               .select("_source_file", "block", "start",
                        F.coalesce(F.sum("starts_here").over(in_file), F.lit(0)).alias("offset")))
 
-    outside = F.col("before") == F.col("carry")
+    outside = _state(F.col("start")) == 0
     starts = outside & F.col("filled")
-    return (inside.join(offsets, ["_source_file", "block"])
+    until_here = (Window.partitionBy("_source_file", "block").orderBy("at")
+                  .rowsBetween(Window.unboundedPreceding, 0))
+    return (carried.join(offsets, ["_source_file", "block"])
             .where(starts | ~outside)
-            .withColumn("record", F.col("offset") + F.count_if(starts).over(
-                split.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("record", F.col("offset") + F.count_if(starts).over(until_here))
             .select("_source_file", "record", "block", "at", "value",
-                    (starts & (F.col("odd") == 0)).alias("whole")))
+                    (starts & (F.col("from_out") == 0)).alias("whole")))
 
 
 def _records(lines: DataFrame) -> DataFrame:
@@ -75,26 +107,29 @@ def store_lines(spark: SparkSession, paths: Sequence[str], folder: str) -> DataF
     return spark.read.parquet(folder)
 
 
-def unfit_files(lines: DataFrame) -> set[str]:
-    """Names of files with quotes in odd places or overlong records.
+def overlong_records(lines: DataFrame) -> dict[str, int]:
+    """Length of the longest record, by file, where it is more than can be put together.
 
-    Record lengths are summed first, so a stray quote that seems to open a
-    record as long as the file is found before any lines are put together.
+    Lengths are summed, so a quote that is never closed is found this way before
+    the rest of the file is put into one record.
     """
-    too_long = (lines.where(~F.col("whole")).groupBy("_source_file", "record")
-                .agg(F.sum(F.length("value") + 1).alias("chars"))
-                .where(F.col("chars") > MAX_RECORD_CHARS)
-                .select("_source_file").distinct())
-    unfit = {r[0] for r in too_long.collect()}
-    if unfit:
-        lines = lines.where(~F.col("_source_file").isin(list(unfit)))
-    odd = (_records(lines).where(open_ended(F.col("value")))
-           .select("_source_file").distinct())
-    return unfit | {r[0] for r in odd.collect()}
+    lengths = (lines.where(~F.col("whole")).groupBy("_source_file", "record")
+               .agg(F.sum(F.length("value") + 1).alias("chars")))
+    longest = (lengths.where(F.col("chars") > MAX_RECORD_CHARS)
+               .groupBy("_source_file").agg(F.max("chars").alias("chars")))
+    return {r["_source_file"]: r["chars"] for r in longest.collect()}
+
+
+def header_lengths(lines: DataFrame) -> dict[str, int]:
+    """Characters in the first record of each file, which is its header."""
+    text = F.ltrim(F.rtrim("value", F.lit("\r")), F.lit("\ufeff"))
+    first = (lines.where(F.col("record") == 1).groupBy("_source_file")
+             .agg(F.sum(F.length(text)).alias("chars")))
+    return {r["_source_file"]: r["chars"] for r in first.collect()}
 
 
 def read_spanning(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of files `unfit_files` found nothing in, as `landing.read_rows` gives them."""
+    """Rows of files without overlong records, as `landing.read_rows` gives them."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT])
     parsed = F.from_csv("value", schema, {
         "quote": '"', "escape": '"', "mode": "PERMISSIVE",
