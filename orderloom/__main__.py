@@ -33,6 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--publish-on-failure", action="store_true")
     parser.add_argument("--full-refresh", action="store_true")
     parser.add_argument("--late-inputs", action="store_true")
+    parser.add_argument("--shuffle-partitions", help="about shuffled bytes / 256 MiB; AQE merges "
+                        "small ones", default=None)
     parser.add_argument("--table", help="raw table, for rollback")
     parser.add_argument("--batch", help="batch id, for rollback")
     parser.add_argument("--reload", action="store_true", help="load rolled-back files again")
@@ -47,6 +49,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for key, value in SETTINGS.items():
             builder = builder.config(key, value)
         spark = builder.getOrCreate()
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions)
     run_ts = args.run_ts or utc_now()
     files = IngestOptions(tables=dict(pair.split("=", 1) for pair in args.table_map))
     options = DailyOptions(

@@ -153,8 +153,10 @@ class Tables:
             entries = [Entry(table, version, _WHOLE, path, full, rows, schema)]
         else:
             # Rebalancing gives each part few files, and splits a part too big for one task.
+            # The folder may hold parts of a version that was never published; all go.
             (df.withColumn(_PART, part).hint("rebalance", F.col(_PART))
-             .write.mode("overwrite").partitionBy(_PART).parquet(path))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(_PART).parquet(path))
             counts = (read_or_empty(self.spark, path, f"{_PART} string")
                       .groupBy(_PART).count().collect())
             entries = [Entry(table, version, r[_PART], f"{path}/{_PART}={r[_PART]}", full,

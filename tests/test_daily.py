@@ -151,6 +151,15 @@ def test_widened_column_rewrites_every_part(spark, tmp_path):
     assert sorted(map(tuple, tables.read("t").collect())) == [(1, 10.0, "a"), (2, 2.5, "b")]
 
 
+def test_leftovers_of_an_unpublished_version_are_not_read(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    Tables(spark, str(tmp_path)).build("t", rows, F.col("p"))
+    tables = Tables(spark, str(tmp_path))
+    tables.build("t", rows.where("k = 2"), F.col("p"))
+    tables.publish(DAY[0])
+    assert [r["k"] for r in tables.read("t").collect()] == [2]
+
+
 def test_incremental_equals_rebuild(shop):
     shop.run(0)
     shop.put(f"{PREFIX}orders_dataset_2.csv", ORDERS_HEAD +
@@ -279,6 +288,30 @@ def test_views_answer_sql(shop):
     assert shop.spark.sql("select count(*) n from ingestion_log").first()["n"] == 9
 
 
+def test_commands(shop, capsys):
+    from orderloom.__main__ import main
+    common = ["--root", shop.root, "--landing", str(shop.landing), "--prefix", PREFIX]
+    maps = [a for n in FIRST for a in ("--table-map", f"{PREFIX}{n}={PREFIX}{n}")]
+
+    def run(command, day, *more):
+        return main([command, *common, "--run-ts", DAY[day].isoformat(), *more], shop.spark)
+
+    assert run("daily", 0, *maps) == 0
+    shop.put(f"{PREFIX}orders_dataset_2.csv", ORDERS_HEAD +
+             "o5,missing,created,2018-03-01 10:00:00,,,,\n")
+    assert run("ingest", 1, *maps) == 0
+    assert run("build", 1) == 0
+    assert run("check", 1) == 1
+    assert run("freshness", 1) == 0
+    batch = shop.models().raw("orders").where("order_id = 'o5'").first()["_batch_id"]
+    assert run("rollback", 2, "--table", f"{PREFIX}orders_dataset", "--batch", batch) == 0
+    assert run("build", 2, "--full-refresh") == 0
+    assert run("check", 2) == 0
+    capsys.readouterr()
+    assert run("sql", 2, "--query", "select count(*) n_orders from fct_orders") == 0
+    assert "n_orders" in capsys.readouterr().out
+
+
 def test_views_before_everything_is_there(drops):
     drops.put("customers_dataset.csv", FIRST["customers_dataset"])
     drops.put("extra.csv", "a\n1\n")
