@@ -29,16 +29,17 @@ def hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
             for c in columns}
 
 
-def only_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows worth keeping for a later join to ``keys``, at the least all that match.
+def only_keys(sides: Sequence[DataFrame], keys: DataFrame, key: str) -> list[DataFrame]:
+    """Rows of each side worth keeping for a later join to ``keys``, at least all that match.
 
     With few keys, counted first, the rest goes before it is shuffled. With many
-    the rows stay as they are, and the join itself decides.
+    the sides stay as they are, and the join itself decides.
     """
     wanted = keys.select(key).distinct()
     if wanted.limit(FEW_KEYS + 1).count() > FEW_KEYS:
-        return rows
-    return rows.join(F.broadcast(wanted), key, "left_semi").select(*rows.columns)
+        return list(sides)
+    return [side.join(F.broadcast(wanted), key, "left_semi").select(*side.columns)
+            for side in sides]
 
 
 def _is_hot(key: str, hot: Sequence) -> Column:

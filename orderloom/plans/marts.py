@@ -61,10 +61,9 @@ def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
 def fct_orders_for(orders: DataFrame, customers: DataFrame, item_lines: DataFrame,
                    payment_lines: DataFrame) -> DataFrame:
     """Fact rows for some orders, from all their item and payment lines."""
-    return fct_orders(
-        orders, customers,
-        order_items_aggregated(only_keys(item_lines, orders, "order_id")),
-        order_payments_pivoted(only_keys(payment_lines, orders, "order_id")))
+    items, payments = only_keys([item_lines, payment_lines], orders, "order_id")
+    return fct_orders(orders, customers, order_items_aggregated(items),
+                      order_payments_pivoted(payments))
 
 
 def new_orders(target: DataFrame, orders: DataFrame) -> DataFrame:
