@@ -86,10 +86,13 @@ def late_orders(target: DataFrame, orders: DataFrame, customers: DataFrame,
     that arrive after their order.
     """
     mark = high_water_mark(target, "_ingested_at")
+    arrived = (newer_than(customers, "_ingested_at", mark).select("customer_id").distinct()
+               .withColumn("arrived", F.lit(True)))
+    hot = hot_values(orders, ["customer_id"])["customer_id"]
+    of_arrived = lookup(orders.select("order_id", "customer_id"), [arrived], "customer_id",
+                        hot).where("arrived")
     touched = (newer_than(orders, "_ingested_at", mark).select("order_id")
                .unionByName(newer_than(raw_items, "_ingested_at", mark).select("order_id"))
                .unionByName(newer_than(raw_payments, "_ingested_at", mark).select("order_id"))
-               .unionByName(orders.join(newer_than(customers, "_ingested_at", mark)
-                                        .select("customer_id").distinct(),
-                                        "customer_id", "left_semi").select("order_id")))
+               .unionByName(of_arrived.select("order_id")))
     return orders.join(touched.distinct(), "order_id", "left_semi").select(*orders.columns)

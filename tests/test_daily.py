@@ -183,6 +183,18 @@ def test_late_items_need_the_option(shop):
     assert shop.fact()["o1"]["total_items"] == 2
 
 
+def test_late_customers_need_the_option(shop):
+    shop.put(f"{PREFIX}orders_dataset_2.csv", ORDERS_HEAD +
+             "o8,c8,created,2018-03-01 10:00:00,,,,\n")
+    shop.run(0, publish_on_failure=True)
+    assert shop.fact()["o8"]["customer_unique_id"] is None
+    shop.put(f"{PREFIX}customers_dataset_2.csv", FIRST["customers_dataset"].split("\n")[0] +
+             "\nc8,u8,1000,natal,RN\n")
+    assert shop.run(1, late_inputs=True).published
+    assert shop.fact()["o8"]["customer_unique_id"] == "u8"
+    assert len(shop.fact()) == 3
+
+
 def test_failing_checks_keep_the_live_tables(shop):
     shop.run(0)
     before = shop.fact()
