@@ -3,7 +3,8 @@
 import pytest
 from oracle_compare import compare, connect
 
-import __spark_entry__ as contract
+import __spark_entry__ as entry_points
+from orderloom.contract import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,13 +15,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(queries.ALL) == set(oracle.ALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_every_query_is_registered():
+    assert set(queries.ALL) <= set(entry_points.queries())
+    assert set(oracle.ALL) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ALL))
 def test_query(spark, duck, name):
-    assert compare(duck, contract.oracle_sql()[name], contract.queries()[name](spark, SF)) is None
+    assert compare(duck, oracle.ALL[name], queries.ALL[name](spark, SF)) is None
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() == 1500
+    assert entry_points.entry(spark).count() == 1500
