@@ -17,6 +17,14 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``rows`` does not have yet, in any letter case."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts, each run small unless one text alone is large."""
     start = size = 0

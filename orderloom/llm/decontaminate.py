@@ -5,10 +5,11 @@ automata that read every run of words of every item. Documents stream through th
 word the automaton gives the longest run ending there that an item holds. Where that is a
 window (``window`` item words, or a whole shorter item) the words are hit.
 
-The automata are built shard by shard, so none grows with the number of items: a shard holds
-at most ``SHARD_WORDS`` item words, and longer items are cut into overlapping parts that lose
-no window. Each shard in turn is broadcast, with that bound, and read against all documents;
-the hits of several shards are united per row by position. No document is shuffled.
+No automaton grows with the number of items: a shard holds at most ``SHARD_WORDS`` item words,
+and longer items are cut into overlapping parts that lose no window. ``SHARDS_AT_ONCE`` of
+them, each broadcast with that bound, are read in one pass over the documents; where there are
+more, the rows go on to the next pass through the shared folder. Hits of several shards are
+united by position. No document is shuffled.
 
 A NULL or wordless text has no words; a NULL or wordless item has no window. Items are told
 apart by id, so repeated ids count once; an item without id is the id "". Rows pass one for
@@ -17,18 +18,20 @@ one, repeated rows and NULL doc_ids alike. Texts are read whole.
 
 from __future__ import annotations
 
-import hashlib
+import itertools
+import pickle
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
-import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .batches import map_texts
+from ..session import scratch_dir
+from .batches import fresh, slices
 
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
+SHARDS_AT_ONCE = 8
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -162,7 +165,7 @@ def _parts(words: list[str], window: int) -> list[list[str]]:
 
 def shards(benchmark: DataFrame, window: int, id_column: str = "item_id",
            text_column: str = "text") -> Iterator[Automaton]:
-    """Automata of all items, one at a time; items are read in order of id, as a stream."""
+    """Automata of all items, one at a time; the driver holds the items of one."""
     automaton, size = Automaton(window), 0
     rows = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"),
                             F.col(text_column).alias("text"))
@@ -179,3 +182,118 @@ def shards(benchmark: DataFrame, window: int, id_column: str = "item_id",
             size += len(part)
     if size:
         yield automaton.finish()
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    done: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if done and start <= done[-1][1]:
+            done[-1] = (done[-1][0], max(end, done[-1][1]))
+        else:
+            done.append((start, end))
+    return done
+
+
+def without(text: str, spans: list[tuple[int, int]], shortest: int) -> str:
+    """The text without spans of ``shortest`` or more words, from first to last word."""
+    spans = [s for s in spans if s[1] - s[0] >= shortest]
+    if not spans:
+        return text
+    at = [m.span() for m in WORD.finditer(text.translate(_LOWER))]
+    kept, end = [], 0
+    for first, after in spans:
+        kept.append(text[end:at[first][0]])
+        end = at[after - 1][1]
+    return "".join(kept) + text[end:]
+
+
+def _pass(rows: DataFrame, text: str, names: list[str], automata: list, cut: int | None
+          ) -> DataFrame:
+    """Rows with word count, spans and items brought up to date; with ``cut``, texts cut too."""
+    schema, at = rows.schema, rows.columns.index(text)
+    words_at, start_at, end_at, items_at = map(rows.columns.index, names)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, readers = None, [None]
+        for batch in batches:
+            for start, end in slices(batch.column(at).to_pylist()):
+                part = batch.slice(start, end - start)
+                columns = {i: part.column(i).to_pylist()
+                           for i in (at, words_at, start_at, end_at, items_at)}
+                words = [words_of(t) for t in columns[at]]
+                spans = [list(zip(*x)) for x in zip(columns[start_at], columns[end_at])]
+                items = [set(x) for x in columns[items_at]]
+                for k, automaton in enumerate(automata):
+                    if held != k:  # one at a time in memory, kept if there is one only
+                        readers[0], held = pickle.loads(automaton.value), k
+                    for i, own in enumerate(words):
+                        found, holders = readers[0].hits(own)
+                        spans[i] += found
+                        items[i] |= holders
+                spans = [united(x) for x in spans]
+                columns[words_at] = [len(x) for x in words]
+                columns[start_at] = [[s for s, _ in x] for x in spans]
+                columns[end_at] = [[e for _, e in x] for x in spans]
+                columns[items_at] = [sorted(x) for x in items]
+                if cut is not None:
+                    columns[at] = [t if not x else without(t, x, cut)
+                                   for t, x in zip(columns[at], spans)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[i], arrow.field(i).type) if i in columns
+                     else part.column(i).cast(arrow.field(i).type)
+                     for i in range(len(arrow))], schema=arrow)
+
+    return rows.mapInArrow(run, schema)
+
+
+def mark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10,
+         text_column: str = "text", cut: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``docs`` with four more columns, and their names: word count, starts and ends of hit
+    spans in word positions, ids of items with occurring windows. With ``cut``, hit spans of so
+    many words or more are taken out of the texts."""
+    names = [fresh(docs, n) for n in ("n_words", "hit_starts", "hit_ends", "hit_items")]
+    kinds = ["long", "array<int>", "array<int>", "array<string>"]
+    rows = docs.withColumns({n: F.lit(0).cast(k) if k == "long" else F.array().cast(k)
+                             for n, k in zip(names, kinds)})
+    made = (pickle.dumps(a) for a in shards(benchmark, window))
+    group = list(itertools.islice(made, SHARDS_AT_ONCE))
+    while True:
+        automata = [spark.sparkContext.broadcast(a) for a in group]
+        group = list(itertools.islice(made, SHARDS_AT_ONCE))
+        rows = _pass(rows, text_column, names, automata, None if group else cut)
+        if not group:
+            return rows, names
+        path = scratch_dir(spark, "decontaminate")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+
+
+def _hit(names: list[str]):
+    return F.aggregate(F.zip_with(names[2], names[1], lambda e, s: e - s),
+                       F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10,
+                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: id, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans.
+
+    items_sha256 is of the item ids, sorted as strings and joined by commas (none: of "");
+    hit_spans reads "start-end" by word positions, end excluded.
+    """
+    marked, names = mark(spark, docs.select(id_column, text_column), benchmark, window, text_column)
+    spans = F.zip_with(names[1], names[2], lambda s, e: F.concat_ws("-", s.cast("string"),
+                                                                    e.cast("string")))
+    return marked.select(
+        id_column, F.col(names[0]).alias("n_words"), _hit(names).alias("n_hit"),
+        F.size(names[3]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names[3]), 256).alias("items_sha256"),
+        (F.size(names[1]) > 0).alias("contaminated"), F.concat_ws(",", spans).alias("hit_spans"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10,
+                  max_coverage: float = 0.5, text_column: str = "text") -> DataFrame:
+    """``docs`` without hit spans of ``window`` words or more, and without the documents of
+    whose words more than ``max_coverage`` were hit. Shorter items are cut out as they are."""
+    marked, names = mark(spark, docs, benchmark, window, text_column, cut=1)
+    return marked.where(_hit(names) <= F.col(names[0]) * F.lit(max_coverage)).drop(*names)
