@@ -5,16 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .batches import documents
+from .decontaminate import contamination
+from .simhash import simhash_groups
 from .token_counts import count_tokens
+from .vector_search import top_k
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark, documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(spark, documents(spark, sf_dir))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    op1_token_counts,
+    op1_token_counts, op2_exact_top_k, op6_simhash_near_dedup, op9_benchmark_decontamination,
 )}
