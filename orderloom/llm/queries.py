@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType)
 
-from .batches import documents
+from . import language, toxicity
+from .batches import documents, map_texts
 from .decontaminate import contamination
 from .simhash import simhash_groups
 from .token_counts import count_tokens
@@ -22,6 +24,31 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark, documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def _held_out(folds: int, fold: int) -> Column:
+    """Rows of one fold by doc_id, and rows without it: never learned from."""
+    own = F.crc32(F.col("doc_id").cast("string")) % folds == fold
+    return F.coalesce(own, F.lit(True))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), _held_out(4, 2)
+    model = toxicity.train(docs, documents(spark, sf_dir, "labels"), ~held_out)
+    return docs.select("doc_id", held_out.alias("held_out"),
+                       toxicity.toxicity(model, F.col("text")).alias("score")).withColumn(
+        "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), _held_out(3, 1)
+    model = language.train(docs, ~held_out)
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType),
+                         StructField("held_out", BooleanType()),
+                         StructField("lang_pred", StringType()),
+                         StructField("score", DoubleType())])
+    return map_texts(docs.select("doc_id", held_out.alias("held_out"), "text"), schema,
+                     model.predict)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(spark, documents(spark, sf_dir))
 
@@ -31,5 +58,6 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
-    op1_token_counts, op2_exact_top_k, op6_simhash_near_dedup, op9_benchmark_decontamination,
+    op1_token_counts, op2_exact_top_k, op3_toxicity, op4_language_id,
+    op6_simhash_near_dedup, op9_benchmark_decontamination,
 )}
