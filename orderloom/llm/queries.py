@@ -10,7 +10,9 @@ from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField,
 
 from . import language, toxicity
 from .batches import documents, map_texts
+from .chat import perspectives
 from .decontaminate import contamination
+from .line_dedup import drop_boilerplate
 from .simhash import simhash_groups
 from .token_counts import count_tokens
 from .vector_search import top_k
@@ -49,15 +51,25 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                      model.predict)
 
 
+def op5_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(documents(spark, sf_dir, "conversations"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(spark, documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(spark, documents(spark, sf_dir), "source", n_lines="n_lines",
+                            n_dropped="n_dropped").select(
+        "doc_id", "source", "n_lines", "n_dropped", "text")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_token_counts, op2_exact_top_k, op3_toxicity, op4_language_id,
-    op6_simhash_near_dedup, op9_benchmark_decontamination,
+    op5_chat_perspectives, op6_simhash_near_dedup, op7_line_dedup, op9_benchmark_decontamination,
 )}
