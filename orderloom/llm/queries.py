@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType)
 
-from . import language, toxicity
+from . import language, mixing, toxicity
 from .batches import documents, map_texts
 from .chat import perspectives
 from .decontaminate import contamination
@@ -65,11 +65,27 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+# Weights of the domains that ``domains`` tells apart.
+TARGETS = {"good": 0.95, "poor": 0.05}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "good").when(
+        F.col("quality") == 0, "poor").alias("domain"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = mixing.train(spark, docs, domains(documents(spark, sf_dir, "labels")), list(TARGETS))
+    return mixing.mix(spark, docs, model, TARGETS)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_token_counts, op2_exact_top_k, op3_toxicity, op4_language_id,
-    op5_chat_perspectives, op6_simhash_near_dedup, op7_line_dedup, op9_benchmark_decontamination,
+    op5_chat_perspectives, op6_simhash_near_dedup, op7_line_dedup, op8_mixing,
+    op9_benchmark_decontamination,
 )}
