@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType)
 
-from . import language, mixing, toxicity
+from . import language, licenses, mixing, toxicity
 from .batches import documents, map_texts
 from .chat import perspectives
 from .decontaminate import contamination
@@ -84,8 +84,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licenses.scan(docs, licenses.train(spark, docs))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_token_counts, op2_exact_top_k, op3_toxicity, op4_language_id,
     op5_chat_perspectives, op6_simhash_near_dedup, op7_line_dedup, op8_mixing,
-    op9_benchmark_decontamination,
+    op9_benchmark_decontamination, op10_license_scan,
 )}
