@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType)
 
 from . import language, licenses, mixing, toxicity
@@ -14,6 +14,7 @@ from .chat import perspectives
 from .decontaminate import contamination
 from .line_dedup import drop_boilerplate
 from .simhash import simhash_groups
+from .stages import TARGETS, domains, held_out
 from .token_counts import count_tokens
 from .vector_search import top_k
 
@@ -26,28 +27,22 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark, documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
-def _held_out(folds: int, fold: int) -> Column:
-    """Rows of one fold by doc_id, and rows without it: never learned from."""
-    own = F.crc32(F.col("doc_id").cast("string")) % folds == fold
-    return F.coalesce(own, F.lit(True))
-
-
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = documents(spark, sf_dir), _held_out(4, 2)
-    model = toxicity.train(docs, documents(spark, sf_dir, "labels"), ~held_out)
-    return docs.select("doc_id", held_out.alias("held_out"),
+    docs, other = documents(spark, sf_dir), held_out(4, 2)
+    model = toxicity.train(docs, documents(spark, sf_dir, "labels"), ~other)
+    return docs.select("doc_id", other.alias("held_out"),
                        toxicity.toxicity(model, F.col("text")).alias("score")).withColumn(
         "predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, held_out = documents(spark, sf_dir), _held_out(3, 1)
-    model = language.train(docs, ~held_out)
+    docs, other = documents(spark, sf_dir), held_out(3, 1)
+    model = language.train(docs, ~other)
     schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType),
                          StructField("held_out", BooleanType()),
                          StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    return map_texts(docs.select("doc_id", held_out.alias("held_out"), "text"), schema,
+    return map_texts(docs.select("doc_id", other.alias("held_out"), "text"), schema,
                      model.predict)
 
 
@@ -65,15 +60,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "n_lines", "n_dropped", "text")
 
 
-# Weights of the domains that ``domains`` tells apart.
-TARGETS = {"good": 0.95, "poor": 0.05}
-
-
-def domains(labels: DataFrame) -> DataFrame:
-    return labels.select("doc_id", F.when(F.col("quality") == 1, "good").when(
-        F.col("quality") == 0, "poor").alias("domain"))
-
-
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = mixing.train(spark, docs, domains(documents(spark, sf_dir, "labels")), list(TARGETS))

@@ -57,12 +57,9 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_column: str = "doc_id",
-                 text_column: str = "text") -> DataFrame:
-    """(doc_id, fp) per row."""
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column)
-    return map_texts(rows, StructType([StructField("doc_id", LongType()),
-                                       StructField("fp", LongType())]),
+def fingerprints(rows: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """``rows`` with ``fp`` in place of their last column, the text."""
+    return map_texts(rows, StructType([*rows.schema.fields[:-1], StructField("fp", LongType())]),
                      lambda texts: [[fingerprint(t, shingle, seed) for t in texts]])
 
 
@@ -124,19 +121,28 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 2, segments: int
     return paired.unionByName(starred.where("u <> v"))
 
 
+def groups(spark: SparkSession, rows: DataFrame, max_bits: int = 2, segments: int = 16
+           ) -> DataFrame:
+    """(fp, root): for each distinct fingerprint of ``rows``, one that stands for its group."""
+    path = f"{scratch_dir(spark, 'simhash')}/distinct"
+    rows.select("fp").distinct().write.parquet(path)
+    distinct = spark.read.parquet(path)
+    roots = components(spark, links(spark, distinct, max_bits, segments))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                    seed: int = 42, segments: int = 16, id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``; fingerprint is 16 hex digits."""
-    base = scratch_dir(spark, "simhash")
-    fingerprints(docs, shingle, seed, id_column, text_column).write.parquet(f"{base}/fps")
-    rows = spark.read.parquet(f"{base}/fps")
-    rows.groupBy("fp").agg(F.min("doc_id").alias("least")).write.parquet(f"{base}/distinct")
-    distinct = spark.read.parquet(f"{base}/distinct")
-    roots = components(spark, links(spark, distinct.select("fp"), max_bits, segments))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    path = f"{scratch_dir(spark, 'simhash')}/rows"
+    fingerprints(docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column),
+                 shingle, seed).write.parquet(path)
+    rows = spark.read.parquet(path)
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = groups(spark, rows, max_bits, segments).join(least, "fp")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id")).join(
+        rooted.select("fp", "root"), "root")
+    return rows.join(named.select("fp", "component_id"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
