@@ -45,12 +45,13 @@ def runs(texts: list[str | None], rows: int, longest: int = RUN
 def characters(parts: list[str], kind: str) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the parts' words, 0 before and after each word, and each one's part."""
     codes = np.frombuffer("\n".join(["", *parts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
-    owner = np.repeat(np.arange(len(parts) + 1), [1, *(len(p) + 1 for p in parts)])
-    # One separator leads, then each part is followed by its own.
-    owner = np.maximum(owner - 1, 0)
+    # Each part follows a separator of its own; of neighbouring ones the last is kept, so that
+    # the start of a word belongs to the part of the word.
+    owner = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
+    owner = np.append(owner, len(parts) - 1)
     codes = np.where(_class(kind)[codes], codes, 0)
     kept = np.ones(len(codes), bool)
-    kept[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+    kept[:-1] = (codes[:-1] != 0) | (codes[1:] != 0)
     return codes[kept], owner[kept]
 
 

@@ -164,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_column: str =
     """The model of the labelled rows for which ``learn``, a condition on the id, holds."""
     marked = labels.where(learn).groupBy(id_column).agg(
         F.min(label_column).alias("label"), F.max(label_column).alias("other")).where(
-        (F.col("label") == F.col("other")) & F.col("label").isin(0, 1))
+        (F.col("label") == F.col("other")) & F.col("label").isin(0, 1)
+        & F.col(id_column).isNotNull())
     counts = {r["label"]: r["n"] for r in
               marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
