@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # The substrings that mark a column as date-like.
 DATE_WORDS = ("date", "time", "_at", "timestamp")
@@ -13,14 +13,21 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# White space that does not count at the ends of a name.
+_EDGES = " \t\r\n\x0b\x0c"
+
+
 def normalise_name(name: Column) -> Column:
     """Trim, lower-case, and turn spaces into underscores."""
-    return F.replace(F.lower(F.trim(name)), F.lit(" "), F.lit("_"))
+    return F.translate(F.lower(F.trim(name, F.lit(_EDGES))), " ", "_")
 
 
-def normalise_header(names: list[str]) -> list[str]:
-    """`normalise_name` for the handful of names in one header line."""
-    return [n.strip().lower().replace(" ", "_") for n in names]
+def normalise_header(spark: SparkSession, names: list[str]) -> list[str]:
+    """`normalise_name` for the names in one header line; no job runs."""
+    if not names:
+        return []
+    row = spark.sql("VALUES (1)").select(F.array(*[normalise_name(F.lit(n)) for n in names]))
+    return list(row.first()[0])
 
 
 def file_stem(file_name: Column) -> Column:

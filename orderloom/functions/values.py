@@ -22,6 +22,8 @@ TIMESTAMP = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 # Narrowest first: the first type every value fits is the column's type.
 TYPE_ORDER = ("bigint", "double", "boolean", "timestamp_ntz")
+# A column that has had no value yet; the first file with one decides.
+UNKNOWN = "unknown"
 
 # Shapes of a day that is not ISO, and the ISO day or ``d MMM yyyy`` each turns into.
 # Month comes before day wherever both orders could be meant.
@@ -33,9 +35,10 @@ _NAMED_BEFORE = (r"^([A-Za-z]{3})[a-z]*[ -]([0-9]{1,2})[ ,-]+([0-9]{4})$", "$2 $
 # A day, then maybe a clock time, then maybe am or pm.
 _DAY_AND_CLOCK = (r"^(.+?)(?:[ T]+([0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,9})?)?)"
                   r"(?: ?([AaPp])[Mm])?)?$")
-_LONGEST_DATE = 48
 
-MONEY_SCALE = 100
+# Amounts are kept and summed with so many digits, of which so many are decimals. One with more
+# digits before the point does not fit, and keeps its file from being loaded.
+AMOUNT = "decimal(30,8)"
 
 
 def naive_utc(ts: datetime) -> datetime:
@@ -49,10 +52,15 @@ def null_if_token(value: Column) -> Column:
 
 
 def type_class(value: Column) -> Column:
-    """Position in `TYPE_ORDER` of the narrowest type a text fits; one more for plain text."""
-    integer = value.rlike(INTEGER) & value.try_cast("bigint").isNotNull()
+    """Position in `TYPE_ORDER` of the narrowest type a text fits; one more for plain text.
+
+    Whole numbers beyond 64 bits stay text: as doubles, different ids would read alike.
+    """
+    integer = value.rlike(INTEGER)
     timestamp = value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull()
-    return (F.when(value.isNull(), F.lit(None).cast("int")).when(integer, 0)
+    return (F.when(value.isNull(), F.lit(None).cast("int"))
+            .when(integer, F.when(value.try_cast("bigint").isNotNull(), 0)
+                  .otherwise(len(TYPE_ORDER)))
             .when(value.rlike(DOUBLE), 1).when(value.rlike(BOOLEAN), 2)
             .when(timestamp, 3).otherwise(len(TYPE_ORDER)))
 
@@ -86,24 +94,23 @@ def parse_date(value: Column) -> Column:
         F.concat(hour24.cast("string"), F.regexp_extract(clock, ":.*$", 0)))
     day = _parse_day(F.regexp_extract(text, _DAY_AND_CLOCK, 1))
     other = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), time).try_cast("timestamp_ntz")
-    return (F.when(text.rlike("^[0-9]{4}(-|$)"), text.try_cast("timestamp_ntz"))
-            .when(F.length(text) <= _LONGEST_DATE, other))
+    return F.when(text.rlike("^[0-9]{4}(-|$)"), text.try_cast("timestamp_ntz")).otherwise(other)
 
 
 def typed(value: Column, type_name: str) -> Column:
     """Read a text cell as its registered type; unreadable text becomes NULL."""
-    if type_name == "string":
+    if type_name in ("string", UNKNOWN):
         return value
     if type_name == "date_text":
         return parse_date(value)
     return value.try_cast(type_name)
 
 
-def money_sum(amount: Column) -> Column:
-    """Sum of an amount in whole cents, given back as a double.
+def amount(value: Column) -> Column:
+    """An exact amount; NULL where it is no number or has too many digits."""
+    return value.try_cast(AMOUNT)
 
-    A whole-number sum has the same result in any order of rows, and unlike a
-    decimal sum it stays in primitive longs through both aggregation phases.
-    """
-    cents = F.rint(amount.cast("double") * MONEY_SCALE).cast("bigint")
-    return F.sum(cents) / F.lit(MONEY_SCALE)
+
+def money_sum(value: Column) -> Column:
+    """Sum of amounts, exact in any order of rows, given back as a double."""
+    return F.try_sum(amount(value)).cast("double")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -38,8 +37,10 @@ def detect_drift(existing: dict[str, str], incoming: dict[str, str]) -> Drift:
 
 def schema_hash(columns: dict[str, str]) -> str:
     """Eight hex digits naming an ordered list of columns and types."""
-    text = json.dumps({"columns": list(columns), "dtypes": columns}, sort_keys=True)
-    return hashlib.md5(text.encode()).hexdigest()[:8]
+    digest = hashlib.md5()
+    for pair in columns.items():
+        digest.update("\x1f".join(pair).encode() + b"\x1e")
+    return digest.hexdigest()[:8]
 
 
 def evolve_union(table: DataFrame, incoming: DataFrame) -> DataFrame:

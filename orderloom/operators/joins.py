@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 1 / 32     # a key with this share of the rows is hot; so at most 32 are
 SALTS = 32             # tasks one hot key is spread over
-FEW_KEYS = 200_000     # keys that may be sent to every task
 _SKETCH_ITEMS = 4096   # frequency error below 0.1 % of the rows
 _SALT = "__salt"
 
@@ -29,19 +28,6 @@ def hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
             for c in columns}
 
 
-def only_keys(sides: Sequence[DataFrame], keys: DataFrame, key: str) -> list[DataFrame]:
-    """Rows of each side worth keeping for a later join to ``keys``, at least all that match.
-
-    With few keys, counted first, the rest goes before it is shuffled. With many
-    the sides stay as they are, and the join itself decides.
-    """
-    wanted = keys.select(key).distinct()
-    if wanted.limit(FEW_KEYS + 1).count() > FEW_KEYS:
-        return list(sides)
-    return [side.join(F.broadcast(wanted), key, "left_semi").select(*side.columns)
-            for side in sides]
-
-
 def _is_hot(key: str, hot: Sequence) -> Column:
     known = [v for v in hot if v is not None]
     test = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
@@ -52,25 +38,19 @@ def lookup(left: DataFrame, rights: Sequence[DataFrame], key: str,
            hot: Sequence = ()) -> DataFrame:
     """Left outer join to each of ``rights`` on ``key``.
 
-    Without hot values this is a plain chain of joins. Rows with a hot key are
-    joined apart, on the key plus a salt, with the right rows of those few keys
-    repeated once per salt: every row is kept and no task gets a whole hot key.
-    The salt is the number of the reading task, which a retried task repeats.
-    No side is broadcast by hint; Spark does so where it measures a small one.
+    Without hot values this is a plain chain of joins. With some, every row gets a salt and the
+    join is on key and salt: 0 for most, and for rows of a hot key the number of the reading
+    task, which a retried task repeats. Only the right rows of hot keys are repeated once per
+    salt. So every row is kept, each side is read once, and no task gets a whole hot key. No
+    side is broadcast by hint; Spark does so where it measures a small one.
     """
-    def attach(df: DataFrame, sides: Sequence[DataFrame], on: list[str]) -> DataFrame:
-        for side in sides:
-            df = df.join(side, on, "left")
-        return df
-
     if not hot:
-        return attach(left, rights, [key])
+        for side in rights:
+            left = left.join(side, key, "left")
+        return left
     is_hot = _is_hot(key, hot)
-    even = attach(left.where(~is_hot), rights, [key])
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = attach(
-        left.where(is_hot).withColumn(_SALT, F.spark_partition_id() % SALTS),
-        [r.where(is_hot).withColumn(_SALT, every_salt) for r in rights],
-        [key, _SALT],
-    ).drop(_SALT)
-    return even.unionByName(salted)
+    salted = left.withColumn(_SALT, F.when(is_hot, F.spark_partition_id() % SALTS).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    for side in rights:
+        salted = salted.join(side.withColumn(_SALT, F.explode(salts)), [key, _SALT], "left")
+    return salted.drop(_SALT)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.values import money_sum
@@ -19,8 +17,3 @@ def pivot_sum(df: DataFrame, key: str, kind: str, amount: str,
         *[share(value).alias(name) for value, name in kinds.items()],
         money_sum(F.col(amount)).alias(total),
     )
-
-
-def rows_per(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
-    """Row count, and any further aggregates, per group."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *extra)

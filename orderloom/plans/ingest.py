@@ -12,17 +12,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
-from ..functions.values import TYPE_ORDER, naive_utc
+from ..functions.values import DOUBLE, TYPE_ORDER, UNKNOWN, amount, naive_utc
 from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
 from ..session import WIDE_QUERY, scratch_dir, settings
 from ..sources.audit import Audit
-from ..sources.landing import (CORRUPT, header_names, headers, list_files, profile_files,
-                               read_rows, text_lines)
+from ..sources.landing import (CORRUPT, header_names, headers, hidden, list_files,
+                               profile_files, read_rows, text_lines)
 from ..sources.local import local_table
 from ..sources.raw import read_text, write_raw
-from ..sources.spanning import header_lengths, overlong_records, read_spanning, store_lines
+from ..sources.spanning import header_lengths, read_spanning, store_lines, unclosed_files
 from .operations import pending_files
 
 TABLE_THREADS = 4
@@ -41,6 +41,8 @@ class IngestOptions:
     keep_tokens: frozenset[tuple[str, str]] = frozenset()
     # table -> whether records may span lines; where not given, a pass over the text tells.
     spanning: Mapping[str, bool] = field(default_factory=dict)
+    # Columns that are summed exactly; a file with a number too long for that is not loaded.
+    amounts: frozenset[str] = frozenset(("price", "freight_value", "payment_value"))
     # Batch id from the file's name, or from its content.
     batch_from_content: bool = False
     # Count surplus copies of rows per file; costs a shuffle.
@@ -116,18 +118,19 @@ def _new_files(spark: SparkSession, audit: Audit, landing: str,
                .select("*", table.alias("table_name"), batch_id(name).alias("name_id")).collect())
     if not pending:
         return []
-    first_lines = headers(spark, {p["source_file"]: p["path"] for p in pending if p["file_size"]})
+    first_lines = headers(spark, {p["source_file"]: p["path"] for p in pending
+                                  if p["file_size"] and not hidden(p["source_file"])})
     unknown = [p["path"] for p in pending if p["source_file"] in first_lines
                if options.batch_from_content or p["table_name"] not in options.spanning]
     profiles = {r["source_file"]: r for r in profile_files(spark, unknown).collect()} \
         if unknown else {}
-    return [_describe(p, first_lines.get(p["source_file"]), profiles.get(p["source_file"]),
+    return [_describe(spark, p, first_lines.get(p["source_file"]), profiles.get(p["source_file"]),
                       options) for p in pending]
 
 
-def _describe(listed: Row, header: str | None, profile: Row | None,
+def _describe(spark: SparkSession, listed: Row, header: str | None, profile: Row | None,
               options: IngestOptions) -> _File:
-    names = normalise_header(header_names(header))
+    names = normalise_header(spark, header_names(header))
     table = listed["table_name"]
     by_content = options.batch_from_content and profile is not None
     file = _File(
@@ -136,7 +139,9 @@ def _describe(listed: Row, header: str | None, profile: Row | None,
         header=header, columns=names,
         spanning=options.spanning.get(table, bool(profile and profile["open_lines"])))
     reserved = [n for n in names if n in (*LINEAGE, CORRUPT)]
-    if not names:
+    if hidden(file.name):
+        file.error = "names that start with _ or . are hidden from Spark's readers"
+    elif not names:
         file.error = "no header"
     elif not all(names):
         file.error = "header has an empty column name"
@@ -177,11 +182,11 @@ class _Load:
         """Number the lines of files whose records span lines."""
         folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
         lines = store_lines(self.spark, [f.path for f in files], folder)
-        overlong, first = overlong_records(lines), header_lengths(lines)
+        unclosed, first = unclosed_files(lines), header_lengths(lines)
         for file in files:
             self.lines[file.name] = lines
-            if file.name in overlong:
-                file.error = f"a record of {overlong[file.name]} characters, or an unclosed quote"
+            if file.name in unclosed:
+                file.error = "the file ends within a quoted cell"
             elif first.get(file.name) != len(file.header.removeprefix("\ufeff")):
                 file.error = "the first record is not the first line"
 
@@ -194,7 +199,7 @@ class _Load:
                 for file in files:
                     self._attempt(work, [file])
             else:
-                files[0].error = f"{type(error).__name__}: {error}"[:500]
+                files[0].error = f"{type(error).__name__}: {error}"
 
     def _rows(self, files: list[_File]) -> DataFrame:
         first = files[0]
@@ -219,14 +224,18 @@ class _Load:
         pinned = {c for (t, c), kind in self.options.pinned_types.items()
                   if t == files[0].table and kind == "date_text"}
         dated = [c for c in columns if looks_like_date(c) or c in pinned]
+        amounts = [c for c in columns if c in self.options.amounts]
         cells = rows.select("_source_file", blank.alias("::blank"),
                             F.col(CORRUPT).isNotNull().alias("::corrupt"),
-                            *type_classes(columns, dated))
+                            *type_classes(columns, dated),
+            *[(col(c).rlike(DOUBLE) & amount(col(c)).isNull()).alias(f"{c}::not_amount")
+              for c in amounts])
         stats = cells.groupBy("_source_file").agg(
             F.count(F.lit(1)).alias("rows_read"),
             F.count_if(col("::blank") & ~col("::corrupt")).alias("rows_blank"),
             F.count_if(col("::corrupt")).alias("rows_corrupt"),
-            *type_counts(columns, dated))
+            *type_counts(columns, dated),
+            *[F.count_if(col(f"{c}::not_amount")).alias(f"{c}::not_amount") for c in amounts])
         found = {r["_source_file"]: r for r in stats.collect()}
         empty = Row("rows_read", "rows_blank", "rows_corrupt")(0, 0, 0)
         for file in files:
@@ -275,13 +284,15 @@ class _Load:
             # Only dated columns are counted against the looser date forms.
             fitting = [t for t in (*TYPE_ORDER, "date_text")
                        if n and f"{c}::{t}" in file.stats and file.stats[f"{c}::{t}"] == n]
-            narrowest = fitting[0] if fitting else "string"
-            current = known.get(c)
+            narrowest = fitting[0] if fitting else "string" if n else UNKNOWN
+            current = known.get(c, UNKNOWN)
             if pinned:
                 found[c] = pinned
                 if pinned != "string" and n and pinned not in fitting:
                     return {}, f"type conflict: {c} is pinned as {pinned}"
-            elif current is None:
+            elif n and c in self.options.amounts and file.stats[f"{c}::not_amount"]:
+                return {}, f"{c} holds {file.stats[f'{c}::not_amount']} amounts out of range"
+            elif current == UNKNOWN:
                 found[c] = narrowest
             elif n == 0 or current == "string" or current in fitting:
                 found[c] = current
@@ -330,7 +341,7 @@ class _Load:
 
     def quarantine_failed(self, files: list[_File]) -> None:
         """Put every line of the failed files aside, in one job."""
-        failed = [f for f in files if f.error]
+        failed = [f for f in files if f.error and not hidden(f.name)]
         if failed:
             lines = text_lines(self.spark, [f.path for f in failed])
             self._put_aside(lines.select("source_file", F.col("value").alias("record")),

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import PAYMENT_COLUMNS
 from ..operators.incremental import high_water_mark, newer_than, upsert
-from ..operators.joins import hot_values, lookup, only_keys
+from ..operators.joins import hot_values, lookup
+from ..operators.keys import latest_per_key
 from .intermediate import order_items_aggregated, order_payments_pivoted
 
 ORDER_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "order_status",
@@ -41,18 +42,17 @@ def dim_products(products: DataFrame) -> DataFrame:
 
 def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
                payments: DataFrame) -> DataFrame:
-    """One row per staged order with its customer and its item and payment sums.
+    """One row per order, its latest, with its customer and its item and payment sums.
 
-    The customer join goes first, while order rows are narrow; its output then
-    moves once, by order, to where both rollups already are. Customers or orders
-    holding a large share of the rows are found beforehand and spread.
+    Of a repeated order the tasks send one row each, so none is hot; what is left lies by order,
+    as both rollups do, and meets them where it is. Customers holding a large share of the
+    orders are found beforehand and spread.
     """
-    hot = hot_values(orders, ["customer_id", "order_id"])
-    named = lookup(orders.drop("_source_file"),
-                   [customers.select("customer_id", "customer_unique_id")],
-                   "customer_id", hot["customer_id"])
-    measured = lookup(named, [items.drop("earliest_shipping_limit", "latest_shipping_limit"),
-                              payments], "order_id", hot["order_id"])
+    latest = latest_per_key(orders, ["order_id"], latest_load()).drop("_source_file")
+    measured = lookup(latest, [items.drop("earliest_shipping_limit", "latest_shipping_limit"),
+                               payments], "order_id")
+    measured = lookup(measured, [customers.select("customer_id", "customer_unique_id")],
+                      "customer_id", hot_values(orders, ["customer_id"])["customer_id"])
     zeroed = [F.coalesce(F.col(source), F.lit(0).cast(measured.schema[source].dataType))
               .alias(name) for name, source in MEASURES.items()]
     return measured.select(*ORDER_COLUMNS, *zeroed, "_ingested_at")
@@ -61,7 +61,9 @@ def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
 def fct_orders_for(orders: DataFrame, customers: DataFrame, item_lines: DataFrame,
                    payment_lines: DataFrame) -> DataFrame:
     """Fact rows for some orders, from all their item and payment lines."""
-    items, payments = only_keys([item_lines, payment_lines], orders, "order_id")
+    wanted = orders.select("order_id").distinct()
+    items, payments = (lines.join(wanted, "order_id", "left_semi").select(*lines.columns)
+                       for lines in (item_lines, payment_lines))
     return fct_orders(orders, customers, order_items_aggregated(items),
                       order_payments_pivoted(payments))
 

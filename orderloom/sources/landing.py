@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,8 +16,6 @@ from .local import local_table
 
 FILES_SCHEMA = "path string, source_file string, file_size bigint, modified_at timestamp"
 CORRUPT = "_corrupt"
-MAX_HEAD_READS = 2000
-HEAD_THREADS = 16
 # A quoted field up to its closing quote; quotes inside it are doubled. Quotes
 # elsewhere than at the start of a field are plain text.
 TO_CLOSING_QUOTE = r'^[^"]*+(?:""[^"]*+)*+"'
@@ -28,37 +26,41 @@ def missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def exact(path: str) -> str:
+    """The path, for a reader that would take ``[``, ``{``, ``*``, ``?`` and the like in it for
+    a pattern."""
+    return re.sub(r"[\[\]{}*?\\]", lambda m: "\\" + m[0], path)
+
+
+def hidden(name: str) -> bool:
+    """Whether Spark's readers pass over a file of this name."""
+    return name.startswith(("_", "."))
+
+
 def file_name() -> Column:
     """Name of the file a row is read from; the metadata column holds it URI-encoded."""
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.csv`` directly in the folder; file contents are not read.
-
-    A scan passes over empty files, so the names come from the file index.
-    """
-    try:
-        found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-                 .select("path", "length", "modificationTime"))
-    except AnalysisException as error:
-        if not missing_path(error):
-            raise
+    """Every ``*.csv`` directly in the folder, hidden names too; contents are not read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return local_table(spark, [], FILES_SCHEMA)
-    named = local_table(
-        spark, [(unquote(uri), unquote(uri).rsplit("/", 1)[-1]) for uri in found.inputFiles()],
-        "path string, source_file string")
-    sized = found.select(F.element_at(F.split("path", "/"), -1).alias("source_file"),
-                         F.col("length").alias("file_size"),
-                         F.col("modificationTime").alias("modified_at"))
-    return named.join(sized, "source_file", "left").select(
-        "path", "source_file", F.coalesce("file_size", F.lit(0)).alias("file_size"),
-        "modified_at")
+    found = []
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.endswith(".csv") and status.isFile():
+            found.append((f"{folder.rstrip('/')}/{name}", name, status.getLen(),
+                          datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)))
+    return local_table(spark, found, FILES_SCHEMA)
 
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of the files with the file name and the start of the split they are in."""
-    return spark.read.text(list(paths)).select(
+    return spark.read.text([exact(p) for p in paths]).select(
         file_name().alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), "value")
 
@@ -73,26 +75,27 @@ def ends_inside(line: Column) -> Column:
 
 
 def headers(spark: SparkSession, files: Mapping[str, str]) -> dict[str, str]:
-    """First filled line of each file, by file name; files are given as name -> path.
+    """First filled line in the first block of each file, by name; files are name -> path.
 
-    For a moderate number of files each is opened for its first line only. Past
-    that, one job over all of them is cheaper than a job each. An unreadable file
-    has no header.
+    One job reads all files. If it fails, each half is tried alone, down to the files at fault:
+    such a file, like one without a filled line, has no header.
     """
-    filled = F.trim("value") != ""
-    if len(files) <= MAX_HEAD_READS:
-        def head(item: tuple[str, str]) -> tuple[str, list]:
-            try:
-                return item[0], spark.read.text(item[1]).where(filled).head(1)
-            except PySparkException:
-                return item[0], []
-
-        with ThreadPoolExecutor(HEAD_THREADS) as pool:
-            return {name: rows[0]["value"] for name, rows in pool.map(head, files.items()) if rows}
-    first = (text_lines(spark, list(files.values())).where((F.col("block") == 0) & filled)
-             .select("source_file", F.struct(F.monotonically_increasing_id(), "value").alias("line"))
-             .groupBy("source_file").agg(F.min("line").alias("first")))
-    return {r["source_file"]: r["first"]["value"] for r in first.collect()}
+    if not files:
+        return {}
+    try:
+        first = (text_lines(spark, list(files.values()))
+                 .where((F.col("block") == 0) & (F.trim("value") != ""))
+                 .select("source_file",
+                         F.struct(F.monotonically_increasing_id(), "value").alias("line"))
+                 .groupBy("source_file").agg(F.min("line").alias("first")))
+        return {r["source_file"]: r["first"]["value"] for r in first.collect()}
+    except PySparkException:
+        names = list(files)
+        if len(names) == 1:
+            return {}
+        half = len(names) // 2
+        return {name: line for part in (names[:half], names[half:])
+                for name, line in headers(spark, {n: files[n] for n in part}).items()}
 
 
 def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -127,5 +130,5 @@ def read_rows(spark: SparkSession, paths: Sequence[str], columns: Sequence[str])
             .option("header", True)
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(list(paths)))
+            .csv([exact(p) for p in paths]))
     return rows.select(*map(col, columns), CORRUPT, file_name().alias("_source_file"))

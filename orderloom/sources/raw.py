@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 from ..functions.names import col
 from ..functions.values import typed
 from .audit import Audit, read_or_empty
+from .landing import exact
 
 LINEAGE = [StructField("_ingested_at", TimestampNTZType()),
            StructField("_batch_id", StringType()), StructField("_source_file", StringType())]
@@ -34,7 +35,7 @@ def write_raw(rows: DataFrame, root: str, table: str) -> None:
 def read_text(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
     """A raw table as stored; a column a file lacks is NULL in its rows."""
     business = [StructField(c, StringType()) for c in columns]
-    return read_or_empty(spark, raw_path(root, table), StructType(business + LINEAGE))
+    return read_or_empty(spark, exact(raw_path(root, table)), StructType(business + LINEAGE))
 
 
 def read_raw(spark: SparkSession, root: str, table: str,

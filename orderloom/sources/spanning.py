@@ -13,10 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .landing import CORRUPT, TO_CLOSING_QUOTE, ends_inside, file_name
-
-# A file with a longer record fails: a quote that is never closed makes such records.
-MAX_RECORD_CHARS = 64 * 1024 * 1024
+from .landing import CORRUPT, TO_CLOSING_QUOTE, ends_inside, exact, file_name
 
 
 def _inside_after(line: Column) -> Column:
@@ -51,7 +48,7 @@ def _numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     windows over a whole file see one row per split.
     """
     text = F.col("value")
-    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+    lines = spark.read.option("lineSep", "\n").text([exact(p) for p in paths]).select(
         file_name().alias("_source_file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.rtrim(text, F.lit("\r")).alias("bare"), "value").select(
@@ -88,7 +85,9 @@ def _numbered_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             .where(starts | ~outside)
             .withColumn("record", F.col("offset") + F.count_if(starts).over(until_here))
             .select("_source_file", "record", "block", "at", "value",
-                    (starts & (F.col("from_out") == 0)).alias("whole")))
+                    (starts & (F.col("from_out") == 0)).alias("whole"),
+                    (F.when(outside, F.col("from_out")).otherwise(F.col("from_in")) == 1)
+                    .alias("open")))
 
 
 def _records(lines: DataFrame) -> DataFrame:
@@ -107,17 +106,14 @@ def store_lines(spark: SparkSession, paths: Sequence[str], folder: str) -> DataF
     return spark.read.parquet(folder)
 
 
-def overlong_records(lines: DataFrame) -> dict[str, int]:
-    """Length of the longest record, by file, where it is more than can be put together.
+def unclosed_files(lines: DataFrame) -> set[str]:
+    """Files that end within a quoted cell: a quote in them is never closed.
 
-    Lengths are summed, so a quote that is never closed is found this way before
-    the rest of the file is put into one record.
+    Such a file is not read, so the rest of it is never put together as one record.
     """
-    lengths = (lines.where(~F.col("whole")).groupBy("_source_file", "record")
-               .agg(F.sum(F.length("value") + 1).alias("chars")))
-    longest = (lengths.where(F.col("chars") > MAX_RECORD_CHARS)
-               .groupBy("_source_file").agg(F.max("chars").alias("chars")))
-    return {r["_source_file"]: r["chars"] for r in longest.collect()}
+    last = lines.groupBy("_source_file").agg(
+        F.max(F.struct("block", "at", "open")).getField("open").alias("open"))
+    return {r["_source_file"] for r in last.where("open").collect()}
 
 
 def header_lengths(lines: DataFrame) -> dict[str, int]:
@@ -129,7 +125,7 @@ def header_lengths(lines: DataFrame) -> dict[str, int]:
 
 
 def read_spanning(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of files without overlong records, as `landing.read_rows` gives them."""
+    """Rows of files that close their quotes, as `landing.read_rows` gives them."""
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT])
     parsed = F.from_csv("value", schema, {
         "quote": '"', "escape": '"', "mode": "PERMISSIVE",

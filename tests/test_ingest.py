@@ -189,15 +189,15 @@ def test_free_text_with_newlines_and_quotes(drops):
         (1, 'two\nlines, one "quoted" word'), (2, "plain"), (3, 'a\n\n"b"'), (4, '5" pipe')]
 
 
-def test_headers_are_the_same_however_they_are_read(drops, monkeypatch):
+def test_headers_are_those_of_the_readable_files(drops):
     from orderloom.sources import landing
     drops.put("a.csv", "\n\nx,y\n1,2\n")
     drops.put("b.csv", "\ufeffp,q\r\n1,2\r\n")
     files = {r["source_file"]: r["path"]
              for r in landing.list_files(drops.spark, str(drops.landing)).collect()}
     few = landing.headers(drops.spark, files)
-    monkeypatch.setattr(landing, "MAX_HEAD_READS", 0)
-    assert landing.headers(drops.spark, files) == few
+    gone = {**files, "gone.csv": str(drops.landing / "gone.csv")}
+    assert landing.headers(drops.spark, gone) == few
     assert {n: landing.header_names(h) for n, h in few.items()} == {
         "a.csv": ["x", "y"], "b.csv": ["p", "q"]}
     drops.load()
@@ -268,3 +268,38 @@ def test_names_with_dots(drops):
     drops.put("dots.csv", "a.b,c\n1,\n,\n")
     assert drops.load()["dots.csv"]["rows_rejected"] == 1
     assert drops.rows("dots", "`a.b`") == [(1,)]
+
+
+def test_names_that_look_like_patterns_or_hidden_files(drops):
+    for name, value in (("a[1].csv", 1), ("a1.csv", 2), ("b{2}.csv", 3), ("b*.csv", 4),
+                        ("b?.csv", 5), ("c d+%20.csv", 6), ("_x.csv", 7), (".y.csv", 8)):
+        drops.put(name, f"v\n{value}\n")
+    log = drops.load(tables={"": "t", "a[": "a[1]"})
+    assert {n for n, r in log.items() if r["status"] == "FAILED"} == {"_x.csv", ".y.csv"}
+    assert "hidden" in log["_x.csv"]["message"]
+    assert drops.rows("a[1]", "v", "_source_file") == [(1, "a[1].csv")]
+    assert sorted(drops.rows("t", "v", "_source_file")) == [
+        (2, "a1.csv"), (3, "b{2}.csv"), (4, "b*.csv"), (5, "b?.csv"), (6, "c d+%20.csv")]
+    assert drops.load(tables={"": "t", "a[": "a[1]"}).keys() == {"_x.csv", ".y.csv"}
+
+
+def test_empty_columns_wait_for_a_value(drops):
+    drops.put("t.csv", "id,price,made_at\n12345678901234567890,,\n12345678901234567891,,\n")
+    drops.load()
+    drops.put("t_1.csv", "id,price,made_at\n1,2,2018-01-02\n")
+    drops.load()
+    drops.put("t_2.csv", "id,price,made_at\n2,2.5,\n")
+    assert {r["status"] for r in drops.load().values()} == {"SUCCESS"}
+    types = dict(drops.table("t").dtypes)
+    assert (types["id"], types["price"], types["made_at"]) == ("string", "double", "timestamp_ntz")
+    assert drops.table("t").select("id").distinct().count() == 4
+    assert sorted(r["price"] for r in drops.table("t").where("price is not null").collect()) == [
+        2.0, 2.5]
+
+
+def test_amounts_out_of_range_keep_their_file_out(drops):
+    drops.put("items_1.csv", "id,price\n1,1e300\n2,3\n")
+    drops.put("items_2.csv", "id,price\n1,0.004\n")
+    log = drops.load()
+    assert log["items_1.csv"]["status"] == "FAILED" and "amounts" in log["items_1.csv"]["message"]
+    assert drops.rows("items", "price") == [(0.004,)]

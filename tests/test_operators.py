@@ -127,9 +127,9 @@ def test_types_are_the_narrowest_that_fit(spark):
         "e": "string"}
 
 
-def test_too_large_integers_are_not_bigint(spark):
-    df = spark.createDataFrame([("99999999999999999999",)], "n string")
-    assert clean.infer_types(df).first()["inferred_type"] == "double"
+def test_too_large_integers_stay_text(spark):
+    df = spark.createDataFrame([("99999999999999999999",), ("1.5",)], "n string")
+    assert clean.infer_types(df).first()["inferred_type"] == "string"
 
 
 def test_pending_files(spark):

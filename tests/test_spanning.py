@@ -5,7 +5,7 @@ import random
 import pytest
 
 from orderloom.sources.landing import CORRUPT, file_name
-from orderloom.sources.spanning import overlong_records, read_spanning, store_lines
+from orderloom.sources.spanning import read_spanning, store_lines, unclosed_files
 
 COLUMNS = ["id", "text", "n"]
 
@@ -68,22 +68,22 @@ def test_equals_the_whole_file_reader(spark, tmp_path, small_splits, stray):
         paths.append(str(path))
     assert spark.read.text(paths).rdd.getNumPartitions() > 20
     lines = store_lines(spark, paths, str(tmp_path / "lines"))
-    assert overlong_records(lines) == {}
+    assert unclosed_files(lines) == set()
     want = _bag(_whole(spark, paths))
     assert _bag(read_spanning(lines, COLUMNS)) == want
     assert len(want) > 200
 
 
-def test_unclosed_quotes_are_found_by_length(spark, tmp_path, monkeypatch):
-    from orderloom.sources import spanning
-    monkeypatch.setattr(spanning, "MAX_RECORD_CHARS", 1000)
+def test_unclosed_quotes_are_found_at_the_end_of_the_file(spark, tmp_path):
     files = {"unclosed.csv": 'id,text,n\n1,"never,2\n' + "2,x,3\n" * 200,
-             "good.csv": 'id,text,n\n1,"a\nb",2\n' + "2,x,3\n" * 200}
+             "last.csv": 'id,text,n\n1,"a\nb",2\n2,"x',
+             "good.csv": 'id,text,n\n1,"a\nb",2\n' + "2,x,3\n" * 200,
+             "long.csv": 'id,text,n\n1,"' + "a\n" * 50_000 + '",2\n\n\n'}
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     paths = [str(tmp_path / name) for name in files]
     lines = store_lines(spark, paths, str(tmp_path / "lines"))
-    assert overlong_records(lines) == {"unclosed.csv": len('1,"never,2\n') + 200 * 6}
+    assert unclosed_files(lines) == {"unclosed.csv", "last.csv"}
 
 
 def test_line_breaks_in_cells_are_kept_as_they_are(drops):

@@ -27,6 +27,7 @@ DATES = {
     "Jan 5, 2018 9:30": datetime(2018, 1, 5, 9, 30),
     # 02:30 does not exist that day in New York; wall-clock text must not move.
     "3/11/2018 02:30": datetime(2018, 3, 11, 2, 30),
+    "March 5, 2018" + " " * 60 + "10:00": datetime(2018, 3, 5, 10),
 }
 NOT_DATES = ["soon", "", "13/13/2018", "2018-02-30", "12:30", "good", "5", "31/02/2018",
              "Foo 5, 2018", "1/2/18", "x" * 1000, "1/2/2018 25:00"]
@@ -52,6 +53,11 @@ def test_money_is_exact_in_any_order(spark):
     assert df.where("x is null").agg(money_sum(F.col("x"))).first()[0] is None
 
 
+def test_money_keeps_small_amounts_and_leaves_out_what_does_not_fit(spark):
+    df = spark.createDataFrame([("0.004",)] * 1000 + [("1e300",), ("word",), (None,)], "x string")
+    assert df.agg(money_sum(F.col("x"))).first()[0] == 4.0
+
+
 def test_names(spark):
     df = spark.createDataFrame([("  Order ID ", "olive_2024_01.csv")], "c string, f string")
     row = df.select(normalise_name(F.col("c")), target_table(F.col("f")),
