@@ -217,6 +217,8 @@ def resample(spark: SparkSession, docs: DataFrame, model: DomainModel, targets:
     own, copies = fresh(docs, "rate"), fresh(docs, "n_copies")
     # A row's own hash is hashed once more, as in mix, so both draw alike.
     draw = fresh(marked, "draw")
-    return marked.withColumn(draw, F.xxhash64(id_column, text_column)).withColumn(
-        own, rate(shares, start, steps)).withColumn(copies, _copies(F.col(own), [draw])).where(
-        F.col(copies) > 0).select(*docs.columns, own, copies)
+    now = rate(shares, start, steps)
+    taken = F.array(F.struct(now.alias(own), _copies(now, [draw]).alias(copies)))
+    # Filtered as an array: a filter on columns would have the posteriors worked out again.
+    return marked.withColumn(draw, F.xxhash64(id_column, text_column)).select(
+        *docs.columns, F.inline(F.filter(taken, lambda x: x[copies] > 0)))

@@ -66,11 +66,49 @@ def _occurrences(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarr
         yield np.array(owners)[window], bucket
 
 
-def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The text's buckets, and the weight of each in the average."""
-    found = [np.zeros(0, np.int64), *(bucket for _, bucket in _occurrences([text]))]
-    bucket, n = np.unique(np.concatenate(found), return_counts=True)
-    return bucket.astype(np.int32), (n * GAIN / (n.sum() + PADDING)).astype(np.float32)
+@dataclass
+class _Bags:
+    """The texts' buckets, text after text, and how many windows have each, in a few bytes."""
+
+    buckets: np.ndarray
+    counts: np.ndarray
+    ends: np.ndarray
+    scales: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> "_Bags":
+        buckets, counts, scales = [np.zeros(0, np.uint16)], [np.zeros(0, np.uint8)], []
+        ends = [0]
+        for start in range(0, len(texts), _ROWS):
+            found: list[list[np.ndarray]] = [[] for _ in texts[start:start + _ROWS]]
+            for rows, bucket in _occurrences(texts[start:start + _ROWS]):
+                cuts = np.flatnonzero(np.diff(rows)) + 1
+                for own, part in zip(rows[np.append(0, cuts)] if len(rows) else [],
+                                     np.split(bucket, cuts)):
+                    found[own].append(part)
+            for parts in found:
+                bucket, n = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]),
+                                      return_counts=True)
+                buckets.append(bucket.astype(np.uint16))
+                counts.append(np.minimum(n, 255).astype(np.uint8))
+                scales.append(GAIN / (n.sum() + PADDING))
+                ends.append(ends[-1] + len(bucket))
+            # Many small arrays would keep the process large after they are gone.
+            buckets, counts = [np.concatenate(buckets)], [np.concatenate(counts)]
+        return cls(buckets[0], counts[0], np.array(ends), np.array(scales, np.float32))
+
+    def drop(self, kept: np.ndarray) -> "_Bags":
+        """Only the buckets that are kept; the scales stay."""
+        stays = kept[self.buckets]
+        ends = np.append(0, np.cumsum(stays))[self.ends]
+        return _Bags(self.buckets[stays], self.counts[stays], ends, self.scales)
+
+    def some(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets, weights in the average and texts' places, of some texts."""
+        spans = [slice(self.ends[i], self.ends[i + 1]) for i in texts]
+        place = np.repeat(np.arange(len(texts)), [s.stop - s.start for s in spans])
+        return (np.concatenate([self.buckets[s] for s in spans]),
+                np.concatenate([self.counts[s] for s in spans]) * self.scales[texts][place], place)
 
 
 @dataclass
@@ -118,10 +156,10 @@ def _fit(texts: list[str], target: np.ndarray, share: float, seed: int) -> Subwo
     table = np.zeros(BUCKETS)
     if not 0 < target.sum() < len(target) or not 0 < share < 1:
         return SubwordModel(table, math.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    bags = [_bag(t) for t in texts]
-    kept = np.bincount(np.concatenate([b for b, _ in bags]), minlength=BUCKETS) >= min(
+    bags = _Bags.of(texts)
+    kept = np.bincount(bags.buckets, minlength=BUCKETS) >= min(
         LEAST_TEXTS, max(2, len(texts) // 400))
-    bags = [(b[kept[b]], w[kept[b]]) for b, w in bags]
+    bags = bags.drop(kept)
     draw = np.random.default_rng(seed)
     embedding = draw.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     softmax = draw.uniform(-0.5, 0.5, (WIDTH, 2)).astype(np.float32)
@@ -129,16 +167,14 @@ def _fit(texts: list[str], target: np.ndarray, share: float, seed: int) -> Subwo
     weights = [embedding, softmax, bias]
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
-    turns = -(-len(bags) // MINIBATCH)
+    turns = -(-len(texts) // MINIBATCH)
     epochs = max(EPOCHS, -(-STEPS // turns))
     for step in range(1, epochs * turns + 1):
         if (step - 1) % turns == 0:
-            order = draw.permutation(len(bags))
+            order = draw.permutation(len(texts))
         start = (step - 1) % turns * MINIBATCH
         some = order[start:start + MINIBATCH]
-        bucket = np.concatenate([bags[i][0] for i in some])
-        weight = np.concatenate([bags[i][1] for i in some])
-        text = np.repeat(np.arange(len(some)), [len(bags[i][0]) for i in some])
+        bucket, weight, text = bags.some(some)
         average = np.stack([np.bincount(text, embedding[bucket, k] * weight, len(some))
                             for k in range(WIDTH)], axis=1)
         odds = average @ softmax + bias
