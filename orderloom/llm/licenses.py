@@ -2,9 +2,9 @@
 
 Paragraphs are the lines of a text. A sparse logistic regression over word unigrams and bigrams,
 hashed to ``BUCKETS``, tells the licence families of ``license_texts`` and "none" apart. It is
-trained here, by proximal gradient steps (one aggregation each) on windows of the templates and,
-as "none", on other fixed paragraphs and at most ``SAMPLE`` paragraphs of the corpus that share no
-bigram with a template, taken in the order of a hash. Every fifth window is kept back: the lowest
+trained here, by proximal gradient steps on the driver, from features that Spark makes of a
+bounded sample: windows of the templates and, as "none", other fixed paragraphs and at most
+``SAMPLE`` paragraphs of the corpus that share no bigram with a template, by a hash. Every fifth window is kept back: the lowest
 probability at which at least ``PRECISION`` of the licences found there are right becomes the
 bound below which a paragraph is of an ``unknown`` licence.
 
@@ -22,18 +22,18 @@ result, and other columns than id and text are not looked at.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_dir
 from .license_texts import OTHERS, TEMPLATES
 from .literals import doubles, let
 
 BUCKETS, SEEN = 4096, 1 << 16
 SAMPLE, LONGEST = 1000, 8000
-STEPS, RATE, SPARSITY = 30, 20.0, 2e-5
+STEPS, RATE, SPARSITY = 60, 20.0, 2e-5
 SHARED, SIMILAR, PRECISION = 2, 0.6, 0.98
 NONE, UNKNOWN = "none", "unknown"
 # Words per window of a template, and the step between windows.
@@ -127,6 +127,43 @@ def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         "paragraph", "line"))
 
 
+def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features row after row, where each row starts, and the length of its vector."""
+    sizes = np.array([len(r["features"]) for r in rows], int)
+    flat = np.concatenate([np.zeros(0, int), *(r["features"] for r in rows)]).astype(int)
+    return flat, np.cumsum(sizes) - sizes, np.sqrt(np.maximum(sizes, 1))
+
+
+def _chances(weights: np.ndarray, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray
+             ) -> np.ndarray:
+    """Probabilities, families by rows."""
+    odds = np.add.reduceat(weights[:, flat], starts, axis=1) / lengths if len(starts) else \
+        np.zeros((len(weights), 0))
+    shares = np.exp(odds - odds.max(axis=0, initial=-np.inf))
+    return shares / shares.sum(axis=0)
+
+
+def _fit(families: list[str], rows: list) -> np.ndarray:
+    """Weights by accelerated proximal gradient steps over the sample."""
+    counts = Counter((r["family"], r["template"]) for r in rows)
+    texts = Counter(f for f, _ in counts)
+    # "none" weighs as much as all families, these weigh the same, and in each every template
+    # does, however many windows it has.
+    weight = np.array([0.5 / (1 if r["family"] == NONE else len(TEMPLATES)) / texts[r["family"]]
+                       / counts[r["family"], r["template"]] for r in rows])
+    flat, starts, lengths = _sparse(rows)
+    own = np.array([[r["family"] == f for r in rows] for f in families], float)
+    of_row = np.repeat(np.arange(len(rows)), np.diff(np.append(starts, len(flat))))
+    ahead = before = np.zeros((len(families), BUCKETS))
+    for step in range(1, STEPS + 1):
+        wrong = (_chances(ahead, flat, starts, lengths) - own) * weight / lengths
+        slope = np.stack([np.bincount(flat, w[of_row], BUCKETS) for w in wrong])
+        now = ahead - RATE * slope
+        now = np.sign(now) * np.maximum(np.abs(now) - RATE * SPARSITY, 0)
+        ahead, before = now + (step - 1) / (step + 2) * (now - before), now
+    return before
+
+
 def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
           text_column: str = "text", sample: int = SAMPLE) -> LicenseModel:
     families = sorted(TEMPLATES) + [NONE]
@@ -148,41 +185,16 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     rows = _table(spark, _windows(), "family string, template int, text string, whole boolean").unionByName(
         clean.select(F.lit(NONE).alias("family"), F.lit(-1).alias("template"),
                      F.col("line").alias("text"), F.lit(False).alias("whole")))
-    path = scratch_dir(spark, "licenses")
     text = F.col("text")
-    rows.select("family", "template", (~F.col("whole") & (F.pmod(F.xxhash64("text"), F.lit(5)) == 0)).alias(
-        "kept_back"), _features(words(text), bigrams(words(text))).alias("features")).coalesce(
-        1).write.parquet(path)
-    rows = spark.read.parquet(path)
-    learned = rows.where(~F.col("kept_back"))
-    # "none" weighs as much as all families, these weigh the same, and in each every template
-    # does, however many windows it has.
-    counts = [tuple(r) for r in learned.groupBy("family", "template").agg(
-        F.count(F.lit(1))).collect()]
-    texts = {f: sum(g == f for g, _, _ in counts) for f in families}
-    weight = F.coalesce(*[
-        F.when((F.col("family") == f) & (F.col("template") == t),
-               F.lit(0.5 / (1 if f == NONE else len(TEMPLATES)) / texts[f] / n))
-        for f, t, n in counts])
-    own = F.transform(F.split(F.lit(",".join(families)), ","), lambda f: (f == F.col("family")).cast("double"))
-    ahead, before = model.weights.copy(), model.weights
-    for step in range(1, STEPS + 1):
-        model.weights = ahead
-        wrong = F.zip_with(_probabilities(model.odds(F.col("features"))), own, lambda p, y: (
-            p - y) * weight / F.sqrt(F.size("features").cast("double")))
-        slope = np.zeros_like(before)
-        # At most BUCKETS rows.
-        for r in learned.select("features", wrong.alias("wrong")).select(
-                "wrong", F.explode("features").alias("f")).groupBy("f").agg(*[
-                    F.sum(F.get("wrong", i)) for i in range(len(families))]).collect():
-            slope[:, r[0]] = r[1:]
-        now = ahead - RATE * slope
-        now = np.sign(now) * np.maximum(np.abs(now) - RATE * SPARSITY, 0)
-        ahead, before = now + (step - 1) / (step + 2) * (now - before), now
-    model.weights = before
-    held = rows.where("kept_back").select("family", _probabilities(
-        model.odds(F.col("features"))).alias("p")).collect()
-    found = [(max(r["p"]), families[r["p"].index(max(r["p"]))], r["family"]) for r in held]
+    # At most ``sample`` rows besides those of the fixed paragraphs.
+    rows = rows.select("family", "template", (~F.col("whole") & (F.pmod(
+        F.xxhash64("text"), F.lit(5)) == 0)).alias("kept_back"), _features(
+        words(text), bigrams(words(text))).alias("features")).collect()
+    learned = [r for r in rows if not r["kept_back"]]
+    model.weights = _fit(families, learned)
+    held = [r for r in rows if r["kept_back"]]
+    chance = _chances(model.weights, *_sparse(held))
+    found = [(p.max(), families[p.argmax()], r["family"]) for p, r in zip(chance.T, held)]
     right = sorted(((p, name == family) for p, name, family in found if name != NONE),
                    reverse=True)
     good = 0
