@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
@@ -96,6 +97,8 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     with settings(spark, WIDE_QUERY), ThreadPoolExecutor(TABLE_THREADS) as pool:
         registered = [row for rows in pool.map(load.table, by_table.values()) for row in rows]
     load.quarantine_failed(files)
+    failed = {f.name for f in files if f.error}
+    registered = [row for row in registered if row[5] not in failed]
     if registered:
         audit.append("schema_registry", registered)
     log = [load.log_row(f) for f in files]
@@ -191,13 +194,20 @@ class _Load:
                 file.error = "the first record is not the first line"
 
     def _attempt(self, work: Callable[[list[_File]], None], files: list[_File]) -> None:
-        """Do a group at once; if that fails, file by file, to fail only the bad ones."""
+        """Do a group at once; if its data fail, by halves, to fail only the bad files.
+
+        Spark names the condition of an error in the data. Anything else, as a lost executor or
+        a full disk, is no fault of a file and ends the run.
+        """
         try:
             work(files)
-        except Exception as error:  # noqa: BLE001 - any failure is the file's, and is logged
+        except PySparkException as error:
+            if error.getCondition() is None:
+                raise
             if len(files) > 1:
-                for file in files:
-                    self._attempt(work, [file])
+                half = len(files) // 2
+                self._attempt(work, files[:half])
+                self._attempt(work, files[half:])
             else:
                 files[0].error = f"{type(error).__name__}: {error}"
 

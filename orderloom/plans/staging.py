@@ -31,10 +31,16 @@ def stg_order_payments(raw: DataFrame) -> DataFrame:
 
 
 def stg_order_reviews(raw: DataFrame) -> DataFrame:
-    """Latest answer per review. An unanswered copy wins, as NULL sorts first."""
-    return latest_per_key(stage("order_reviews", raw), ["review_id"],
-                          [F.desc_nulls_first("answered_at"), F.asc_nulls_last("order_id"),
-                           F.desc_nulls_last("_ingested_at"), F.asc_nulls_last("_source_file")])
+    """Latest answer per review. An unanswered copy wins, as NULL sorts first.
+
+    The remaining columns follow in the order, so copies that still tie are equal.
+    """
+    staged = stage("order_reviews", raw)
+    order = [F.desc_nulls_first("answered_at"), F.asc_nulls_last("order_id"),
+             F.desc_nulls_last("_ingested_at"), F.asc_nulls_last("_source_file")]
+    named = {"review_id", "answered_at", "order_id", "_ingested_at", "_source_file"}
+    rest = [F.asc_nulls_last(c) for c in staged.columns if c not in named]
+    return latest_per_key(staged, ["review_id"], order + rest)
 
 
 def stg_products(raw: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ example months); an upsert then rewrites only the parts it touches.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -145,7 +146,8 @@ class Tables:
     def _write(self, table: str, df: DataFrame, part: Column | None, full: bool,
                touched: set[str] = frozenset()) -> None:
         version = self._next(table)
-        path = f"{self.root}/dev/{table}/v{version:08d}"
+        # Runs at the same time may come to the same number; their folders differ.
+        path = f"{self.root}/dev/{table}/v{version:08d}-{uuid.uuid4().hex[:12]}"
         schema = df.schema.json()
         if part is None:
             df.write.mode("overwrite").parquet(path)
@@ -153,7 +155,6 @@ class Tables:
             entries = [Entry(table, version, _WHOLE, path, full, rows, schema)]
         else:
             # Rebalancing gives each part few files, and splits a part too big for one task.
-            # The folder may hold parts of a version that was never published; all go.
             (df.withColumn(_PART, part).hint("rebalance", F.col(_PART))
              .write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(_PART).parquet(path))

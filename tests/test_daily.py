@@ -284,6 +284,33 @@ def test_reprocess_a_batch(shop):
     assert len(shop.fact()) == 2
 
 
+def test_reprocess_a_batch_of_customers(shop):
+    shop.run(0)
+    models = shop.models(staged=True)
+    batch = models.raw("customers").first()["_batch_id"]
+    before = shop.fact()
+    batches.reprocess(models, batch)
+    assert {"fct_orders", "stg_orders", "dim_customers", "dim_products"} <= set(
+        models.tables.staged)
+    models.tables.publish(DAY[2])
+    assert shop.fact() == before
+
+
+def test_roll_back_that_dies_half_way_is_repeated(shop, monkeypatch):
+    shop.run(0)
+    table = f"{PREFIX}orders_dataset"
+    batch = shop.models().raw("orders").first()["_batch_id"]
+    monkeypatch.setattr(batches, "_partitions", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        batches.roll_back(shop.spark, shop.root, table, batch, DAY[1], reload=True)
+    monkeypatch.undo()
+    log = batches.Audit(shop.spark, shop.root).read("ingestion_log")
+    assert log.where("status = 'REOPENED'").count() == 1
+    assert batches.roll_back(shop.spark, shop.root, table, batch, DAY[2], reload=True) == [
+        f"{table}.csv"]
+    assert shop.models().raw("orders").count() == 0
+
+
 def test_totals_agree_across_layers(shop):
     shop.run(0)
     models = shop.models()

@@ -3,6 +3,7 @@
 import hashlib
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 GOOD = " Order ID ,Amount,Order Date\n1,10.5,2024-01-01\n2,11,2024-01-02\n,,\n"
@@ -250,6 +251,38 @@ def test_rerun_after_a_crash_before_logging_does_not_repeat_rows(drops, monkeypa
     assert drops.rows("orders", "id") == [(1,), (2,)]
 
 
+def test_a_storage_error_is_no_fault_of_the_files(drops, monkeypatch):
+    from orderloom.plans import ingest as plan
+    drops.put("orders_1.csv", "id\n1\n")
+    drops.put("orders_2.csv", "id\n2\n")
+
+    def full(*_):
+        raise OSError("no space left")
+
+    monkeypatch.setattr(plan, "write_raw", full)
+    with pytest.raises(OSError):
+        drops.load()
+    assert drops.audit().read("ingestion_log").count() == 0
+    monkeypatch.undo()
+    assert {r["status"] for r in drops.load().values()} == {"SUCCESS"}
+
+
+def test_files_that_share_an_id_are_named_to_roll_back(drops):
+    from datetime import datetime
+
+    from orderloom.plans import batches
+    drops.put("one_1.csv", "id\n1\n")
+    drops.put("one_2.csv", "id\n1\n")
+    log = drops.load(batch_from_content=True)
+    batch = log["one_1.csv"]["batch_id"]
+    assert batch == log["one_2.csv"]["batch_id"]
+    with pytest.raises(ValueError, match="one_2.csv"):
+        batches.roll_back(drops.spark, drops.root, "one", batch, datetime(2024, 2, 1))
+    batches.roll_back(drops.spark, drops.root, "one", batch, datetime(2024, 2, 1),
+                      files=["one_2.csv"])
+    assert drops.rows("one", "_source_file") == [("one_1.csv",)]
+
+
 def test_empty_or_absent_folder(drops, tmp_path):
     assert drops.load() == {}
     drops.landing = tmp_path / "nowhere"
