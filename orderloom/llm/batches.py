@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Cells handed to a Python function at a time: rows and characters, whichever is first.
-ROWS, CHARACTERS = 512, 4_000_000
+# Cells turned into Python texts at a time: rows and bytes, whichever is first.
+ROWS, BYTES = 512, 2_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -25,12 +26,12 @@ def fresh(rows: DataFrame, name: str) -> str:
     return name
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts, each run small unless one text alone is large."""
     start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if i + 1 - start >= ROWS or size >= CHARACTERS:
+    for i, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        size += length
+        if i + 1 - start >= ROWS or size >= BYTES:
             yield start, i + 1
             start, size = i + 1, 0
     if start < len(texts):
@@ -49,10 +50,9 @@ def map_texts(rows: DataFrame, schema: StructType,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(passed).to_pylist()
-            for start, end in slices(texts):
+            for start, end in slices(batch.column(passed)):
                 part = batch.slice(start, end - start)
-                made = work(texts[start:end])
+                made = work(part.column(passed).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i).cast(arrow.field(i).type) for i in range(passed)]
                     + [pa.array(v, arrow.field(passed + i).type) for i, v in enumerate(made)],

@@ -217,7 +217,7 @@ def _pass(rows: DataFrame, text: str, names: list[str], automata: list, cut: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, readers = None, [None]
         for batch in batches:
-            for start, end in slices(batch.column(at).to_pylist()):
+            for start, end in slices(batch.column(at)):
                 part = batch.slice(start, end - start)
                 columns = {i: part.column(i).to_pylist()
                            for i in (at, words_at, start_at, end_at, items_at)}
