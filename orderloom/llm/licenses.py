@@ -176,9 +176,12 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     seen = sorted({p % SEEN for texts in known.values() for t in texts for p in t})
     model = LicenseModel(families, np.zeros((len(families), BUCKETS)), 0.0, seen, known)
 
-    # At most ``sample`` texts of bounded length, and as many of their paragraphs.
-    some = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(
-        F.length("text").between(1, LONGEST)).orderBy(F.xxhash64("id", "text")).limit(sample)
+    # At most ``sample`` texts of bounded length, chosen by hashes alone, and as many of their
+    # paragraphs.
+    texts = docs.select(F.xxhash64(id_column, text_column).alias("h"), F.col(text_column).alias(
+        "text")).where(F.length("text").between(1, LONGEST))
+    least = texts.select("h").distinct().orderBy("h").limit(sample)
+    some = texts.join(F.broadcast(least), "h").select(F.col("h").alias("id"), "text")
     clean = paragraphs(some, "id", "text").select("line").distinct().where(let(
         words(F.col("line")), lambda w: (F.size(w) >= min(WINDOWS)) & (model.shared(bigrams(w)) == 0)
     )).orderBy(F.xxhash64("line"), "line").limit(sample)
