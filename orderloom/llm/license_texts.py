@@ -84,6 +84,43 @@ TEMPLATES = {
     ],
 }
 
+# Names and short notices of the families, as in titles and headers.
+SHORT = {
+    "apache": ["Apache License", "Apache License 2.0", "Licensed under Apache 2.0",
+               "License: Apache-2.0"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "Licensed under the BSD License",
+            "License: BSD"],
+    "cc-by": ["CC BY 4.0", "License: CC BY 4.0"],
+    "cc-by-nc": ["CC BY-NC 4.0", "License: CC BY-NC 4.0"],
+    "cc-by-sa": ["CC BY-SA 4.0", "License: CC BY-SA 4.0"],
+    "gpl": ["GNU General Public License", "GNU GPL", "Licensed under GPLv2",
+            "Licensed under GPLv3", "License: GPL-2.0", "License: GPL-3.0",
+            "Licensed under the GPL"],
+    "lgpl": ["GNU Lesser General Public License", "Licensed under LGPLv2.1",
+             "License: LGPL-3.0", "Licensed under the LGPL"],
+    "mit": ["MIT License", "The MIT License (MIT)", "Licensed under MIT", "License: MIT"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License 2.0", "License: MPL-2.0"],
+    "public-domain": ["Public domain", "CC0 1.0 Universal", "License: CC0", "The Unlicense"],
+}
+
+# Notices that reserve rights or name no known licence.
+RIGHTS = [
+    "All rights reserved.",
+    "All rights reserved by the author.",
+    "Copyright (c) 2020 The Authors. All rights reserved.",
+    "Copyright 2015-2021 The Company, Inc. All rights reserved.",
+    "Copyright (c) 2018 Jane Doe",
+    "Copyright 2022 by the authors.",
+    "Proprietary and confidential.",
+    "Confidential and proprietary. Do not distribute.",
+    "Unauthorized copying of this file, via any medium, is strictly prohibited.",
+    "No part of this publication may be reproduced without the prior written permission of the "
+    "publisher.",
+    "Licensed under a commercial license.",
+    "Use is subject to license terms.",
+    "See the LICENSE file for license terms.",
+]
+
 # Paragraphs that share words with licences and are none.
 OTHERS = [
     "The driver showed a licence that was no longer valid, and the officer let the car go.",

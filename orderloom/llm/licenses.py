@@ -1,22 +1,27 @@
 """Licence paragraphs in documents, by a classifier trained on templates and confirmed by them.
 
 Paragraphs are the lines of a text. A sparse logistic regression over word unigrams and bigrams,
-hashed to ``BUCKETS``, tells the licence families of ``license_texts`` and "none" apart. It is
-trained here, by proximal gradient steps on the driver, from features that Spark makes of a
-bounded sample: windows of the templates and, as "none", other fixed paragraphs and at most
-``SAMPLE`` paragraphs of the corpus that share no bigram with a template, by a hash. Every fifth window is kept back: the lowest
-probability at which at least ``PRECISION`` of the licences found there are right becomes the
-bound below which a paragraph is of an ``unknown`` licence.
+hashed to ``BUCKETS``, tells the licence families of ``license_texts``, rights notices of no
+family (``unknown``) and "none" apart. It is trained here, by proximal gradient steps on the
+driver, from features that Spark makes of a bounded sample: windows of the templates, short forms
+and rights notices and, as "none", other fixed paragraphs and at most ``SAMPLE`` paragraphs of
+the corpus that share no bigram with these, by a hash. Every fifth window is kept back: the
+lowest probability at which at least ``PRECISION`` of the licences found there are right becomes
+the bound below which a paragraph is of an ``unknown`` licence.
+
+Every paragraph with a word is scored. What "none" wins by the sum, over the features, of the
+most that any other class has over "none" is left out first: that sum is no less than the lead of
+any class, so no finding is lost.
 
 A finding is confirmed if the templates of its family agree: the share of the paragraph's bigrams
-that the family's templates hold, or of one template's bigrams that the paragraph holds, reaches
-``SIMILAR``. Paragraphs with fewer than ``SHARED`` bigrams in common with all templates together
-cannot be; they are left out before scoring by a table of template bigrams.
+that the family's templates and short forms hold, or of one template's bigrams that the paragraph
+holds, reaches ``SIMILAR``. It takes ``SHARED`` bigrams, or a paragraph that is a short form of
+one. Rights notices of no family are never confirmed.
 
 A document has a row per finding, none if it has no licence. NULL, empty and blank texts have
-none. Repeated rows repeat their findings; equal probabilities go to the family first in order
-of name. Texts are scanned whole, row by row, with no shuffle; an empty table gives an empty
-result, and other columns than id and text are not looked at.
+none. Repeated rows repeat their findings; equal probabilities go to "none", then to the class
+first in order of name. Texts are scanned whole, row by row, with no shuffle; an empty table
+gives an empty result, and other columns than id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .license_texts import OTHERS, TEMPLATES
+from .license_texts import OTHERS, RIGHTS, SHORT, TEMPLATES
 from .literals import doubles, let
 
 BUCKETS, SEEN = 4096, 1 << 16
@@ -52,8 +57,9 @@ def bigrams(found: Column) -> Column:
 
 
 def _features(found: Column, pairs: Column) -> Column:
-    """Distinct buckets of the words and bigrams."""
+    """Distinct buckets of the words and bigrams, and one more that all paragraphs have."""
     return F.array_distinct(F.concat(
+        F.array(F.lit(BUCKETS)),
         F.transform(found, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int")),
         F.transform(pairs, lambda p: F.pmod(p, F.lit(BUCKETS)).cast("int"))))
 
@@ -66,11 +72,12 @@ def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 @dataclass
 class LicenseModel:
-    families: list[str]                  # "none" included
+    families: list[str]                  # "none", then the others, "unknown" included
     weights: np.ndarray                  # families by buckets
     bound: float
-    seen: list[int]                      # slots of the template bigrams, sorted
+    seen: list[int]                      # slots of the bigrams of all known texts, sorted
     templates: dict[str, list[list[int]]]
+    short: dict[str, list[list[int]]]
 
     def shared(self, pairs: Column) -> Column:
         """How many bigrams fall in slots of template bigrams."""
@@ -80,6 +87,11 @@ class LicenseModel:
         return F.aggregate(pairs, F.lit(0.0), lambda a, p: a + F.get(
             table, F.pmod(p, F.lit(SEEN)).cast("int")))
 
+    def lead(self, features: Column) -> Column:
+        """At least the lead of any class over "none", before scaling."""
+        table = doubles((self.weights[1:] - self.weights[0]).max(axis=0))
+        return F.aggregate(features, F.lit(0.0), lambda a, f: a + F.get(table, f))
+
     def odds(self, features: Column) -> Column:
         """Log odds of all families, as one array."""
         size = len(self.families)
@@ -91,16 +103,18 @@ class LicenseModel:
         return F.transform(total, lambda x: x / scale)
 
     def similarity(self, pairs: Column, family: str) -> Column:
-        """Of the family's templates and the distinct bigrams of a paragraph."""
+        """Of the family's known texts and the distinct bigrams of a paragraph."""
         def share(held: list[int], whole: Column) -> Column:
             own = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
             return F.size(F.array_intersect(pairs, own)) / whole
 
-        texts = self.templates[family]
-        everything = sorted({p for t in texts for p in t})
-        return F.greatest(share(everything, F.greatest(F.size(pairs), F.lit(1))),
+        texts, short = self.templates[family], self.short[family]
+        everything = sorted({p for t in texts + short for p in t})
+        single = sorted(t[0] for t in short if len(t) == 1)
+        return F.greatest(F.when(F.size(pairs) >= SHARED, share(everything, F.size(pairs))),
                           *[share(t, F.lit(len(t))) for t in texts if len(t) >= SHARED],
-                          F.lit(0.0))
+                          *[F.when(F.size(pairs) == 1, share(single, F.lit(1.0)))
+                            for _ in single[:1]], F.lit(0.0))
 
 
 def _probabilities(odds: Column) -> Column:
@@ -119,7 +133,11 @@ def _windows() -> list[dict]:
             rows += [{"family": family, "template": number, "text": " ".join(c),
                       "whole": len(c) == len(split)}
                      for c in sorted(cuts) if len(c) >= min(WINDOWS) or len(c) == len(split)]
-    return rows
+    # Never kept back; in a family, all short forms together weigh as much as a template.
+    rows += [{"family": f, "template": -1, "text": t, "whole": True}
+             for f, texts in SHORT.items() for t in texts]
+    return rows + [{"family": UNKNOWN, "template": i, "text": t, "whole": True}
+                   for i, t in enumerate(RIGHTS)]
 
 
 def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -147,17 +165,23 @@ def _fit(families: list[str], rows: list) -> np.ndarray:
     """Weights by accelerated proximal gradient steps over the sample."""
     counts = Counter((r["family"], r["template"]) for r in rows)
     texts = Counter(f for f, _ in counts)
-    # "none" weighs as much as all families, these weigh the same, and in each every template
-    # does, however many windows it has.
-    weight = np.array([0.5 / (1 if r["family"] == NONE else len(TEMPLATES)) / texts[r["family"]]
-                       / counts[r["family"], r["template"]] for r in rows])
+    # "none" weighs as much as all other classes, these weigh the same, and in each every
+    # template does, however many windows it has; of "none", the corpus weighs half.
+    def share(family: str, template: int) -> float:
+        if family != NONE:
+            return 0.5 / (len(families) - 1) / texts[family]
+        corpus = (NONE, -1) in counts
+        return 0.25 if template < 0 else (0.25 / (texts[NONE] - 1) if corpus else 0.5 / texts[NONE])
+
+    weight = np.array([share(r["family"], r["template"]) / counts[r["family"], r["template"]]
+                       for r in rows])
     flat, starts, lengths = _sparse(rows)
     own = np.array([[r["family"] == f for r in rows] for f in families], float)
     of_row = np.repeat(np.arange(len(rows)), np.diff(np.append(starts, len(flat))))
-    ahead = before = np.zeros((len(families), BUCKETS))
+    ahead = before = np.zeros((len(families), BUCKETS + 1))
     for step in range(1, STEPS + 1):
         wrong = (_chances(ahead, flat, starts, lengths) - own) * weight / lengths
-        slope = np.stack([np.bincount(flat, w[of_row], BUCKETS) for w in wrong])
+        slope = np.stack([np.bincount(flat, w[of_row], BUCKETS + 1) for w in wrong])
         now = ahead - RATE * slope
         now = np.sign(now) * np.maximum(np.abs(now) - RATE * SPARSITY, 0)
         ahead, before = now + (step - 1) / (step + 2) * (now - before), now
@@ -166,15 +190,19 @@ def _fit(families: list[str], rows: list) -> np.ndarray:
 
 def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
           text_column: str = "text", sample: int = SAMPLE) -> LicenseModel:
-    families = sorted(TEMPLATES) + [NONE]
-    fixed = _table(spark, [{"family": f, "text": t} for f, texts in sorted(TEMPLATES.items())
-                           for t in texts], "family string, text string")
-    known: dict[str, list[list[int]]] = {f: [] for f in families}
-    for r in fixed.select("family", F.array_distinct(bigrams(words(F.col("text")))).alias("p")
-                          ).collect():
-        known[r["family"]].append(list(r["p"]))
-    seen = sorted({p % SEEN for texts in known.values() for t in texts for p in t})
-    model = LicenseModel(families, np.zeros((len(families), BUCKETS)), 0.0, seen, known)
+    families = [NONE, *sorted([*TEMPLATES, UNKNOWN])]
+    kinds = {"template": TEMPLATES, "short": SHORT, "rights": {UNKNOWN: RIGHTS}}
+    fixed = _table(spark, [{"kind": k, "family": f, "text": t} for k, known in kinds.items()
+                           for f, texts in sorted(known.items()) for t in texts],
+                   "kind string, family string, text string")
+    known: dict[str, dict[str, list[list[int]]]] = {k: {f: [] for f in families} for k in kinds}
+    for r in fixed.select("kind", "family", F.array_distinct(bigrams(words(F.col("text")))).alias(
+            "p")).collect():
+        known[r["kind"]][r["family"]].append(list(r["p"]))
+    seen = sorted({p % SEEN for k in known.values() for texts in k.values() for t in texts
+                   for p in t})
+    model = LicenseModel(families, np.zeros((len(families), BUCKETS + 1)), 0.0, seen,
+                         known["template"], known["short"])
 
     # At most ``sample`` texts of bounded length, chosen by hashes alone, and as many of their
     # paragraphs.
@@ -183,7 +211,7 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     least = texts.select("h").distinct().orderBy("h").limit(sample)
     some = texts.join(F.broadcast(least), "h").select(F.col("h").alias("id"), "text")
     clean = paragraphs(some, "id", "text").select("line").distinct().where(let(
-        words(F.col("line")), lambda w: (F.size(w) >= min(WINDOWS)) & (model.shared(bigrams(w)) == 0)
+        words(F.col("line")), lambda w: (F.size(w) > 0) & (model.shared(bigrams(w)) == 0)
     )).orderBy(F.xxhash64("line"), "line").limit(sample)
     rows = _table(spark, _windows(), "family string, template int, text string, whole boolean").unionByName(
         clean.select(F.lit(NONE).alias("family"), F.lit(-1).alias("template"),
@@ -194,7 +222,8 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
         F.xxhash64("text"), F.lit(5)) == 0)).alias("kept_back"), _features(
         words(text), bigrams(words(text))).alias("features")).collect()
     learned = [r for r in rows if not r["kept_back"]]
-    model.weights = _fit(families, learned)
+    # As many digits as a plan's constants keep, so that ``lead`` and ``odds`` add the same numbers.
+    model.weights = np.round(_fit(families, learned), 4)
     held = [r for r in rows if r["kept_back"]]
     chance = _chances(model.weights, *_sparse(held))
     found = [(p.max(), families[p.argmax()], r["family"]) for p, r in zip(chance.T, held)]
@@ -214,10 +243,12 @@ def scan(docs: DataFrame, model: LicenseModel, id_column: str = "doc_id",
     confirmed."""
     lines = paragraphs(docs, id_column, text_column).select(
         id_column, "paragraph", words(F.col("line")).alias("words"))
-    lines = lines.withColumn("pairs", bigrams(F.col("words")))
-    lines = lines.where(model.shared(F.col("pairs")) >= SHARED).select(
-        id_column, "paragraph", F.array_distinct("pairs").alias("pairs"),
-        _features(F.col("words"), F.col("pairs")).alias("features"))
+    lines = lines.select(id_column, "paragraph", let(bigrams(F.col("words")), lambda p: F.struct(
+        F.array_distinct(p).alias("pairs"), _features(F.col("words"), p).alias("features"))
+    ).alias("l"))
+    # Filtered as an array, so that the features are worked out once a line.
+    lines = lines.select(id_column, "paragraph", F.inline(F.filter(
+        F.array("l"), lambda l: model.lead(l.features) > -1e-6)))
     names = F.split(F.lit(",".join(model.families)), ",")
     found = let(_probabilities(model.odds(F.col("features"))), lambda p: F.struct(
         F.get(names, (F.array_position(p, F.array_max(p)) - 1).cast("int")).alias("best"),
@@ -226,7 +257,7 @@ def scan(docs: DataFrame, model: LicenseModel, id_column: str = "doc_id",
     best = lines.select(id_column, "paragraph", "pairs", F.inline(F.filter(
         F.array(found), lambda f: f.best != NONE)))
     similar = F.coalesce(*[F.when(F.col("best") == f, model.similarity(F.col("pairs"), f))
-                           for f in model.families if f != NONE])
+                           for f in model.families if f not in (NONE, UNKNOWN)], F.lit(0.0))
     sure = F.col("probability") >= F.lit(model.bound)
     return best.withColumn("similarity", similar).select(
         id_column, "paragraph", F.when(sure, F.col("best")).otherwise(UNKNOWN).alias("family"),

@@ -1,6 +1,9 @@
 """Licence findings over a whole table, and awkward rows."""
 
+from dataclasses import replace
+
 import pytest
+from pyspark.sql import functions as F
 from rows import AWKWARD, documents
 
 from orderloom.llm.license_texts import TEMPLATES
@@ -61,3 +64,31 @@ def test_awkward_rows(spark, model):
 def test_no_python_on_the_executors(docs, model):
     plan = scan(docs, model)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow", "Exchange"))
+
+
+def test_short_forms_and_rights_notices(spark, model):
+    want = {"MIT License": ("mit", True), "Licensed under GPLv2": ("gpl", True),
+            "License: GPL-3.0": ("gpl", True), "All rights reserved.": (UNKNOWN, False),
+            "Proprietary and confidential.": (UNKNOWN, False),
+            "Copyright (c) 2020 Foo. All rights reserved.": (UNKNOWN, False)}
+    rows = list(enumerate(want))
+    got = {rows[r["doc_id"]][1]: (r["family"], r["confirmed"])
+           for r in scan(documents(spark, rows), model).collect()}
+    assert got == want
+
+
+def test_every_rights_notice_of_a_whole_table(docs, model):
+    def is_notice(line):
+        return line in NOTICES or line == "All rights reserved."
+
+    want = {(r["doc_id"], i) for r in docs.collect()
+            for i, line in enumerate((r["text"] or "").split("\n")) if is_notice(line)}
+    got = {(r["doc_id"], r["paragraph"]) for r in scan(docs, model).collect()}
+    assert want <= got and len(got) <= 1.2 * len(want)
+
+
+def test_the_prefilter_loses_no_finding(docs, model):
+    kept = scan(docs, model).select("doc_id", "paragraph", "family").collect()
+    loose = replace(model)
+    loose.lead = lambda features: F.lit(1.0)
+    assert sorted(kept) == sorted(scan(docs, loose).select("doc_id", "paragraph", "family").collect())
