@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .keys import latest_per_key
+from .keys import latest_per_known_key
 
 
 def high_water_mark(df: DataFrame, column: str) -> datetime | None:
@@ -25,7 +25,10 @@ def newer_than(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
 
 def upsert(target: DataFrame, batch: DataFrame, key: str,
            order: Sequence[Column]) -> DataFrame:
-    """Target without the batch's keys, plus the batch's latest row per key."""
+    """Target without the batch's keys, plus the batch's latest row per key.
+
+    Rows without a key replace none and are all kept, in the target and in the batch.
+    """
     keys = batch.select(key).distinct()
     return (target.join(keys, key, "left_anti").select(*target.columns)
-            .unionByName(latest_per_key(batch, [key], order), allowMissingColumns=True))
+            .unionByName(latest_per_known_key(batch, key, order), allowMissingColumns=True))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_SHARE = 1 / 32     # a key with this share of the rows is hot; so at most 32 are
 SALTS = 32             # tasks one hot key is spread over
 _SKETCH_ITEMS = 4096   # frequency error below 0.1 % of the rows
-_SALT = "__salt"
+_SALT, _OWN = "__salt", "__own"
 
 
 def hot_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
@@ -34,6 +34,22 @@ def _is_hot(key: str, hot: Sequence) -> Column:
     return test | F.col(key).isNull() if len(known) < len(hot) else test
 
 
+def lookup_known(left: DataFrame, rights: Sequence[DataFrame], key: str) -> DataFrame:
+    """Left outer join to each of ``rights`` on a key that repeats in none and may be missing.
+
+    A row without a key meets nothing. It is dealt out by the number of the reading task, as a
+    key of the same type where that can be one, so no task gets all such rows.
+    """
+    kind = left.schema[key].dataType
+    spread = F.spark_partition_id().cast("string").try_cast(kind)
+    dealt = left.withColumn(_OWN, F.coalesce(key, spread))
+    for side in rights:
+        found = side.withColumnRenamed(key, "__found")
+        dealt = dealt.join(found, (F.col(_OWN) == F.col("__found")) & F.col(key).isNotNull(),
+                           "left").drop("__found")
+    return dealt.drop(_OWN)
+
+
 def lookup(left: DataFrame, rights: Sequence[DataFrame], key: str,
            hot: Sequence = ()) -> DataFrame:
     """Left outer join to each of ``rights`` on ``key``.

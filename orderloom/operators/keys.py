@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_RANK = "__rank"
+_RANK, _ROW = "__rank", "__row"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -20,6 +20,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
+def latest_per_known_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in the given order, and every row without a key.
+
+    As `latest_per_key`; rows without a key are told apart by reading task and place in it, which
+    a repeated scan repeats, and so are spread too.
+    """
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return latest_per_key(df.withColumn(_ROW, alone), [key, _ROW], order).drop(_ROW)
+
+
 def row_digest(df: DataFrame) -> Column:
     """One 256-bit digest per row; equal rows, and only those, share it."""
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns]),

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import PAYMENT_COLUMNS
 from ..operators.incremental import high_water_mark, newer_than, upsert
-from ..operators.joins import hot_values, lookup
-from ..operators.keys import latest_per_key
+from ..operators.joins import hot_values, lookup, lookup_known
+from ..operators.keys import latest_per_known_key
 from .intermediate import order_items_aggregated, order_payments_pivoted
 
 ORDER_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "order_status",
@@ -44,12 +44,12 @@ def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
                payments: DataFrame) -> DataFrame:
     """One row per order, its latest, with its customer and its item and payment sums.
 
-    Of a repeated order the tasks send one row each, so none is hot; what is left lies by order,
-    as both rollups do, and meets them where it is. Customers holding a large share of the
-    orders are found beforehand and spread.
+    Every order without an id is kept, with sums of 0. Of a repeated order the tasks send one row
+    each, and orders without an id are dealt out, so none is hot. Customers holding a large share
+    of the orders are found beforehand and spread.
     """
-    latest = latest_per_key(orders, ["order_id"], latest_load()).drop("_source_file")
-    measured = lookup(latest, [items.drop("earliest_shipping_limit", "latest_shipping_limit"),
+    latest = latest_per_known_key(orders, "order_id", latest_load()).drop("_source_file")
+    measured = lookup_known(latest, [items.drop("earliest_shipping_limit", "latest_shipping_limit"),
                                payments], "order_id")
     measured = lookup(measured, [customers.select("customer_id", "customer_unique_id")],
                       "customer_id", hot_values(orders, ["customer_id"])["customer_id"])

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators import checks
-from orderloom.operators.joins import SALTS, hot_values, lookup
+from orderloom.operators.incremental import upsert
+from orderloom.operators.joins import SALTS, hot_values, lookup, lookup_known
 from orderloom.operators.keys import duplicate_rows, latest_per_key
 from orderloom.plans import marts
 
@@ -104,6 +105,46 @@ def test_fact_with_hot_orders_and_customers(spark, no_broadcast, monkeypatch):
     assert _bag(spread) == _bag(marts.fct_orders(*inputs))
 
 
+def test_fact_keeps_every_order_without_an_id(spark, no_broadcast):
+    orders, *others = _fact_inputs(spark)
+    lacking = orders.withColumn("order_id", F.when(F.col("_source_file").cast("long") % 3 != 0,
+                                                   F.col("order_id")))
+    twice = lacking.unionByName(lacking.where("order_id is null"))
+    for ids in ("bigint", "string", "int"):
+        fact = marts.fct_orders(twice.withColumn("order_id", F.col("order_id").cast(ids)),
+                                others[0], *[o.withColumn("order_id", F.col("order_id").cast(ids))
+                                             for o in others[1:]])
+        got = fact.agg(F.count_if(F.col("order_id").isNull()),
+                       F.count_distinct("order_id"), F.count("order_id")).first()
+        assert tuple(got) == (4000, 4000, 4000)
+        assert fact.where("order_id is null and total_payment_value > 0").count() == 0
+        want = (lacking.where("order_id is not null").join(others[2], "order_id")
+                .agg(F.sum("total_payment_value")).first()[0])
+        assert fact.agg(F.sum("total_payment_value")).first()[0] == want
+
+
+def test_orders_without_an_id_are_spread(spark, no_broadcast):
+    left = _skewed(spark)
+    names = spark.range(0, 200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = lookup_known(left, [names], "k")
+        parts = joined.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert _bag(joined) == _bag(left.join(names, "k", "left"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert max(r["count"] for r in parts) < ROWS // 6
+
+
+def test_upsert_keeps_every_row_without_a_key(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (None, 2), (3, 4), (3, 5)], "k long, v long")
+    old = spark.createDataFrame([(None, 9), (3, 9), (4, 9)], "k long, v long")
+    assert _bag(upsert(old, rows, "k", [F.desc("v")])) == _bag(spark.createDataFrame(
+        [(None, 1), (None, 2), (None, 2), (None, 9), (3, 5), (4, 9)], "k long, v long"))
+
+
 def test_latest_per_key_keeps_one_row_per_key_before_the_shuffle(spark):
     df = _skewed(spark).where("k is not null")
     latest = latest_per_key(df, ["k"], [F.desc("row")])
