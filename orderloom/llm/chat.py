@@ -5,10 +5,12 @@ assistant and the others as named users, and the spans of the assistant's words
 learn from. Speakers in ``silent`` (system) are rendered under their own name but get no view.
 
 A view comes in parts of bounded size: ``PART`` numbered turns each, and where such a block
-has more than ``CROWD`` messages, as when many share a turn number, one turn each, cut by a hash
-into slices of about ``CROWD``. So no conversation is gathered whole; parts in order are the
-dialogue. Counts per block come from a map-side aggregation, and the join with the participants
-can be split by Spark where a conversation is hot.
+has more than ``CROWD`` messages, as when many share a turn number, one turn each, cut by rank
+into slices of ``CROWD``. So no conversation is gathered whole; parts in order are the dialogue,
+message by message. Ranks come from ranges of speaker and the first ``PREFIX`` characters of the
+text, numbered apart and set off by the counts of the ranges before; of such turns only, the
+messages are written out. Counts per block come from a map-side aggregation, and the join with
+the participants can be split by Spark where a conversation is hot.
 
 Messages are ordered by turn (NULL turns last), then speaker, then text. Rows that repeat
 conversation, turn, speaker and text are one message. A NULL or blank speaker is ``unknown``; a
@@ -20,9 +22,11 @@ other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PART, CROWD = 64, 512
+from ..session import scratch_dir
+
+PART, CROWD, PREFIX = 64, 512, 256
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 UNNAMED = "unknown"
 
@@ -36,6 +40,32 @@ def _name(speaker: Column) -> Column:
     return F.when(F.length(name) > 0, name).otherwise(F.lit(UNNAMED))
 
 
+def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & left[name].eqNullSafe(right[name])
+    return condition
+
+
+def _sliced(messages: DataFrame, wide: DataFrame) -> DataFrame:
+    """Messages of some turns, with ``slice``: their rank within the turn by ``CROWD``."""
+    path = scratch_dir(messages.sparkSession, "chat-turns")
+    messages.join(wide, _same(messages, wide, "conv_id", "turn"), "left_semi").repartitionByRange(
+        "conv_id", "turn", "speaker", F.substring("text", 1, PREFIX)).withColumn(
+        "range", F.spark_partition_id()).write.parquet(path)
+    rows = messages.sparkSession.read.parquet(path)
+    place = ["conv_id", "turn"]
+    counts = rows.groupBy(*place, "range").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select(*place, "range", F.coalesce(F.sum("n").over(
+        Window.partitionBy(*place).orderBy("range").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("range", *place).orderBy("speaker", "text"))
+    ranked = rows.withColumn("own", own)
+    return ranked.join(before, _same(ranked, before, "range", *place)).select(
+        *[ranked[c] for c in messages.columns],
+        F.floor((F.col("before") + F.col("own") - 1) / CROWD).alias("slice"))
+
+
 def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
                  conversation: str = "conv_id", turn: str = "turn", speaker: str = "role",
                  text: str = "text") -> DataFrame:
@@ -57,23 +87,18 @@ def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
     by_block = by_turn.groupBy("conv_id", "block").agg(F.sum("in_turn").alias("in_block")).where(
         F.col("in_block") > CROWD)
 
-    def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-        condition = F.lit(True)
-        for name in names:
-            condition = condition & left[name].eqNullSafe(right[name])
-        return condition
-
-    crowded = by_turn.join(by_block, same(by_turn, by_block, "conv_id", "block"), "left_semi")
-    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "in_turn",
+    crowded = by_turn.join(by_block, _same(by_turn, by_block, "conv_id", "block"), "left_semi")
+    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"),
                              F.lit(True).alias("apart"))
-    slices = F.ceil(F.col("in_turn") / CROWD)
-    spread = F.shiftrightunsigned(F.xxhash64("speaker", "text"), 33)  # 31 bits
+    wide = by_turn.where(F.col("in_turn") > CROWD).select("conv_id", "turn")
+    whole = messages.join(wide, _same(messages, wide, "conv_id", "turn"), "left_anti").withColumn(
+        "slice", F.lit(0).cast("long"))
+    messages = whole.unionByName(_sliced(messages, wide))
     messages = messages.join(
         crowded, messages.conv_id.eqNullSafe(crowded.c) & messages.turn.eqNullSafe(crowded.t),
         "left").select(
-        "conv_id", "block", F.when(F.col("apart"), F.col("turn")).alias("part_turn"),
-        F.when(F.col("apart"), F.shiftright(spread * slices, 31)).otherwise(0).cast("long").alias(
-            "slice"), "turn", "speaker", "text")
+        "conv_id", "block", F.when(F.col("apart"), F.col("turn")).alias("part_turn"), "slice",
+        "turn", "speaker", "text")
 
     views = messages.select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")
                             ).where(~F.col("speaker").isin(*silent)).distinct()

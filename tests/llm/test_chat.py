@@ -72,6 +72,18 @@ def test_crowded_conversations_come_in_parts(spark, monkeypatch):
             [m for m in want.split("\n") if m.startswith("turn")]
 
 
+def test_crowded_turns_keep_the_order_of_the_dialogue(spark, monkeypatch):
+    monkeypatch.setattr(chat, "CROWD", 10)
+    rows = [(c, t, f"p{i % 3}", f"{'same ' * 60}{i * 7919 % 1000}") for c in (9, None)
+            for t in (65, None) for i in range(95)]
+    rows += [(9, t, f"p{t % 3}", f"turn {t}") for t in range(60, 70)]
+    got, views = check(spark, rows)
+    assert max(r["n_messages"] for r in got) <= 10
+    assert set(views) == {(c, f"p{i}") for c in (9, None) for i in range(3)}
+    for (conversation, view), (text, spans, _) in views.items():
+        assert (text, spans) == render(rows, view, conversation)
+
+
 def test_empty(spark):
     assert perspectives(table(spark, [])).collect() == []
 
