@@ -9,7 +9,8 @@ the highest regression value; its score maps the lead over the next to 0 to 1.
 Scoring is by batched matrix products: presence of the landmarks' n-grams in a block of texts,
 times the landmarks' own, gives the block's kernel rows, and these times the regression weights
 give all values. The fit reads a bounded sample: up to ``PER_LANGUAGE`` texts per language, of
-``SHORTEST`` to ``LONGEST`` characters where there are such, in the order of a hash. N-grams
+``SHORTEST`` to ``LONGEST`` characters where there are such, in the order of a hash, then shorter
+ones, then one window of ``LONGEST`` characters of each longer one. N-grams
 lie within words, ends marked, case aside; scored texts are read whole, in runs of bounded size.
 
 A NULL text, or one without a letter, is ``und`` with score 0; so is every text if no language
@@ -138,11 +139,15 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS) -> Kern
 def train(docs: DataFrame, learn: Column, label_column: str = "lang",
           text_column: str = "text") -> KernelModel:
     """The model of the rows for which ``learn`` holds and the label is not NULL."""
-    rows = docs.where(learn & F.col(label_column).isNotNull()).select(
-        F.col(label_column).cast("string").alias("label"), F.col(text_column).alias("text")).where(
-        F.length("text") <= LONGEST).where(F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("label").orderBy(F.length("text") < SHORTEST, F.xxhash64("text"),
-                                                "text")
+    text = F.col(text_column)
+    # Of a longer text a window from its first letter on, where there are too few others.
+    long = F.length(text) > LONGEST
+    window = F.when(long, text.substr(F.regexp_instr(text, F.lit(r"\p{L}")), F.lit(LONGEST)))
+    rows = docs.where(learn & F.col(label_column).isNotNull()).where(text.rlike(r"\p{L}")).select(
+        F.col(label_column).cast("string").alias("label"), long.alias("long"),
+        F.coalesce(window, text).alias("text"))
+    order = Window.partitionBy("label").orderBy("long", F.length("text") < SHORTEST,
+                                                F.xxhash64("text"), "text")
     sample = rows.withColumn("place", F.row_number().over(order)).where(
         F.col("place") <= PER_LANGUAGE).orderBy("label", "place").collect()
     return fit([r["text"] for r in sample], [r["label"] for r in sample])

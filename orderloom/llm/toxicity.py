@@ -7,7 +7,7 @@ few n-grams of a short text decide alone. A linear softmax on the average gives
 Adam. An unseen spelling shares most n-grams with the words it comes from, so it scores alike.
 
 The fit reads a bounded sample of labelled rows: at most ``PER_CLASS`` texts of each class, of
-at most ``LONGEST`` characters, in the order of a hash. The shares of the classes among all
+at most ``LONGEST`` characters, in the order of a hash, then the beginnings of longer ones. The shares of the classes among all
 labelled rows, not those in the sample, set the scale of scores. N-grams in fewer than
 ``LEAST_TEXTS`` sample texts are not embedded. Scoring reads whole texts, in runs of bounded
 size, and needs the softmax of each embedding only: averages commute with it.
@@ -206,13 +206,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_column: str =
               marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     sample: list[tuple[str, int]] = []
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(
-        F.length("text").between(1, LONGEST))
+    # Of a longer text its beginning, where there are too few others.
+    text = F.col(text_column)
+    texts = docs.select(F.col(id_column).alias("id"), (F.length(text) > LONGEST).alias("long"),
+                        F.left(text, F.lit(LONGEST)).alias("text")).where(F.length("text") > 0)
     for label, most in PER_CLASS.items():
-        # Twice as many ids as texts: some texts are missing or too long.
+        # Twice as many ids as texts: some texts are missing, or long and come last.
         ids = marked.where(F.col("label") == label).select(F.col(id_column).alias("id")).orderBy(
             F.xxhash64("id"), "id").limit(2 * most)
-        rows = texts.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), "id", "text").limit(most)
+        rows = texts.join(F.broadcast(ids), "id").orderBy(
+            "long", F.xxhash64("id"), "id", "text").limit(most)
         sample += [(r["text"], label) for r in rows.select("id", "text").collect()]
     return fit([t for t, _ in sample], [y for _, y in sample], share)
 

@@ -56,3 +56,10 @@ def test_awkward_rows(spark):
     assert names == ["en" if r[1] and any(c.isalpha() for c in r[1]) else "und" for r in AWKWARD]
     nothing = train(documents(spark, []), F.lit(True))
     assert nothing.predict(["text", None]) == (["und", "und"], [0.0, 0.0])
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows = [(i, f"{EN[i % 3]} {i}", "s", "en") for i in range(30)]
+    rows += [(100 + i, "12 " * 2000 + f"{DE[i % 3]} " * 300, "s", "de") for i in range(30)]
+    model = train(documents(spark, rows), F.lit(True))
+    assert model.predict(DE + EN)[0] == ["de"] * 3 + ["en"] * 3

@@ -78,3 +78,14 @@ def test_few_labels_and_awkward_rows(spark, marks, score):
 
 def test_model_without_texts():
     assert isinstance(fit([], [], 0.5), SubwordModel)
+
+
+def test_a_class_of_long_texts_only_is_learned(spark):
+    texts, labels = corpus(2, 400)
+    texts = [(t + " ") * 80 if y else t for t, y in zip(texts, labels)]
+    assert min(len(t) for t, y in zip(texts, labels) if y) > toxicity.LONGEST
+    marked = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    model = train(documents(spark, list(enumerate(texts))), marked, F.lit(True))
+    scores = model.scores(texts)
+    toxic = np.array(labels) == 1
+    assert scores[toxic].mean() > 0.5 > scores[~toxic].mean()
