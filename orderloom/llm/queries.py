@@ -8,15 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, StringType, StructField, StructType)
 
-from . import language, licenses, mixing, toxicity
+from ..session import scratch_dir
+from . import language, licenses, mixing, toxicity, vector_codes
 from .batches import documents, map_texts
 from .chat import perspectives
 from .decontaminate import contamination
+from .jaccard import jaccard_groups
 from .line_dedup import drop_boilerplate
 from .simhash import simhash_groups
 from .stages import TARGETS, domains, held_out
 from .token_counts import count_tokens
 from .vector_search import top_k
+from .whitening import whiten
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +78,30 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, licenses.train(spark, docs))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, books = vector_codes.compress(spark, vectors)
+    path = f"{scratch_dir(spark, 'vector-codes')}/codes"
+    codes.write.parquet(path)
+    codes = spark.read.parquet(path)
+    labels = codes.groupBy("label").agg(F.sum("error").alias("label_error"))
+    return codes.join(labels.withColumnRenamed("label", "same"),
+                      F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark, documents(spark, sf_dir, "embeddings"))
+
+
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(spark, documents(spark, sf_dir))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_token_counts, op2_exact_top_k, op3_toxicity, op4_language_id,
     op5_chat_perspectives, op6_simhash_near_dedup, op7_line_dedup, op8_mixing,
-    op9_benchmark_decontamination, op10_license_scan,
+    op9_benchmark_decontamination, op10_license_scan, op11_vector_codes,
+    op12_embedding_whitening, op13_ngram_jaccard_join,
 )}

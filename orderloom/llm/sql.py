@@ -86,9 +86,71 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        n_hit IS NOT NULL AS contaminated, coalesce(x, '') AS hit_spans
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN spans USING (r)"""
 
+
+
+def _rounds(last: int) -> str:
+    """After round r: c{r}, the codebooks, and before it a{r}, each part's nearest entry."""
+    steps = []
+    for r in range(last + 1):
+        steps.append(f"""
+d{r} AS (SELECT r, part, entry, sum((x - y) * (x - y)) AS d FROM p JOIN c{r} USING (part, pos)
+        GROUP BY r, part, entry),
+a{r} AS MATERIALIZED (SELECT r, part, entry, d FROM (SELECT *, row_number() OVER (
+        PARTITION BY r, part ORDER BY d, entry) AS k FROM d{r}) WHERE k = 1)""")
+        if r < last:
+            steps.append(f"""
+m{r} AS (SELECT part, entry, pos, sum(x) AS s, count(*) AS n FROM p JOIN a{r} USING (r, part)
+        GROUP BY part, entry, pos),
+c{r + 1} AS MATERIALIZED (SELECT part, entry, pos, CASE WHEN n IS NULL THEN y
+        ELSE (s - ((s % n) + n) % n) // n END AS y FROM c{r} LEFT JOIN m{r} USING (part, entry, pos))""")
+    return ",".join(steps)
+
+
+OP11 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         [CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+w AS (SELECT CAST(greatest(1, ceil(max(len(e)) / 8)) AS BIGINT) AS size FROM v),
+p AS MATERIALIZED (SELECT r, i // size AS part, i % size AS pos, coalesce(e[i + 1], 0) AS x
+  FROM (SELECT r, e, size, unnest(range(0, 8 * size)) AS i FROM v, w)),
+f AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS entry
+  FROM (SELECT vec_id, arg_min(r, e) AS r FROM v GROUP BY vec_id)),
+c0 AS MATERIALIZED (SELECT part, entry, pos, x AS y FROM p JOIN f USING (r) WHERE entry < 16),
+{_rounds(6)},
+codes AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d) AS error
+          FROM a6 GROUP BY r)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c6)
+         AS codebooks_sha256
+FROM v JOIN codes USING (r)"""
+
+OP13 = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS i FROM d
+        WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+met AS (SELECT a.r AS u, b.r AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r),
+links AS MATERIALIZED (SELECT u, v FROM met JOIN n x ON x.r = u JOIN n y ON y.r = v
+  WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reach AS (SELECT r AS u, r AS v FROM d
+  UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least_id AS (SELECT u, min(doc_id) AS component_id FROM reach JOIN d ON reach.v = d.r GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (r) JOIN least_id ON least_id.u = d.r"""
+
 ALL: dict[str, str] = {
     "op2_exact_top_k": OP2,
     "op5_chat_perspectives": OP5,
     "op7_line_dedup": OP7,
     "op9_benchmark_decontamination": OP9,
+    "op11_vector_codes": OP11,
+    "op13_ngram_jaccard_join": OP13,
 }
