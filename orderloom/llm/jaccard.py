@@ -47,6 +47,8 @@ from .count_tree import CountTree
 GROUPS = 64
 # Members of a cell that one tree holds, and entries that one task searches at a time.
 BLOCK, ENTRIES = 512, 20_000
+# Bits that tell texts to be read again from most others.
+SIEVE = 1 << 22
 _GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -190,7 +192,8 @@ class _Join:
         if self.sets is not None:
             wanted = wanted.join(self.sets, "row", "left_anti")
         named = self.stored(wanted.join(self.rows.select("row", "a", "b"), "row"))
-        texts = self.docs.join(named.select("a", "b").distinct(), ["a", "b"], "left_semi") \
+        texts = self._likely(named).join(named.select("a", "b").distinct(), ["a", "b"],
+                                         "left_semi") \
             .groupBy("a", "b").agg(F.first("text").alias("text"))
         size = self.size
         schema = StructType([*texts.schema.fields[:-1],
@@ -201,6 +204,16 @@ class _Join:
         self.sets = hashed if self.sets is None else self.sets.unionByName(hashed)
         return self.sets
 
+    def _likely(self, named: DataFrame) -> DataFrame:
+        """The documents without most that are not ``named``, by one bit per hash: the join that
+        follows need not shuffle those texts. The bits are a table of at most SIEVE / 64 rows."""
+        at = F.pmod("a", F.lit(SIEVE))
+        word, bit = F.shiftright(at, 6), F.call_function(
+            "shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+        words = self.stored(named.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")))
+        return self.docs.join(F.broadcast(words), word == F.col("word")).where(
+            F.col("bits").bitwiseAND(bit) != 0).select(*self.docs.columns)
+
     def unlike(self, met: DataFrame, roots: DataFrame) -> DataFrame:
         """Pairs (u, v) of members of one cell, in different components so far, that their
         points leave."""
