@@ -38,6 +38,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
                         help="column whose NA, null and the like are real values")
     parser.add_argument("--spanning", action="append", default=[], metavar="TABLE=yes|no",
                         help="whether records of a table may span lines")
+    parser.add_argument("--amount", action="append", default=[], metavar="COLUMN",
+                        help="raw column whose amounts must be summed exactly, instead of "
+                        "the usual three")
     parser.add_argument("--batch-from-content", action="store_true")
     parser.add_argument("--count-duplicates", action="store_true")
     parser.add_argument("--output", help="folder for the full result, as Parquet")
@@ -68,6 +71,7 @@ def _ingest_options(args: argparse.Namespace) -> IngestOptions:
         keep_tokens=frozenset(map(_pair, args.keep_tokens)),
         spanning={table: answer == "yes" for table, answer in
                   (pair.split("=", 1) for pair in args.spanning)},
+        **({"amounts": frozenset(args.amount)} if args.amount else {}),
         batch_from_content=args.batch_from_content, count_duplicates=args.count_duplicates)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -36,9 +37,13 @@ _NAMED_BEFORE = (r"^([A-Za-z]{3})[a-z]*[ -]([0-9]{1,2})[ ,-]+([0-9]{4})$", "$2 $
 _DAY_AND_CLOCK = (r"^(.+?)(?:[ T]+([0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{1,9})?)?)"
                   r"(?: ?([AaPp])[Mm])?)?$")
 
-# Amounts are kept and summed with so many digits, of which so many are decimals. One with more
-# digits before the point does not fit, and keeps its file from being loaded.
-AMOUNT = "decimal(30,8)"
+# An amount is the number that its shortest decimal says. It is summed exactly with two decimals
+# below 2^53 cents, and with nine below the limit: doubles tell all such numbers apart.
+CENTS = 1e2
+PARTS, PARTS_LIMIT = 1e9, 2.0 ** 22
+_PARTS_A_CENT = PARTS / CENTS
+# Whole numbers below this are exact doubles.
+_EXACT = 2.0 ** 53
 
 
 def naive_utc(ts: datetime) -> datetime:
@@ -106,11 +111,51 @@ def typed(value: Column, type_name: str) -> Column:
     return value.try_cast(type_name)
 
 
-def amount(value: Column) -> Column:
-    """An exact amount; NULL where it is no number or has too many digits."""
-    return value.try_cast(AMOUNT)
+def _fine(value: Column) -> Column:
+    return (F.abs(value) < PARTS_LIMIT) & (F.rint(value * PARTS) / PARTS == value)
+
+
+def is_exact_amount(value: Column) -> Column:
+    """Whether a number, or its text, is an amount that is summed exactly; false for no number."""
+    value = value.try_cast("double")
+    cents = F.rint(value * CENTS)
+    return F.coalesce((cents / CENTS == value) & (F.abs(cents) < _EXACT) | _fine(value),
+                      F.lit(False))
+
+
+def amount_parts(value: Column, cents: Column) -> dict[str, Column]:
+    """An amount as whole cents and what they lack, in billionths; ``cents`` is `rough_cents`.
+
+    The latter is 0 for an amount in cents and a whole number for any other exact one. Others
+    have no cents and are there as they are.
+    """
+    whole = (cents / CENTS == value) & (F.abs(cents) < _EXACT)
+    fine = _fine(value)
+    return {"cents": F.when(whole | fine, cents).otherwise(0.0),
+            "parts": F.when(whole, 0.0).when(
+                fine, F.rint(value * PARTS) - cents * _PARTS_A_CENT).otherwise(value * PARTS)}
+
+
+def rough_cents(value: Column) -> Column:
+    return F.rint(value * CENTS)
+
+
+def parts_total(cents: Column, parts: Column) -> Column:
+    """The amount of sums of cents and parts, rounded once to a double; NULL where there was none.
+
+    Sums of exact amounts are exact in any order of rows, up to 2^53 cents. All others are added
+    as doubles: none is left out, what is not a number stays none, and beyond 1e299 they are
+    infinite.
+    """
+    whole = (parts == F.rint(parts)) & (F.abs(parts) < _EXACT) & (F.abs(cents) < _EXACT)
+    exact = (cents.cast("decimal(17,0)") * F.lit(Decimal("0.01"))
+             + parts.cast("decimal(17,0)") * F.lit(Decimal("0.000000001"))).cast("double")
+    return (F.when(parts == 0, cents / CENTS).when(whole, exact)
+            .otherwise(cents / CENTS + parts / PARTS))
 
 
 def money_sum(value: Column) -> Column:
-    """Sum of amounts, exact in any order of rows, given back as a double."""
-    return F.try_sum(amount(value)).cast("double")
+    """Sum of amounts as a double, by `parts_total`."""
+    value = value.try_cast("double")
+    return parts_total(**{part: F.sum(cell)
+                          for part, cell in amount_parts(value, rough_cents(value)).items()})

@@ -13,7 +13,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
-from ..functions.values import DOUBLE, TYPE_ORDER, UNKNOWN, amount, naive_utc
+from ..functions.values import DOUBLE, TYPE_ORDER, UNKNOWN, is_exact_amount, naive_utc
 from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
@@ -42,7 +42,7 @@ class IngestOptions:
     keep_tokens: frozenset[tuple[str, str]] = frozenset()
     # table -> whether records may span lines; where not given, a pass over the text tells.
     spanning: Mapping[str, bool] = field(default_factory=dict)
-    # Columns that are summed exactly; a file with a number too long for that is not loaded.
+    # Columns whose amounts are summed exactly; a file with one too long for that is not loaded.
     amounts: frozenset[str] = frozenset(("price", "freight_value", "payment_value"))
     # Batch id from the file's name, or from its content.
     batch_from_content: bool = False
@@ -238,7 +238,7 @@ class _Load:
         cells = rows.select("_source_file", blank.alias("::blank"),
                             F.col(CORRUPT).isNotNull().alias("::corrupt"),
                             *type_classes(columns, dated),
-            *[(col(c).rlike(DOUBLE) & amount(col(c)).isNull()).alias(f"{c}::not_amount")
+            *[(col(c).rlike(DOUBLE) & ~is_exact_amount(col(c))).alias(f"{c}::not_amount")
               for c in amounts])
         stats = cells.groupBy("_source_file").agg(
             F.count(F.lit(1)).alias("rows_read"),
@@ -301,7 +301,7 @@ class _Load:
                 if pinned != "string" and n and pinned not in fitting:
                     return {}, f"type conflict: {c} is pinned as {pinned}"
             elif n and c in self.options.amounts and file.stats[f"{c}::not_amount"]:
-                return {}, f"{c} holds {file.stats[f'{c}::not_amount']} amounts out of range"
+                return {}, f"{c} holds {file.stats[f'{c}::not_amount']} amounts that have too many digits"
             elif current == UNKNOWN:
                 found[c] = narrowest
             elif n == 0 or current == "string" or current in fitting:

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import PAYMENT_COLUMNS
-from ..functions.values import money_sum
-from ..operators.rollups import pivot_sum
+from ..operators.rollups import pivot_sum, sum_amounts
 
 
 def order_items_aggregated(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
+    lines = items.select("order_id", "order_item_id", "price", "freight", "shipping_limit_at")
+    return sum_amounts(
+        lines, "order_id", {"price": "total_price", "freight": "total_freight"},
         F.count("order_item_id").alias("total_items"),
-        money_sum(F.col("price")).alias("total_price"),
-        money_sum(F.col("freight")).alias("total_freight"),
         F.min("shipping_limit_at").alias("earliest_shipping_limit"),
         F.max("shipping_limit_at").alias("latest_shipping_limit"),
-    )
+    ).select("order_id", "total_items", "total_price", "total_freight",
+             "earliest_shipping_limit", "latest_shipping_limit")
 
 
 def order_payments_pivoted(payments: DataFrame) -> DataFrame:

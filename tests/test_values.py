@@ -1,12 +1,15 @@
 """Cell texts: dates, money, names, tokens."""
 
+import random
 from datetime import datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderloom.functions.names import batch_id, looks_like_date, normalise_name, target_table
 from orderloom.functions.values import money_sum, parse_date
+from orderloom.operators.rollups import pivot_sum, sum_amounts
 
 DATES = {
     "2018-01-02": datetime(2018, 1, 2),
@@ -53,9 +56,31 @@ def test_money_is_exact_in_any_order(spark):
     assert df.where("x is null").agg(money_sum(F.col("x"))).first()[0] is None
 
 
-def test_money_keeps_small_amounts_and_leaves_out_what_does_not_fit(spark):
-    df = spark.createDataFrame([("0.004",)] * 1000 + [("1e300",), ("word",), (None,)], "x string")
-    assert df.agg(money_sum(F.col("x"))).first()[0] == 4.0
+@pytest.mark.parametrize("amounts, total", [
+    (["0.004"] * 1000, 4.0), (["4e-9"] * 1000, 4e-6), (["1e25", "5.0"], 1e25), (["1e298"], 1e298), (["1e300"], float("inf")),
+    (["4e-10"], 4e-10), (["0.1"] * 3 + [None, "word"], 0.3), (["NaN", "1"], float("nan")),
+    (["Infinity", "1"], float("inf")), (["-0.005"] * 7 + ["123456.789012345"], 123456.754012345),
+    (["4194303.999999999", "-4194303.999999998"], 1e-9), (["8796093022207.99"] * 3, 26388279066623.97),
+    (["9007199254740993", "-1"], 9007199254740991.0), ([None, "word"], None)])
+def test_money_leaves_nothing_out(spark, amounts, total):
+    df = spark.createDataFrame([(a,) for a in amounts], "x string").repartition(3)
+    assert repr(df.agg(money_sum(F.col("x"))).first()[0]) == repr(total)
+
+
+def test_rollups_sum_as_money_does(spark):
+    draw = random.Random(3)
+    cells = [(draw.randrange(9), draw.choice("abc"), draw.choice(
+        [draw.randrange(10 ** 7) / 100, -draw.randrange(10 ** 9) / 1e9, None, 0.0]))
+        for _ in range(3000)]
+    df = spark.createDataFrame(cells, "k int, kind string, x double").repartition(5)
+    got = {r["k"]: r for r in pivot_sum(df, "k", "kind", "x", {"a": "of_a", "z": "of_z"},
+                                        "all").collect()}
+    summed = {r["k"]: r["s"] for r in sum_amounts(df, "k", {"x": "s"}).collect()}
+    for k in range(9):
+        own = [(kind, Fraction(str(x))) for key, kind, x in cells if key == k and x is not None]
+        assert got[k]["all"] == summed[k] == float(sum(x for _, x in own))
+        assert got[k]["of_a"] == float(sum(x for kind, x in own if kind == "a"))
+        assert got[k]["of_z"] == 0.0
 
 
 def test_names(spark):
