@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.audit import Audit
-from ..sources.local import local_table
-from ..sources.raw import MissingTable, read_text
+from ..sources.raw import MissingTable, clear_files
 from ..sources.tables import month_of
 from . import marts, staging
 from .daily import Models
@@ -30,8 +29,7 @@ def roll_back(spark: SparkSession, root: str, table: str, batch: str, at: dateti
 
     The log names the files, and says that they are taken back before that is done: a run that
     dies in between is repeated. Ids are short, so several files may share one; then ``files``
-    says which are meant. Each file is a partition of its own, which is overwritten with no rows.
-    With ``reload`` the next run loads the files again if they are still there; a full refresh
+    says which are meant. With ``reload`` the next run loads the files again if they are still there; a full refresh
     takes the rows out of the models.
     """
     audit = Audit(spark, root)
@@ -49,21 +47,10 @@ def roll_back(spark: SparkSession, root: str, table: str, batch: str, at: dateti
     status = "REOPENED" if reload else "ROLLED_BACK"
     audit.append("ingestion_log", [
         (table, batch, None, f, None, 0, 0, 0, None, None, status, "", at) for f in found])
-    stored = read_text(spark, root, table, columns)
-    names = local_table(spark, [(f,) for f in found], "_source_file string")
-    for folder in _partitions(stored, names):
-        spark.createDataFrame([], stored.drop("_source_file").schema).write.mode(
-            "overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+    clear_files(spark, root, table, columns, found)
     return found
 
 
-def _partitions(stored: DataFrame, names: DataFrame) -> list[str]:
-    """Folders of the files that still have rows."""
-    rows = (stored.select("_source_file", F.col("_metadata.file_path").alias("file"))
-            .join(names, "_source_file").select("file").distinct().collect())
-    return sorted({unquote(r["file"]).rsplit("/", 1)[0] for r in rows})
-
-
 def reprocess(models: Models, batch: str) -> None:
     """Stage the orders a batch touches, built again from all raw rows, and the dimensions.
 

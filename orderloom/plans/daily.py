@@ -61,8 +61,14 @@ class Models:
         self.staged = staged
         self.schemas = Audit(spark, root).active_schemas()
 
-    def raw(self, source: str) -> DataFrame:
-        return read_raw(self.spark, self.root, SOURCES[source].table(self.prefix), self.schemas)
+    def raw(self, source: str, since: datetime | None = None) -> DataFrame:
+        return read_raw(self.spark, self.root, SOURCES[source].table(self.prefix), self.schemas,
+                        since)
+
+    def arrived(self, name: str, since: datetime | None) -> DataFrame:
+        """A staged view of the loads from a time's day on."""
+        source, view = STAGED_VIEWS[name]
+        return view(self.raw(source, since))
 
     def __call__(self, name: str) -> DataFrame:
         if name in STAGED_VIEWS:
@@ -85,10 +91,9 @@ def build_models(models: Models, options: DailyOptions = DailyOptions()) -> None
     """Stage new versions of the stored models."""
     tables = models.tables
 
-    orders = models.raw("orders")
     known = None if options.full_refresh else tables.read("stg_orders")
     mark = None if known is None else high_water_mark(known, "_ingested_at")
-    fresh = staging.stg_orders(newer_than(orders, "_ingested_at", mark))
+    fresh = staging.stg_orders(newer_than(models.raw("orders", mark), "_ingested_at", mark))
     by_month = month_of("purchased_at")
     if known is None:
         tables.build("stg_orders", fresh, by_month)
@@ -104,8 +109,12 @@ def build_models(models: Models, options: DailyOptions = DailyOptions()) -> None
                                 models("int_order_payments_pivoted"))
         tables.build("fct_orders", fact, by_month)
     else:
-        due = (marts.late_orders(target, staged_orders, *inputs) if options.late_inputs
-               else marts.new_orders(target, staged_orders))
+        mark = high_water_mark(target, "_ingested_at")
+        due = newer_than(staged_orders, "_ingested_at", mark)
+        if options.late_inputs:
+            due = marts.late_orders(mark, staged_orders, *[
+                models.arrived(name, mark)
+                for name in ("stg_customers", "stg_order_items", "stg_order_payments")])
         tables.merge("fct_orders", marts.fct_orders_for(due, *inputs), "order_id",
                      marts.latest_load(), by_month)
 

@@ -22,7 +22,7 @@ from ..sources.audit import Audit
 from ..sources.landing import (CORRUPT, header_names, headers, hidden, list_files,
                                profile_files, read_rows, text_lines)
 from ..sources.local import local_table
-from ..sources.raw import read_text, write_raw
+from ..sources.raw import clear_files, read_text, write_raw
 from ..sources.spanning import header_lengths, read_spanning, store_lines, unclosed_files
 from .operations import pending_files
 
@@ -89,6 +89,7 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     audit = Audit(spark, root)
     audit.ensure()
     files = _new_files(spark, audit, landing, options)
+    _announce(audit, files, run_ts)
     by_table: dict[str, list[_File]] = defaultdict(list)
     for file in sorted(files, key=lambda f: f.name):
         by_table[file.table].append(file)
@@ -107,6 +108,21 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     return audit.read("ingestion_log").where(F.col("ingested_at") == _ntz(run_ts))
 
 
+def _announce(audit: Audit, files: list[_File], run_ts: datetime) -> None:
+    """Note that files are about to be stored, after taking away what runs of other days that
+    died between storing and logging have left of them."""
+    if not files:
+        return
+    today = run_ts.date().isoformat()
+    left: dict[str, list[Row]] = defaultdict(list)
+    for row in audit.left_behind((f.name for f in files), today):
+        left[row["table_name"]].append(row)
+    for table, rows in left.items():
+        clear_files(audit.spark, audit.root, table, audit.table_columns(table) or [],
+                    {r["source_file"] for r in rows}, {r["loaded_on"] for r in rows})
+    audit.append("load_attempts", [(f.table, f.name, today) for f in files])
+
+
 def _ntz(ts: datetime) -> Column:
     return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -343,7 +359,8 @@ class _Load:
     def _quarantine_shrunk(self, files: list[_File]) -> None:
         """Copy the stored rows of files that lack known columns, which are NULL in them."""
         _, columns = self.schemas[files[0].table]
-        stored = read_text(self.spark, self.root, files[0].table, list(columns))
+        stored = read_text(self.spark, self.root, files[0].table, list(columns),
+                           days=[self.run_ts.date().isoformat()])
         record = F.to_json(F.struct(*map(col, columns)), {"ignoreNullFields": "false"})
         rows = stored.where(F.col("_source_file").isin([f.name for f in files])).select(
             F.col("_source_file").alias("source_file"), record.alias("record"))

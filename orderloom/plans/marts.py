@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import PAYMENT_COLUMNS
@@ -80,14 +82,14 @@ def fct_orders_incremental(target: DataFrame, orders: DataFrame, customers: Data
     return upsert(target, batch, "order_id", latest_load())
 
 
-def late_orders(target: DataFrame, orders: DataFrame, customers: DataFrame,
+def late_orders(mark: datetime | None, orders: DataFrame, customers: DataFrame,
                 raw_items: DataFrame, raw_payments: DataFrame) -> DataFrame:
-    """Staged orders that any input loaded since the target touches.
+    """Staged orders that any input loaded after the mark touches. Of the other inputs only what
+    was loaded since is needed.
 
     Covers what the order watermark alone misses: items, payments or customers
     that arrive after their order.
     """
-    mark = high_water_mark(target, "_ingested_at")
     arrived = (newer_than(customers, "_ingested_at", mark).select("customer_id").distinct()
                .withColumn("arrived", F.lit(True)))
     hot = hot_values(orders, ["customer_id"])["customer_id"]

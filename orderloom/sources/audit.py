@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keys import latest_per_key
@@ -19,10 +19,12 @@ LOG = ("table_name string, batch_id string, schema_hash string, source_file stri
 REGISTRY = ("table_name string, version bigint, schema_hash string, column_order array<string>, "
             "columns map<string,string>, source_file string, detected_at timestamp_ntz")
 CHECKS = ("check_name string, failing_rows bigint, status string, checked_at timestamp_ntz")
+ATTEMPTS = "table_name string, source_file string, loaded_on string"
 QUARANTINE = ("table_name string, batch_id string, reason string, record string, "
               "quarantined_at timestamp_ntz, run_id string, source_file string")
 
-TABLES = {"ingestion_log": LOG, "schema_registry": REGISTRY, "check_results": CHECKS}
+TABLES = {"ingestion_log": LOG, "schema_registry": REGISTRY, "check_results": CHECKS,
+          "load_attempts": ATTEMPTS}
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -74,6 +76,13 @@ class Audit:
                 .where(F.col("loaded").isNotNull())
                 .select("source_file", F.lit("SUCCESS").alias("status")))
 
+    def left_behind(self, files: Iterable[str], today: str) -> list[Row]:
+        """(table_name, source_file, loaded_on) of earlier days' attempts to load some files: a
+        run that died after storing a file has not logged it."""
+        names = local_table(self.spark, [(f,) for f in files], "source_file string")
+        return (self.read("load_attempts").join(names, "source_file")
+                .where(F.col("loaded_on") != today).distinct().collect())
+
     def registry(self) -> DataFrame:
         """Every registered schema as JSON too, the newest of each table marked active."""
         newest = F.max("version").over(Window.partitionBy("table_name"))

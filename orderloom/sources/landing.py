@@ -42,15 +42,22 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
+def _listing(spark: SparkSession, folder: str) -> list:
+    """What lies directly in a folder, if there is one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(files.listStatus(path)) if files.exists(path) else []
+
+
+def folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly in a folder."""
+    return [s.getPath().getName() for s in _listing(spark, folder) if s.isDirectory()]
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.csv`` directly in the folder, hidden names too; contents are not read."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return local_table(spark, [], FILES_SCHEMA)
     found = []
-    for status in files.listStatus(path):
+    for status in _listing(spark, folder):
         name = status.getPath().getName()
         if name.endswith(".csv") and status.isFile():
             found.append((f"{folder.rstrip('/')}/{name}", name, status.getLen(),

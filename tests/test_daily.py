@@ -300,7 +300,7 @@ def test_roll_back_that_dies_half_way_is_repeated(shop, monkeypatch):
     shop.run(0)
     table = f"{PREFIX}orders_dataset"
     batch = shop.models().raw("orders").first()["_batch_id"]
-    monkeypatch.setattr(batches, "_partitions", lambda *a: 1 / 0)
+    monkeypatch.setattr(batches, "clear_files", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         batches.roll_back(shop.spark, shop.root, table, batch, DAY[1], reload=True)
     monkeypatch.undo()

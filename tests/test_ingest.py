@@ -2,6 +2,7 @@
 
 import hashlib
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -336,3 +337,39 @@ def test_amounts_out_of_range_keep_their_file_out(drops):
     log = drops.load()
     assert log["items_1.csv"]["status"] == "FAILED" and "amounts" in log["items_1.csv"]["message"]
     assert drops.rows("items", "price") == [(0.004,)]
+
+
+def test_later_loads_are_found_without_a_look_at_earlier_days(drops):
+    from orderloom.operators.incremental import newer_than
+    from orderloom.sources.raw import read_raw
+
+    drops.put("orders_1.csv", "order_id,amount\n1,1\n")
+    drops.load()
+    mark = drops.table("orders").first()["_ingested_at"]
+    drops.put("orders_2.csv", "order_id,amount\n2,2\n")
+    drops.load()
+    raw = Path(drops.root) / "raw" / "orders"
+    days = sorted(raw.glob("_loaded_on=*"))
+    assert [d.name for d in days] == ["_loaded_on=2024-01-02", "_loaded_on=2024-01-03"]
+    late = read_raw(drops.spark, drops.root, "orders", since=datetime(2024, 1, 3))
+    assert all("2024-01-03" in f for f in late.inputFiles()) and late.inputFiles()
+    # A day before the mark's could not even be read.
+    for part in days[0].rglob("*.parquet"):
+        part.write_bytes(b"not Parquet")
+    for crc in days[0].rglob(".*.crc"):
+        crc.write_bytes(b"")
+    after = read_raw(drops.spark, drops.root, "orders", since=datetime(2024, 1, 3))
+    assert [r["order_id"] for r in newer_than(after, "_ingested_at", mark).collect()] == [2]
+
+
+def test_rows_that_a_dead_run_left_on_another_day_are_replaced(drops, monkeypatch):
+    import orderloom.plans.ingest as plan
+
+    drops.put("orders_1.csv", "order_id,amount\n1,1\n2,2\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(plan._Load, "log_row", lambda self, file: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            drops.load()
+    assert drops.load()["orders_1.csv"]["status"] == "SUCCESS"
+    assert drops.rows("orders", "order_id") == [(1,), (2,)]
+    assert drops.load() == {}
