@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -19,8 +19,8 @@ from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
 from ..session import WIDE_QUERY, scratch_dir, settings
 from ..sources.audit import Audit
-from ..sources.landing import (CORRUPT, header_names, headers, hidden, list_files,
-                               profile_files, read_rows, text_lines)
+from ..sources.landing import (CORRUPT, HEADER, OPEN, content_ids, header_names, headers, hidden,
+                               list_files, parsed_lines, read_rows, text_lines)
 from ..sources.local import local_table
 from ..sources.raw import clear_files, read_text, write_raw
 from ..sources.spanning import header_lengths, read_spanning, store_lines, unclosed_files
@@ -59,7 +59,8 @@ class _File:
     batch: str
     header: str | None
     columns: list[str]
-    spanning: bool
+    # Whether records span lines; None until the lines have been looked at.
+    spanning: bool | None
     stats: Row | None = None
     copies: int | None = None
     error: str | None = None
@@ -139,24 +140,20 @@ def _new_files(spark: SparkSession, audit: Audit, landing: str,
         return []
     first_lines = headers(spark, {p["source_file"]: p["path"] for p in pending
                                   if p["file_size"] and not hidden(p["source_file"])})
-    unknown = [p["path"] for p in pending if p["source_file"] in first_lines
-               if options.batch_from_content or p["table_name"] not in options.spanning]
-    profiles = {r["source_file"]: r for r in profile_files(spark, unknown).collect()} \
-        if unknown else {}
-    return [_describe(spark, p, first_lines.get(p["source_file"]), profiles.get(p["source_file"]),
+    ids = content_ids(spark, [p["path"] for p in pending if p["source_file"] in first_lines]) \
+        if options.batch_from_content and first_lines else {}
+    return [_describe(spark, p, first_lines.get(p["source_file"]), ids.get(p["source_file"]),
                       options) for p in pending]
 
 
-def _describe(spark: SparkSession, listed: Row, header: str | None, profile: Row | None,
+def _describe(spark: SparkSession, listed: Row, header: str | None, content: str | None,
               options: IngestOptions) -> _File:
     names = normalise_header(spark, header_names(header))
     table = listed["table_name"]
-    by_content = options.batch_from_content and profile is not None
     file = _File(
         path=listed["path"], name=listed["source_file"], size=listed["file_size"], table=table,
-        batch=profile["content_id"] if by_content else listed["name_id"],
-        header=header, columns=names,
-        spanning=options.spanning.get(table, bool(profile and profile["open_lines"])))
+        batch=content or listed["name_id"], header=header, columns=names,
+        spanning=options.spanning.get(table))
     reserved = [n for n in names if n in (*LINEAGE, CORRUPT)]
     if hidden(file.name):
         file.error = "names that start with _ or . are hidden from Spark's readers"
@@ -184,19 +181,26 @@ class _Load:
     def table(self, files: list[_File]) -> list[tuple]:
         """Load one table's files; returns its new registry rows."""
         readable = [f for f in files if not f.error]
-        spanning = [f for f in readable if f.spanning]
+        for group in self._groups([f for f in readable if f.spanning is None]):
+            self._attempt(self._look, group)
+        spanning = [f for f in readable if f.spanning and not f.error]
         if spanning:
             self._attempt(self._join_lines, spanning)
-        groups: dict[tuple, list[_File]] = defaultdict(list)
-        for file in (f for f in readable if not f.error):
-            groups[(tuple(file.columns), file.spanning)].append(file)
-        for group in groups.values():
+        for group in self._groups([f for f in readable if not f.error and not f.stats]):
             self._attempt(self._measure, group)
         registered = self._decide(readable)
-        for group in groups.values():
-            self._attempt(self._store, [f for f in group if not f.error])
+        for group in self._groups([f for f in readable if not f.error]):
+            self._attempt(self._store, group)
         return registered
 
+    @staticmethod
+    def _groups(files: list[_File]) -> list[list[_File]]:
+        """Files that can be read together."""
+        groups: dict[tuple, list[_File]] = defaultdict(list)
+        for file in files:
+            groups[(tuple(file.columns), file.spanning)].append(file)
+        return list(groups.values())
+
     def _join_lines(self, files: list[_File]) -> None:
         """Number the lines of files whose records span lines."""
         folder = scratch_dir(self.spark, "lines", f"{self.root}/work")
@@ -239,41 +243,71 @@ class _Load:
             rows = read_spanning(lines, first.columns)
         else:
             rows = read_rows(self.spark, [f.path for f in files], first.columns)
+        return self._with_nulls(rows, first)
+
+    def _with_nulls(self, rows: DataFrame, first: _File) -> DataFrame:
         keep = {c for t, c in self.options.keep_tokens if t == first.table}
         return apply_null_tokens(rows, first.columns, keep)
 
+    def _look(self, files: list[_File]) -> None:
+        """Measure files as if every line were a record, and see whether that holds.
+
+        The same pass over the lines does both. A file with a line that ends within a quoted
+        cell is read by records instead, and one whose data repeat the header by the CSV reader.
+        """
+        rows = self._with_nulls(parsed_lines(
+            self.spark, {f.header for f in files}, [f.path for f in files], files[0].columns),
+            files[0])
+        found = self._counts(files[0], rows, is_header=F.col(f"`{HEADER}`"), extra=[
+            F.count_if(F.col(f"`{c}`")).alias(c) for c in (OPEN, HEADER)])
+        for file in files:
+            stats = found.get(file.name)
+            file.spanning = bool(stats and stats[OPEN])
+        self._take([f for f in files if not f.spanning and f.name in found
+                    and found[f.name][HEADER] == 1], found)
+
     def _measure(self, files: list[_File]) -> None:
-        """Row, blank, corrupt and type counts of every file, from one aggregation."""
-        columns = files[0].columns
-        rows = self._rows(files)
-        blank = F.coalesce(*[col(c) for c in columns]).isNull()
-        pinned = {c for (t, c), kind in self.options.pinned_types.items()
-                  if t == files[0].table and kind == "date_text"}
-        dated = [c for c in columns if looks_like_date(c) or c in pinned]
-        amounts = [c for c in columns if c in self.options.amounts]
-        cells = rows.select("_source_file", blank.alias("::blank"),
-                            F.col(CORRUPT).isNotNull().alias("::corrupt"),
-                            *type_classes(columns, dated),
-            *[(col(c).rlike(DOUBLE) & ~is_exact_amount(col(c))).alias(f"{c}::not_amount")
-              for c in amounts])
-        stats = cells.groupBy("_source_file").agg(
-            F.count(F.lit(1)).alias("rows_read"),
-            F.count_if(col("::blank") & ~col("::corrupt")).alias("rows_blank"),
-            F.count_if(col("::corrupt")).alias("rows_corrupt"),
-            *type_counts(columns, dated),
-            *[F.count_if(col(f"{c}::not_amount")).alias(f"{c}::not_amount") for c in amounts])
-        found = {r["_source_file"]: r for r in stats.collect()}
+        """Measure files, whose records are known by now."""
+        self._take(files, self._counts(files[0], self._rows(files)))
+
+    def _take(self, files: list[_File], found: dict[str, Row]) -> None:
         empty = Row("rows_read", "rows_blank", "rows_corrupt")(0, 0, 0)
         for file in files:
             file.stats = found.get(file.name, empty)
             if file.stats["rows_corrupt"]:
                 file.error = f"{file.stats['rows_corrupt']} rows do not match the header"
-        if self.options.count_duplicates:
-            surplus = duplicate_rows(rows.drop(CORRUPT), ["_source_file"]).collect()
+        if self.options.count_duplicates and files:
+            surplus = duplicate_rows(self._rows(files).drop(CORRUPT), ["_source_file"]).collect()
             copies = {r["_source_file"]: r["n_duplicates"] for r in surplus}
             for file in files:
                 file.copies = copies.get(file.name, 0)
 
+    def _counts(self, first: _File, rows: DataFrame, is_header: Column | None = None,
+                extra: Sequence[Column] = ()) -> dict[str, Row]:
+        """Row, blank, corrupt and type counts per file, from one aggregation."""
+        columns, is_header = first.columns, F.lit(False) if is_header is None else is_header
+        named = [c for c in rows.columns if c not in (*columns, CORRUPT)]
+        rows = rows.select(*[F.when(~is_header, col(c)).alias(c) for c in columns],
+                           *named, (F.col(CORRUPT).isNotNull() & ~is_header).alias("::corrupt"),
+                           (~is_header).alias("::row"))
+        blank = F.coalesce(*[col(c) for c in columns]).isNull()
+        pinned = {c for (t, c), kind in self.options.pinned_types.items()
+                  if t == first.table and kind == "date_text"}
+        dated = [c for c in columns if looks_like_date(c) or c in pinned]
+        amounts = [c for c in columns if c in self.options.amounts]
+        cells = rows.select(*[F.col(f"`{c}`") for c in [*named, "::corrupt", "::row"]],
+                            blank.alias("::blank"), *type_classes(columns, dated), *[
+            (col(c).rlike(DOUBLE) & ~is_exact_amount(col(c))).alias(f"{c}::not_amount")
+            for c in amounts])
+        stats = cells.groupBy("_source_file").agg(
+            F.count_if(col("::row")).alias("rows_read"),
+            F.count_if(col("::row") & col("::blank") & ~col("::corrupt")).alias("rows_blank"),
+            F.count_if(col("::corrupt")).alias("rows_corrupt"),
+            *type_counts(columns, dated),
+            *[F.count_if(col(f"{c}::not_amount")).alias(f"{c}::not_amount") for c in amounts],
+            *extra)
+        return {r["_source_file"]: r for r in stats.collect()}
+
     def _decide(self, files: list[_File]) -> list[tuple]:
         """Check each file against the table's types, in file order, and evolve them."""
         registered = []

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .landing import CORRUPT, TO_CLOSING_QUOTE, ends_inside, exact, file_name
+from .landing import (CORRUPT, RECORD_OPTIONS, TO_CLOSING_QUOTE, ends_inside, exact, file_name,
+                      record_schema)
 
 
 def _inside_after(line: Column) -> Column:
@@ -126,10 +127,7 @@ def header_lengths(lines: DataFrame) -> dict[str, int]:
 
 def read_spanning(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of files that close their quotes, as `landing.read_rows` gives them."""
-    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, CORRUPT])
-    parsed = F.from_csv("value", schema, {
-        "quote": '"', "escape": '"', "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_csv("value", record_schema(columns), RECORD_OPTIONS)
     return (_records(lines).where(F.col("record") > 1)
             .select(parsed.alias("row"), "_source_file")
             .select(*[F.col("row").getField(c).alias(c) for c in [*columns, CORRUPT]],

@@ -207,14 +207,53 @@ def test_headers_are_those_of_the_readable_files(drops):
     assert drops.rows("b", "p", "q") == [(1, 2)]
 
 
-def test_only_files_with_open_quotes_are_read_whole(drops):
-    from orderloom.sources.landing import list_files, profile_files
+def test_only_files_with_open_quotes_are_read_by_records(drops, monkeypatch):
+    import orderloom.plans.ingest as plan
+    store, seen = plan.store_lines, []
+    monkeypatch.setattr(plan, "store_lines",
+                        lambda spark, paths, folder: seen.extend(paths) or store(spark, paths, folder))
     drops.put("plain.csv", 'a,b\n"x, ""y""",1\n"",2\n')
     drops.put("spans.csv", 'a,b\n"x\ny",1\n')
     drops.put("stray.csv", 'a,b\n5" pipe,1\n')
-    paths = [r["path"] for r in list_files(drops.spark, str(drops.landing)).collect()]
-    found = {r["source_file"]: r["open_lines"] for r in profile_files(drops.spark, paths).collect()}
-    assert found == {"plain.csv": 0, "spans.csv": 1, "stray.csv": 0}
+    assert {r["status"] for r in drops.load().values()} == {"SUCCESS"}
+    assert [p.rpartition("/")[2] for p in seen] == ["spans.csv"]
+
+
+def test_lines_that_read_like_a_header_are_rows(drops):
+    drops.put("t_1.csv", "a,b\n1,x\na,b\n2,y\n")
+    drops.put("t_2.csv", "A,b\n3,x\na,b\n \n\t\n")
+    drops.put("t_3.csv", "a,b\n")
+    log = drops.load()
+    assert [(log[f"t_{i}.csv"]["rows_read"], log[f"t_{i}.csv"]["rows_loaded"])
+            for i in (1, 2, 3)] == [(3, 3), (2, 2), (0, 0)]
+    assert drops.rows("t", "a", "b") == [("1", "x"), ("2", "y"), ("3", "x"), ("a", "b"), ("a", "b")]
+
+
+def test_a_header_without_end_fails_its_file(drops, monkeypatch):
+    from orderloom.sources import landing
+    monkeypatch.setattr(landing, "HEADER_BYTES", 64)
+    drops.put("long_1.csv", "x" * 100 + "\n1\n")
+    drops.put("good_1.csv", "a\n" + "1\n" * 100)
+    log = drops.load()
+    assert log["long_1.csv"]["message"] == "no header"
+    assert log["good_1.csv"]["rows_loaded"] == 100
+
+
+def test_a_load_reads_its_files_twice(spark, drops):
+    """Once to look at the lines, once to store them."""
+    import json
+    from pathlib import Path
+
+    drops.put("t_1.csv", "a,b\n" + "".join(f"{i},some text {i}\n" for i in range(20_000)))
+    tracker = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+    size = (Path(drops.landing) / "t_1.csv").stat().st_size
+
+    def read():
+        return sum(s.getBytesRead() for s in tracker.getAllStatistics())
+
+    before = read()
+    drops.load(count_duplicates=False)
+    assert json.dumps(size) and size * 1.9 < read() - before < size * 3
 
 
 def test_duplicate_rows_are_counted_on_request(drops):
@@ -226,8 +265,11 @@ def test_content_batch_id_follows_the_content(drops):
     drops.put("one.csv", "a\n1\n")
     drops.put("two.csv", "a\n1\n")
     drops.put("three.csv", "a\n2\n")
+    drops.put("four.csv", "a\n1\n2\n3\n")
+    drops.put("five.csv", "a\n2\n1\n3\n")
     log = drops.load(batch_from_content=True)
-    assert log["one.csv"]["batch_id"] == log["two.csv"]["batch_id"] != log["three.csv"]["batch_id"]
+    assert log["one.csv"]["batch_id"] == log["two.csv"]["batch_id"]
+    assert len({log[f"{n}.csv"]["batch_id"] for n in ("one", "three", "four", "five")}) == 4
     assert drops.rows("one", "_batch_id") == [(log["one.csv"]["batch_id"],)]
 
 
