@@ -4,15 +4,15 @@ For every participant of a conversation the whole dialogue is rendered with that
 assistant and the others as named users, and the spans of the assistant's words are the ones to
 learn from. Speakers in ``silent`` (system) are rendered under their own name but get no view.
 
-A view comes in parts of bounded size: ``PART`` numbered turns each, and where such a block
-has more than ``CROWD`` messages, as when many share a turn number, one turn each, cut by rank
-into slices of ``CROWD``. So no conversation is gathered whole; parts in order are the dialogue,
-message by message. Ranks come from ranges of speaker and the first ``PREFIX`` characters of the
-text, numbered apart and set off by the counts of the ranges before; of such turns only, the
-messages are written out. Counts per block come from a map-side aggregation, and the join with
-the participants can be split by Spark where a conversation is hot.
-
-Messages are ordered by turn (NULL turns last), then speaker, then text. Rows that repeat
+A view comes in parts of bounded size, by one rule: the messages of ``PART`` numbered turns (a
+block) are numbered in order and cut into slices of ``CROWD``. So no conversation is gathered
+whole; parts in order are the dialogue, message by message. Numbers come from ranges of the
+messages in their order, numbered apart and set off by the counts of the ranges before, so that a
+hot conversation, block or turn is many ranges. The join with the participants can be split by
+Spark where a conversation is hot.
+
+Messages are ordered by turn (NULL turns last), then speaker, then the text's first ``PREFIX``
+characters, then the MD5 digest of the text: whole texts are not compared. Rows that repeat
 conversation, turn, speaker and text are one message. A NULL or blank speaker is ``unknown``; a
 NULL text is empty. Rows without conversation id belong to one conversation without id.
 ``<|`` in texts and names becomes ``< |``, so no text can end its message; white space in names
@@ -47,30 +47,31 @@ def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return condition
 
 
-def _sliced(messages: DataFrame, wide: DataFrame) -> DataFrame:
-    """Messages of some turns, with ``slice``: their rank within the turn by ``CROWD``."""
-    path = scratch_dir(messages.sparkSession, "chat-turns")
-    messages.join(wide, _same(messages, wide, "conv_id", "turn"), "left_semi").repartitionByRange(
-        "conv_id", "turn", "speaker", F.substring("text", 1, PREFIX)).withColumn(
-        "range", F.spark_partition_id()).write.parquet(path)
+def _sliced(messages: DataFrame) -> DataFrame:
+    """Messages with ``slice``: their rank within the block by ``CROWD``."""
+    path = scratch_dir(messages.sparkSession, "chat-messages")
+    order = ["speaker", "head", "digest"]
+    messages.withColumns({"head": F.substring("text", 1, PREFIX),
+                          "digest": F.md5(F.col("text").cast("binary"))}).repartitionByRange(
+        "conv_id", "turn", *order).withColumn("range", F.spark_partition_id()).write.parquet(path)
     rows = messages.sparkSession.read.parquet(path)
-    place = ["conv_id", "turn"]
+    place = ["conv_id", "block"]
     counts = rows.groupBy(*place, "range").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select(*place, "range", F.coalesce(F.sum("n").over(
         Window.partitionBy(*place).orderBy("range").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = F.row_number().over(Window.partitionBy("range", *place).orderBy("speaker", "text"))
+    own = F.row_number().over(Window.partitionBy("range", *place).orderBy("turn", *order))
     ranked = rows.withColumn("own", own)
     return ranked.join(before, _same(ranked, before, "range", *place)).select(
-        *[ranked[c] for c in messages.columns],
+        *[ranked[c] for c in rows.columns if c != "range"],
         F.floor((F.col("before") + F.col("own") - 1) / CROWD).alias("slice"))
 
 
 def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
                  conversation: str = "conv_id", turn: str = "turn", speaker: str = "role",
                  text: str = "text") -> DataFrame:
-    """Per conversation, participant and part: conv_id, perspective, block, part_turn, slice
-    (which order the parts), n_messages, text, mask.
+    """Per conversation, participant and part: conv_id, perspective, block, slice (which order the
+    parts), n_messages, text, mask.
 
     ``mask`` reads "start-end,..." in characters of ``text``, end excluded: the words of the
     participant and the mark that ends them.
@@ -82,23 +83,7 @@ def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
         _safe(F.coalesce(F.col(text), F.lit(""))).alias("text")).distinct().withColumn(
         "block", F.floor(F.col("turn") / PART))
 
-    # Parts: whole blocks, or turns in slices where a block is crowded.
-    by_turn = messages.groupBy("conv_id", "block", "turn").agg(F.count(F.lit(1)).alias("in_turn"))
-    by_block = by_turn.groupBy("conv_id", "block").agg(F.sum("in_turn").alias("in_block")).where(
-        F.col("in_block") > CROWD)
-
-    crowded = by_turn.join(by_block, _same(by_turn, by_block, "conv_id", "block"), "left_semi")
-    crowded = crowded.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"),
-                             F.lit(True).alias("apart"))
-    wide = by_turn.where(F.col("in_turn") > CROWD).select("conv_id", "turn")
-    whole = messages.join(wide, _same(messages, wide, "conv_id", "turn"), "left_anti").withColumn(
-        "slice", F.lit(0).cast("long"))
-    messages = whole.unionByName(_sliced(messages, wide))
-    messages = messages.join(
-        crowded, messages.conv_id.eqNullSafe(crowded.c) & messages.turn.eqNullSafe(crowded.t),
-        "left").select(
-        "conv_id", "block", F.when(F.col("apart"), F.col("turn")).alias("part_turn"), "slice",
-        "turn", "speaker", "text")
+    messages = _sliced(messages)
 
     views = messages.select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")
                             ).where(~F.col("speaker").isin(*silent)).distinct()
@@ -108,9 +93,9 @@ def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
     header = F.concat(F.lit(BEGIN), F.when(mine, "assistant").when(
         F.col("speaker").isin(*silent), F.col("speaker")).otherwise(
         F.concat(F.lit("user name="), F.col("speaker"))), F.lit("\n"))
-    parts = seen.groupBy("conv_id", "perspective", "block", "part_turn", "slice").agg(
+    parts = seen.groupBy("conv_id", "perspective", "block", "slice").agg(
         F.array_sort(F.collect_list(F.struct(
-            F.col("turn").isNull().alias("last"), "turn", "speaker", "text",
+            F.col("turn").isNull().alias("last"), "turn", "speaker", "head", "digest", "text",
             header.alias("header"), mine.alias("mine")))).alias("m"))
     rendered = F.array_join(F.transform("m", lambda x: F.concat(x.header, x.text, F.lit(END))), "")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("spans"))
@@ -123,6 +108,6 @@ def perspectives(turns: DataFrame, silent: tuple[str, ...] = ("system",),
             x.mine, F.concat(state.spans, span)).otherwise(state.spans).alias("spans"))
 
     return parts.select(
-        F.col("conv_id").cast(kind), "perspective", "block", "part_turn", "slice",
+        F.col("conv_id").cast(kind), "perspective", "block", "slice",
         F.size("m").cast("long").alias("n_messages"), rendered.alias("text"),
         F.array_join(F.aggregate("m", start, add).spans, ",").alias("mask"))

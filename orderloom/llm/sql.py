@@ -21,24 +21,28 @@ WITH m AS (
   FROM (SELECT *, trim(regexp_replace(replace(role, '<|', '< |'), '[\\x00-\\x20]+', ' ', 'g')) AS n
         FROM conversations)),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'),
-r AS (SELECT m.conv_id, perspective, CAST(floor(turn / 64.0) AS BIGINT) AS block, turn, speaker,
-             text, speaker = perspective AS mine,
+o AS (SELECT *, CAST(floor(turn / 64.0) AS BIGINT) AS block, substr(text, 1, 256) AS head,
+             md5(text) AS digest FROM m),
+k AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, block
+               ORDER BY turn NULLS LAST, speaker, head, digest) - 1) // 512 AS slice FROM o),
+r AS (SELECT k.conv_id, perspective, block, slice, turn, speaker, head, digest, text,
+             speaker = perspective AS mine,
              '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant'
                WHEN speaker = 'system' THEN speaker ELSE 'user name=' || speaker END
                || chr(10) AS header
-      FROM m JOIN p ON m.conv_id IS NOT DISTINCT FROM p.conv_id),
+      FROM k JOIN p ON k.conv_id IS NOT DISTINCT FROM p.conv_id),
 l AS (SELECT *, length(header) + length(text) + 11 AS size, sum(length(header) + length(text) + 11)
-               OVER (PARTITION BY conv_id, perspective, block
-                     ORDER BY turn NULLS LAST, speaker, text
+               OVER (PARTITION BY conv_id, perspective, block, slice
+                     ORDER BY turn NULLS LAST, speaker, head, digest
                      ROWS UNBOUNDED PRECEDING) AS upto FROM r)
-SELECT conv_id, perspective, block, CAST(NULL AS BIGINT) AS part_turn, CAST(0 AS BIGINT) AS slice,
-       count(*) AS n_messages,
+SELECT conv_id, perspective, block, slice, count(*) AS n_messages,
        string_agg(header || text || '<|im_end|>' || chr(10), ''
-                  ORDER BY turn NULLS LAST, speaker, text) AS text,
+                  ORDER BY turn NULLS LAST, speaker, head, digest) AS text,
        coalesce(string_agg(CAST(upto - size + length(header) AS VARCHAR) || '-' ||
-                           CAST(upto AS VARCHAR), ',' ORDER BY turn NULLS LAST, speaker, text)
+                           CAST(upto AS VARCHAR), ','
+                           ORDER BY turn NULLS LAST, speaker, head, digest)
                 FILTER (WHERE mine), '') AS mask
-FROM l GROUP BY conv_id, perspective, block"""
+FROM l GROUP BY conv_id, perspective, block, slice"""
 
 OP7 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
@@ -130,7 +134,8 @@ FROM v JOIN codes USING (r)"""
 OP13 = r"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
-         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[i:i + least(len(w), 3) - 1], ' ') AS g
   FROM (SELECT r, w, unnest(range(1, len(w) - least(len(w), 3) + 2)) AS i FROM d
