@@ -5,9 +5,11 @@ hashed to ``BUCKETS``, tells the licence families of ``license_texts``, rights n
 family (``unknown``) and "none" apart. It is trained here, by proximal gradient steps on the
 driver, from features that Spark makes of a bounded sample: windows of the templates, short forms
 and rights notices and, as "none", other fixed paragraphs and at most ``SAMPLE`` paragraphs of
-the corpus that share no bigram with these, by a hash. Every fifth window is kept back: the
-lowest probability at which at least ``PRECISION`` of the licences found there are right becomes
-the bound below which a paragraph is of an ``unknown`` licence.
+the corpus that share no bigram with these, by a hash; of a line, its first ``LONGEST``
+characters. The bound below which a paragraph is of an ``unknown`` licence is found by a fit
+without the last template of every family and a fifth of the corpus's paragraphs: it is the lowest
+probability at which at least ``PRECISION`` of the licences found in those are right. The
+weights are then fitted to all.
 
 Every paragraph with a word is scored. What "none" wins by the sum, over the features, of the
 most that any other class has over "none" is left out first: that sum is no less than the lead of
@@ -204,13 +206,14 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     model = LicenseModel(families, np.zeros((len(families), BUCKETS + 1)), 0.0, seen,
                          known["template"], known["short"])
 
-    # At most ``sample`` texts of bounded length, chosen by hashes alone, and as many of their
-    # paragraphs.
+    # At most ``sample`` texts of any length, chosen by hashes alone, and as many of their
+    # paragraphs, of which at most LONGEST characters are learned from.
     texts = docs.select(F.xxhash64(id_column, text_column).alias("h"), F.col(text_column).alias(
-        "text")).where(F.length("text").between(1, LONGEST))
+        "text")).where(F.length("text") > 0)
     least = texts.select("h").distinct().orderBy("h").limit(sample)
     some = texts.join(F.broadcast(least), "h").select(F.col("h").alias("id"), "text")
-    clean = paragraphs(some, "id", "text").select("line").distinct().where(let(
+    clean = paragraphs(some, "id", "text").select(
+        F.substring("line", 1, LONGEST).alias("line")).distinct().where(let(
         words(F.col("line")), lambda w: (F.size(w) > 0) & (model.shared(bigrams(w)) == 0)
     )).orderBy(F.xxhash64("line"), "line").limit(sample)
     rows = _table(spark, _windows(), "family string, template int, text string, whole boolean").unionByName(
@@ -218,14 +221,17 @@ def train(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
                      F.col("line").alias("text"), F.lit(False).alias("whole")))
     text = F.col("text")
     # At most ``sample`` rows besides those of the fixed paragraphs.
-    rows = rows.select("family", "template", (~F.col("whole") & (F.pmod(
-        F.xxhash64("text"), F.lit(5)) == 0)).alias("kept_back"), _features(
+    last = {NONE: len(OTHERS) - 1} | {f: len(texts) - 1 for f, texts in TEMPLATES.items()}
+    of_last = F.concat_ws(":", "family", "template").isin([f"{f}:{n}" for f, n in last.items()])
+    of_corpus = (F.col("template") < 0) & ~F.col("whole")
+    rows = rows.select("family", "template", (of_last | (of_corpus & (F.pmod(
+        F.xxhash64("text"), F.lit(5)) == 0))).alias("kept_back"), _features(
         words(text), bigrams(words(text))).alias("features")).collect()
     learned = [r for r in rows if not r["kept_back"]]
-    # As many digits as a plan's constants keep, so that ``lead`` and ``odds`` add the same numbers.
-    model.weights = np.round(_fit(families, learned), 4)
     held = [r for r in rows if r["kept_back"]]
-    chance = _chances(model.weights, *_sparse(held))
+    chance = _chances(_fit(families, learned), *_sparse(held))
+    # As many digits as a plan's constants keep, so that ``lead`` and ``odds`` add the same numbers.
+    model.weights = np.round(_fit(families, rows), 4)
     found = [(p.max(), families[p.argmax()], r["family"]) for p, r in zip(chance.T, held)]
     right = sorted(((p, name == family) for p, name, family in found if name != NONE),
                    reverse=True)

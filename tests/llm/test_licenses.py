@@ -92,3 +92,12 @@ def test_the_prefilter_loses_no_finding(docs, model):
     loose = replace(model)
     loose.lead = lambda features: F.lit(1.0)
     assert sorted(kept) == sorted(scan(docs, loose).select("doc_id", "paragraph", "family").collect())
+
+
+def test_a_corpus_of_long_texts_teaches_the_same(spark, docs, model):
+    long = docs.withColumn("text", F.concat_ws("\n", "text", F.expr("repeat('filler words\n', 900)")))
+    assert long.where(F.length("text") <= 8000).isEmpty()
+    other = train(spark, long)
+    kept = {(r["doc_id"], r["paragraph"]) for r in scan(docs, model).collect()}
+    got = {(r["doc_id"], r["paragraph"]) for r in scan(docs, other).collect()}
+    assert kept <= got and len(got) <= 1.2 * len(kept)
