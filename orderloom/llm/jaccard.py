@@ -192,15 +192,14 @@ class _Join:
         if self.sets is not None:
             wanted = wanted.join(self.sets, "row", "left_anti")
         named = self.stored(wanted.join(self.rows.select("row", "a", "b"), "row"))
-        texts = self._likely(named).join(named.select("a", "b").distinct(), ["a", "b"],
-                                         "left_semi") \
-            .groupBy("a", "b").agg(F.first("text").alias("text"))
+        # Of all copies one is read. Not a semi-join: Spark would move that before the sieve.
+        texts = self._likely(named).join(named, ["a", "b"]).groupBy("a", "b", "row").agg(
+            F.first("text").alias("text")).select("row", "text")
         size = self.size
         schema = StructType([*texts.schema.fields[:-1],
                              StructField("hashes", ArrayType(LongType()))])
-        hashed = map_texts(texts, schema, lambda some: [
-            [shingles(t, size).view(np.int64) for t in some]])
-        hashed = self.stored(named.join(hashed, ["a", "b"]).select("row", "hashes"))
+        hashed = self.stored(map_texts(texts, schema, lambda some: [
+            [shingles(t, size).view(np.int64) for t in some]]))
         self.sets = hashed if self.sets is None else self.sets.unionByName(hashed)
         return self.sets
 
