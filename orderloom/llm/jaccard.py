@@ -219,9 +219,10 @@ class _Join:
         rooted = met.join(roots, F.col("row") == F.col("node"), "left").select(
             "cell", "row", F.coalesce("root", "row").alias("root"))
         rooted = self.stored(rooted)
-        mixed = rooted.groupBy("cell").agg(
+        # Stored, so that Spark can split the join where a cell is hot.
+        mixed = self.stored(rooted.groupBy("cell").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
-            F.count(F.lit(1)).alias("members")).where("low < high").select("cell", "members")
+            F.count(F.lit(1)).alias("members")).where("low < high").select("cell", "members"))
         mixed = rooted.join(mixed, "cell").join(self.rows.select("row", "n", "point"), "row")
         mixed = self.stored(mixed)
         few = mixed.where(F.col("members") <= BLOCK).select(
