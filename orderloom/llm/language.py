@@ -10,7 +10,7 @@ Scoring is by batched matrix products: presence of the landmarks' n-grams in a b
 times the landmarks' own, gives the block's kernel rows, and these times the regression weights
 give all values. The fit reads a bounded sample: up to ``PER_LANGUAGE`` texts per language, of
 ``SHORTEST`` to ``LONGEST`` characters where there are such, in the order of a hash, then shorter
-ones, then one window of ``LONGEST`` characters of each longer one. N-grams
+ones, then one window of ``LONGEST`` characters of each longer one; copies count once. N-grams
 lie within words, ends marked, case aside; scored texts are read whole, in runs of bounded size.
 
 A NULL text, or one without a letter, is ``und`` with score 0; so is every text if no language
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import scratch_dir
 from .grams import characters, runs, within_words
 
 SIZES = (1, 2, 3)
@@ -144,10 +145,31 @@ def train(docs: DataFrame, learn: Column, label_column: str = "lang",
     long = F.length(text) > LONGEST
     window = F.when(long, text.substr(F.regexp_instr(text, F.lit(r"\p{L}")), F.lit(LONGEST)))
     rows = docs.where(learn & F.col(label_column).isNotNull()).where(text.rlike(r"\p{L}")).select(
-        F.col(label_column).cast("string").alias("label"), long.alias("long"),
-        F.coalesce(window, text).alias("text"))
-    order = Window.partitionBy("label").orderBy("long", F.length("text") < SHORTEST,
-                                                F.xxhash64("text"), "text")
-    sample = rows.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= PER_LANGUAGE).orderBy("label", "place").collect()
+        F.col(label_column).cast("string").alias("label"), F.coalesce(window, text).alias("text"),
+        F.when(long, 2).when(F.length(text) < SHORTEST, 1).otherwise(0).alias("kind"))
+    chosen = _chosen(rows.select("label", "kind", F.xxhash64("text").alias("h")))
+    sample = rows.withColumn("h", F.xxhash64("text")).join(chosen, ["label", "kind", "h"]).groupBy(
+        "label", "place").agg(F.min("text").alias("text")).orderBy("label", "place").collect()
     return fit([r["text"] for r in sample], [r["label"] for r in sample])
+
+
+def _chosen(hashes: DataFrame) -> DataFrame:
+    """(label, kind, h, place): the first ``PER_LANGUAGE`` distinct texts of each label, by kind
+    and hash.
+
+    Of each label and kind, only hashes below a bound are ranked, which about four times as many
+    texts reach as are wanted: so no task gets more for a label with more texts, or with more
+    tasks that read it. Where there are fewer texts, all are ranked.
+    """
+    counts = hashes.groupBy("label", "kind").agg(F.approx_count_distinct("h").alias("n"))
+    part = F.least(F.lit(1.0), F.lit(4.0 * PER_LANGUAGE) / F.greatest("n", F.lit(1)))
+    bounds = counts.select("label", "kind", F.when(part < 1, F.floor(
+        F.lit(-2.0 ** 63) + part * 2.0 ** 64)).otherwise(F.lit(2 ** 63 - 1)).alias("bound"))
+    base = scratch_dir(hashes.sparkSession, "language")
+    bounds.write.parquet(f"{base}/bounds")
+    bounds = hashes.sparkSession.read.parquet(f"{base}/bounds")
+    order = Window.partitionBy("label").orderBy("kind", "h")
+    ranked = hashes.join(bounds, ["label", "kind"]).where(F.col("h") <= F.col("bound")).select(
+        "label", "kind", "h").distinct().withColumn("place", F.row_number().over(order))
+    ranked.where(F.col("place") <= PER_LANGUAGE).write.parquet(f"{base}/chosen")
+    return hashes.sparkSession.read.parquet(f"{base}/chosen")

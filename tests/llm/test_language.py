@@ -63,3 +63,15 @@ def test_a_language_of_long_texts_only_is_learned(spark):
     rows += [(100 + i, "12 " * 2000 + f"{DE[i % 3]} " * 300, "s", "de") for i in range(30)]
     model = train(documents(spark, rows), F.lit(True))
     assert model.predict(DE + EN)[0] == ["de"] * 3 + ["en"] * 3
+
+
+def test_copies_count_once_and_large_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "PER_LANGUAGE", 20)
+    seen = {}
+    monkeypatch.setattr(language, "fit", lambda texts, labels: seen.update(texts=texts, labels=labels))
+    rows = [(i, "one text that is copied", "s", "en") for i in range(2000)]
+    rows += [(i, f"text number {i}", "s", "en") for i in range(3000)]
+    rows += [(i, f"ein text {i % 7}", "s", "de") for i in range(70)]
+    train(documents(spark, rows), F.lit(True))
+    assert len(set(seen["texts"])) == len(seen["texts"]) == 27
+    assert seen["labels"] == ["de"] * 7 + ["en"] * 20
