@@ -114,7 +114,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.command == "check":
         results = check_models(Models(spark, args.root, args.prefix), run_ts)
         _report(results, args.output)
-        return int(not results.where(F.col("status") == "fail").isEmpty())
+        return int(not results.where(F.col("status") != "pass").isEmpty())
     elif args.command == "daily":
         result = run_daily(spark, args.landing, args.root, run_ts, options)
         for name in ("files", "checks", "freshness"):

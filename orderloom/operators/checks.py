@@ -24,9 +24,14 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.sum(F.when(~present, F.col("n_records"))), F.lit(0)).alias("missing"))
 
 
+def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The number of NULLs of each column, as one row from one pass."""
+    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+
+
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column with its number of NULLs, from one pass over the table."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = null_counts(df, columns)
     return counts.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failing_rows"))
         for c in columns])).alias("r")).select("r.*")

@@ -145,7 +145,7 @@ def run_daily(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     models = Models(spark, root, options.source_prefix, tables, staged=True)
     build_models(models, options)
     checks = check_models(models, run_ts)
-    passed = checks.where(F.col("status") == "fail").isEmpty()
+    passed = checks.where(F.col("status") != "pass").isEmpty()
     publish = passed or options.publish_on_failure
     if publish:
         tables.publish(run_ts)

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
@@ -27,6 +27,11 @@ from ..sources.spanning import header_lengths, read_spanning, store_lines, unclo
 from .operations import pending_files
 
 TABLE_THREADS = 4
+# Beginnings of the names Spark gives to errors that lie in the data it reads. Others,
+# as of writing, of storage or of memory, are no fault of a file.
+DATA_ERRORS = ("ARITHMETIC_OVERFLOW", "CANNOT_PARSE", "CAST_", "DATETIME_OVERFLOW", "DIVIDE_BY_ZERO",
+               "INVALID_UTF8_STRING", "MALFORMED_CSV_RECORD", "MALFORMED_RECORD",
+               "NUMERIC_VALUE_OUT_OF_RANGE", "NUMERIC_OUT_OF_SUPPORTED_RANGE")
 _LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_batch_id": "string"}
 
 
@@ -168,6 +173,11 @@ def _describe(spark: SparkSession, listed: Row, header: str | None, content: str
     return file
 
 
+def _lies_in_data(error: PySparkException) -> bool:
+    condition = error.getCondition() or ""
+    return isinstance(error, AnalysisException) or condition.startswith(DATA_ERRORS)
+
+
 class _Load:
     """One run's work on each table."""
 
@@ -216,13 +226,13 @@ class _Load:
     def _attempt(self, work: Callable[[list[_File]], None], files: list[_File]) -> None:
         """Do a group at once; if its data fail, by halves, to fail only the bad files.
 
-        Spark names the condition of an error in the data. Anything else, as a lost executor or
-        a full disk, is no fault of a file and ends the run.
+        That are errors of `DATA_ERRORS`, and names that Spark does not take. Anything else, as a
+        lost executor or a full disk, is no fault of a file and ends the run.
         """
         try:
             work(files)
         except PySparkException as error:
-            if error.getCondition() is None:
+            if not _lies_in_data(error):
                 raise
             if len(files) > 1:
                 half = len(files) // 2

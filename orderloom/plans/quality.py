@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS, SOURCES
 from ..operators import checks
+from ..sources.local import local_table
+from ..sources.raw import MissingTable
 
 # Which columns of which model must be unique, and which never NULL.
 UNIQUE = {
@@ -42,31 +44,58 @@ RELATIONSHIPS = [("fct_orders", "customer_id", "dim_customers", "customer_id")]
 Models = Callable[[str], DataFrame]
 
 
+def _errors(names: list[str]) -> DataFrame:
+    """Results of checks that could not run, since what they read has never arrived."""
+    return local_table(SparkSession.active(), [(n, None, "error") for n in names],
+                       "check_name string, failing_rows bigint, status string")
+
+
+def _model_results(model: Models, name: str) -> list[DataFrame]:
+    """The unique and not-null checks of one model; a column checked both ways is grouped once."""
+    key = UNIQUE.get(name)
+    both = {"repeated": f"unique_{name}_{key}", "missing": f"not_null_{name}_{key}"} if key else {}
+    rest = {c: f"not_null_{name}_{c}" for c in NOT_NULL[name] if c != key}
+    try:
+        table = model(name)
+    except MissingTable:
+        return [_errors([*both.values(), *rest.values()])]
+    results = [checks.status_rows(checks.key_counts(table, key), both)] if key else []
+    if rest:
+        results.append(checks.status_rows(checks.null_counts(table, list(rest)), rest))
+    return results
+
+
 def model_checks(model: Models) -> DataFrame:
     """All 24 checks, one row each, as a single query.
 
-    A column that is checked both ways is grouped once for both answers.
+    A check of a model whose source has never arrived has status ``error``; the others run.
     """
-    results = [checks.status_rows(checks.key_counts(model(m), c), {
-        "repeated": f"unique_{m}_{c}", "missing": f"not_null_{m}_{c}"})
-        for m, c in UNIQUE.items()]
-    for m, columns in NOT_NULL.items():
-        rest = [c for c in columns if c != UNIQUE.get(m)]
-        if rest:
-            counts = model(m).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rest])
-            results.append(checks.status_rows(counts, {c: f"not_null_{m}_{c}" for c in rest}))
+    results = [r for name in NOT_NULL for r in _model_results(model, name)]
     for child, column, parent, parent_column in RELATIONSHIPS:
-        orphans = checks.relationships(model(child), column, model(parent), parent_column)
-        results.append(checks.result(f"relationships_{child}_{column}", orphans,
-                                     F.sum("n_records")))
+        check = f"relationships_{child}_{column}"
+        try:
+            orphans = checks.relationships(model(child), column, model(parent), parent_column)
+        except MissingTable:
+            results.append(_errors([check]))
+            continue
+        results.append(checks.result(check, orphans, F.sum("n_records")))
     return checks.summary(results)
 
 
 def source_freshness(raw: Models, as_of: datetime) -> DataFrame:
-    """Age of the newest load of each source; over 24 hours warns, over 48 fails."""
+    """Age of the newest load of each source; over 24 hours warns, over 48 fails. A source that
+    has never arrived is an error too."""
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    return checks.summary([
-        checks.freshness(raw(name), "_ingested_at", now, warn_hours=FRESHNESS_WARN_HOURS,
-                         error_hours=FRESHNESS_ERROR_HOURS)
-        .select(F.lit(name).alias("source"), "latest", "age_seconds", "status")
-        for name in SOURCES])
+    found, absent = [], []
+    for name in SOURCES:
+        try:
+            found.append(checks.freshness(
+                raw(name), "_ingested_at", now, warn_hours=FRESHNESS_WARN_HOURS,
+                error_hours=FRESHNESS_ERROR_HOURS).select(
+                F.lit(name).alias("source"), "latest", "age_seconds", "status"))
+        except MissingTable:
+            absent.append((name, None, None, "error"))
+    if absent:
+        found.append(local_table(SparkSession.active(), absent, "source string, "
+                                 "latest timestamp_ntz, age_seconds bigint, status string"))
+    return checks.summary(found)

@@ -368,3 +368,18 @@ def test_unpublished_build_is_invisible(shop):
     build_models(models, DailyOptions(source_prefix=PREFIX, full_refresh=True))
     assert Tables(shop.spark, shop.root).live("dim_customers")["all"].version == 1
     assert models("dim_customers").count() == 2
+
+
+def test_sources_that_never_arrived_are_reported(shop):
+    (shop.landing / f"{PREFIX}order_reviews_dataset.csv").unlink()
+    (shop.landing / f"{PREFIX}sellers_dataset.csv").unlink()
+    result = shop.run(0)
+    errors = {r["check_name"] for r in result.checks.where("status = 'error'").collect()}
+    assert errors == {"unique_stg_order_reviews_review_id", "not_null_stg_order_reviews_review_id",
+                      "unique_stg_sellers_seller_id", "not_null_stg_sellers_seller_id"}
+    assert result.checks.count() == 24 and result.checks.where("status = 'pass'").count() == 20
+    assert {r["source"]: r["status"] for r in result.freshness.collect() if r["latest"] is None} \
+        == {"order_reviews": "error", "sellers": "error"}
+    assert not result.published
+    assert shop.run(1, publish_on_failure=True).published
+    assert set(shop.fact()) == {"o1", "o2"}

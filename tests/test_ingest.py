@@ -415,3 +415,26 @@ def test_rows_that_a_dead_run_left_on_another_day_are_replaced(drops, monkeypatc
     assert drops.load()["orders_1.csv"]["status"] == "SUCCESS"
     assert drops.rows("orders", "order_id") == [(1,), (2,)]
     assert drops.load() == {}
+
+
+@pytest.mark.parametrize("condition, failed", [("TASK_WRITE_FAILED", False),
+                                               ("FAILED_READ_FILE.NO_HINT", False),
+                                               ("CAST_INVALID_INPUT", True)])
+def test_only_errors_in_the_data_fail_a_file(drops, monkeypatch, condition, failed):
+    from pyspark.errors import PySparkRuntimeError
+
+    from orderloom.plans import ingest as plan
+    drops.put("orders_1.csv", "id\n1\n")
+
+    def stop(*_):
+        error = PySparkRuntimeError("stopped")
+        error.getCondition = lambda: condition
+        raise error
+
+    monkeypatch.setattr(plan, "write_raw", stop)
+    if failed:
+        assert drops.load()["orders_1.csv"]["status"] == "FAILED"
+        return
+    with pytest.raises(PySparkRuntimeError):
+        drops.load()
+    assert drops.audit().read("ingestion_log").count() == 0
