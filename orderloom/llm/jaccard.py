@@ -236,9 +236,9 @@ class _Join:
                                                     F.max("members").alias("members"))
         own = F.col("share") >= BLOCK
         # A large component has blocks of its own, by row; the others are dealt out by component.
-        share = share.select("cell", "root", F.when(own, F.col("root")).alias("only"), F.when(
+        share = self.stored(share.select("cell", "root", F.when(own, F.col("root")).alias("only"), F.when(
             own, F.ceil(F.col("share") / BLOCK)).otherwise(F.ceil(F.col("members") / BLOCK))
-            .alias("blocks"))
+            .alias("blocks")))
         dealt = F.pmod(F.xxhash64(F.when(F.col("only").isNull(), F.col("root")).otherwise(
             F.col("row"))), F.col("blocks"))
         placed = self.stored(crowded.join(share, ["cell", "root"]).withColumn(
