@@ -23,12 +23,15 @@ def newer_than(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
     return df.where(F.col(column) > literal)
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str,
-           order: Sequence[Column]) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, key: str, order: Sequence[Column] = (),
+           keys: DataFrame | None = None) -> DataFrame:
     """Target without the batch's keys, plus the batch's latest row per key.
 
-    Rows without a key replace none and are all kept, in the target and in the batch.
+    Rows without a key replace none and are all kept, in the target and in the batch. Without an
+    order, the batch's keys do not repeat. ``keys`` may name them, or more of them, where that
+    is cheaper to read than the batch.
     """
-    keys = batch.select(key).distinct()
-    return (target.join(keys, key, "left_anti").select(*target.columns)
-            .unionByName(latest_per_known_key(batch, key, order), allowMissingColumns=True))
+    known = batch if keys is None else keys
+    newest = latest_per_known_key(batch, key, order) if order else batch
+    return (target.join(known.select(key).distinct(), key, "left_anti").select(*target.columns)
+            .unionByName(newest, allowMissingColumns=True))

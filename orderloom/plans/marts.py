@@ -78,8 +78,10 @@ def new_orders(target: DataFrame, orders: DataFrame) -> DataFrame:
 def fct_orders_incremental(target: DataFrame, orders: DataFrame, customers: DataFrame,
                            item_lines: DataFrame, payment_lines: DataFrame) -> DataFrame:
     """The whole fact after an incremental run."""
-    batch = fct_orders_for(new_orders(target, orders), customers, item_lines, payment_lines)
-    return upsert(target, batch, "order_id", latest_load())
+    new = new_orders(target, orders)
+    batch = fct_orders_for(new, customers, item_lines, payment_lines)
+    # The batch has a row for each of the new orders, and one only.
+    return upsert(target, batch, "order_id", keys=new)
 
 
 def late_orders(mark: datetime | None, orders: DataFrame, customers: DataFrame,

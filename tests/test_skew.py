@@ -145,6 +145,13 @@ def test_upsert_keeps_every_row_without_a_key(spark):
         [(None, 1), (None, 2), (None, 2), (None, 9), (3, 5), (4, 9)], "k long, v long"))
 
 
+def test_upsert_with_keys_of_its_own_source(spark):
+    old = spark.createDataFrame([(None, 9), (3, 9), (4, 9)], "k long, v long")
+    batch = spark.createDataFrame([(None, 1), (3, 4)], "k long, v long")
+    keys = spark.createDataFrame([(None,), (3,), (3,)], "k long")
+    assert _bag(upsert(old, batch, "k", keys=keys)) == _bag(upsert(old, batch, "k", [F.desc("v")]))
+
+
 def test_latest_per_key_keeps_one_row_per_key_before_the_shuffle(spark):
     df = _skewed(spark).where("k is not null")
     latest = latest_per_key(df, ["k"], [F.desc("row")])
