@@ -47,14 +47,14 @@ def fct_orders(orders: DataFrame, customers: DataFrame, items: DataFrame,
     """One row per order, its latest, with its customer and its item and payment sums.
 
     Every order without an id is kept, with sums of 0. Of a repeated order the tasks send one row
-    each, and orders without an id are dealt out, so none is hot. Customers holding a large share
-    of the orders are found beforehand and spread.
+    each, and orders without an id are dealt out, so none is hot. The join with the customers is the
+    last, so that Spark can split the orders of a hot one as it runs.
     """
     latest = latest_per_known_key(orders, "order_id", latest_load()).drop("_source_file")
     measured = lookup_known(latest, [items.drop("earliest_shipping_limit", "latest_shipping_limit"),
                                payments], "order_id")
     measured = lookup(measured, [customers.select("customer_id", "customer_unique_id")],
-                      "customer_id", hot_values(orders, ["customer_id"])["customer_id"])
+                      "customer_id")
     zeroed = [F.coalesce(F.col(source), F.lit(0).cast(measured.schema[source].dataType))
               .alias(name) for name, source in MEASURES.items()]
     return measured.select(*ORDER_COLUMNS, *zeroed, "_ingested_at")

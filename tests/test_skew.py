@@ -8,6 +8,7 @@ from orderloom.operators.incremental import upsert
 from orderloom.operators.joins import SALTS, hot_values, lookup, lookup_known
 from orderloom.operators.keys import duplicate_rows, latest_per_key
 from orderloom.plans import marts
+from orderloom.session import settings
 
 ROWS = 30_000
 
@@ -97,12 +98,28 @@ def test_fact_with_hot_orders_and_customers(spark, no_broadcast, monkeypatch):
     inputs = _fact_inputs(spark)
     found = hot_values(inputs[0], ["customer_id", "order_id"])
     assert found == {"customer_id": [9], "order_id": [5]}
-    spread = marts.fct_orders(*inputs)
-    assert spread.count() == inputs[0].select("order_id").distinct().count()
-    shape = plan(spread)
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    fact = marts.fct_orders(*inputs)
+    assert len(jobs.getJobIdsForGroup()) == before, "the plan is made without running anything"
+    assert fact.count() == inputs[0].select("order_id").distinct().count()
+    shape = plan(fact)
     assert shape.count("Exchange ") <= 6 and shape.count("Range (") == 4
-    monkeypatch.setattr(marts, "hot_values", lambda df, columns: {c: [] for c in columns})
-    assert _bag(spread) == _bag(marts.fct_orders(*inputs))
+
+
+def test_orders_of_a_hot_customer_are_split_as_the_fact_runs(spark, no_broadcast):
+    orders, *others = _fact_inputs(spark)
+    hot = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with settings(spark, hot):
+        fact = marts.fct_orders(orders.withColumn("order_id", F.col("_source_file").cast("long")),
+                                *others)
+        rows = fact.collect()
+        assert "skew=true" in plan(fact)
+    assert len(rows) == 6000
+    assert sum(r["customer_unique_id"] == "u9" for r in rows) > 2000
 
 
 def test_fact_keeps_every_order_without_an_id(spark, no_broadcast):
