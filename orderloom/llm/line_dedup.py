@@ -1,9 +1,10 @@
 """Boilerplate lines by their frequency within a site.
 
-A line is boilerplate on a site if more than ``max_ratio`` of the site's pages have it, and at
-least ``min_pages`` do, so that small sites do not lose lines that two pages share. Every
-occurrence there is dropped; the same line stays on sites where it is rare. Lines are compared
-without white space at their ends, and blank ones are left alone.
+A line is boilerplate on a site if more than ``max_ratio`` of the site's pages have it. The ratio
+decides at all sizes: ``min_pages`` is 2, which only says that a line has to repeat, so that the
+single pages of small sites stay. Every occurrence there is dropped; the same line stays on sites
+where it is rare. Lines are compared without white space at their ends, and blank ones are left
+alone.
 
 A page counts a line once. Counting is per site and line with a map-side phase, so a hot site
 or line sends one row per task. A site has at most (distinct lines per page, on average) /
@@ -39,7 +40,7 @@ def _site(site: Column) -> Column:
 
 
 def boilerplate(spark: SparkSession, pages: DataFrame, site: str, text: str = "text",
-                max_ratio: float = 0.02, min_pages: int = 5) -> DataFrame:
+                max_ratio: float = 0.02, min_pages: int = 2) -> DataFrame:
     """(site_key, lines): digests of the boilerplate lines of each site that has any."""
     rows = pages.select(_site(F.col(site)).alias("site_key"), F.col(text).alias("text"))
     totals = rows.groupBy("site_key").agg(F.count(F.lit(1)).alias("pages"))
@@ -55,7 +56,7 @@ def boilerplate(spark: SparkSession, pages: DataFrame, site: str, text: str = "t
 
 
 def drop_boilerplate(spark: SparkSession, pages: DataFrame, site: str, text: str = "text",
-                     max_ratio: float = 0.02, min_pages: int = 5,
+                     max_ratio: float = 0.02, min_pages: int = 2,
                      n_lines: str | None = None, n_dropped: str | None = None) -> DataFrame:
     """``pages`` with boilerplate lines taken out of ``text``. Named columns for the number of
     lines before, and of those dropped, are added."""

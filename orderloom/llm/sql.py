@@ -53,7 +53,7 @@ k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS t FROM l),
 pages AS (SELECT source, count(*) AS n FROM d GROUP BY source),
 bad AS (SELECT k.source, t FROM k JOIN pages ON k.source IS NOT DISTINCT FROM pages.source
         WHERE t <> '' GROUP BY k.source, t, n
-        HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > n * CAST(0.02 AS DOUBLE)),
+        HAVING count(DISTINCT r) >= 2 AND count(DISTINCT r) > n * CAST(0.02 AS DOUBLE)),
 c AS (SELECT r, count(*) AS n_lines, count(bad.t) AS n_dropped,
              coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE bad.t IS NULL), '') AS text
       FROM k LEFT JOIN bad ON k.t = bad.t AND k.source IS NOT DISTINCT FROM bad.source GROUP BY r)

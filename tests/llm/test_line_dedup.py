@@ -41,6 +41,19 @@ def test_ratio_is_that_of_the_site(spark):
         assert run(spark, rows, max_ratio=ratio, min_pages=least) == brute(rows, ratio, least)
 
 
+def test_the_ratio_decides_on_sites_of_any_size(spark):
+    rows = [(i, f"story {i}\nfooter", "four") for i in range(4)]
+    rows += [(10 + i, f"tale {i}\nfooter", "two") for i in range(2)]
+    rows += [(20, "alone\nfooter", "one")]
+    rows += [(1000 + i, f"note {i}" + "\nshared" * (i < 2) + "\nmenu" * (i < 3), "wide")
+             for i in range(120)]
+    got = run(spark, rows)
+    assert got == brute(rows, 0.02, 2)
+    texts = {i: text for i, text, _, _ in got}
+    assert [texts[i] for i in (0, 3, 10, 20)] == ["story 0", "story 3", "tale 0", "alone\nfooter"]
+    assert texts[1000] == "note 0\nshared"
+
+
 def test_awkward_rows(spark):
     assert run(spark, AWKWARD, max_ratio=0.1, min_pages=2) == brute(AWKWARD, 0.1, 2)
     assert run(spark, [], max_ratio=0.1) == []
