@@ -32,6 +32,8 @@ from .components import components
 BITS = 64
 # Members up to which the pairs of a cell are compared one by one.
 PAIRED = 32
+# Fingerprints that a task enters in the grid, 33 cells each.
+ENTERED = 200_000
 # Hashes summed at a time.
 _BLOCK = 1 << 16
 
@@ -95,7 +97,10 @@ def links(spark: SparkSession, fps: DataFrame, max_bits: int = 2, segments: int
     if not 0 <= max_bits <= 2 or segments not in (16, 8, 4):
         raise ValueError("max_bits is 0 to 2, segments 4, 8 or 16")
     radius = (max_bits + 1) // 2
-    entered = fps.select("fp", F.explode(_cells(F.col("fp"), segments, radius)).alias("cell"))
+    # By what they grow to: stored, distinct fingerprints are few bytes in fewer tasks.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-fps.count() // ENTERED))
+    entered = fps.repartition(tasks, "fp").select(
+        "fp", F.explode(_cells(F.col("fp"), segments, radius)).alias("cell"))
     base = scratch_dir(spark, "simhash-cells")
     met = entered.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met.write.parquet(f"{base}/met")
