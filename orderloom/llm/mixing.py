@@ -12,7 +12,8 @@ damped), in which one is a safe step: r becomes max(0, r - p . H^-1 residual). T
 multipliers H^-1 residual so far, so a step is one aggregation over narrow rows (tokens and
 posteriors, written once) and nothing else is stored; it costs no shuffle of documents and no
 group of them is gathered. Steps end at ``TOLERANCE`` of the budget or after ``STEPS``. Where the
-targets cannot be met, as for a domain without documents, the rest is the least-squares rest.
+targets cannot be met, as for a domain without documents, the rest is the least-squares rest;
+where steps ended short of the targets, ``targets_met`` is false and a warning says by how much.
 
 Whole copies come from rates by rounding with a hash of the row, so their expected number is the
 rate. The sample for the classifier is bounded by ``SAMPLE`` labelled documents, in the order of
@@ -24,6 +25,7 @@ domains are equal. Repeated rows get equal rates. An empty table gives an empty
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,8 +150,8 @@ def rate(shares: list[str], start: float, multipliers: list[list[float]]) -> Col
 
 
 def fit_rates(rows: DataFrame, tokens: str, shares: list[str], weights: list[float],
-              budget: float | None = None) -> tuple[float, list[list[float]]]:
-    """The starting rate and the multipliers of each step."""
+              budget: float | None = None) -> tuple[float, list[list[float]], bool]:
+    """The starting rate, the multipliers of each step, and whether they meet the targets."""
     size = len(shares)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     sums = rows.agg(F.sum(tokens).alias("n"), *[
@@ -158,7 +160,7 @@ def fit_rates(rows: DataFrame, tokens: str, shares: list[str], weights: list[flo
     total = float(sums["n"] or 0)
     budget = total if budget is None else float(budget)
     if not total:
-        return 1.0, []
+        return 1.0, [], True
     metric = np.zeros((size, size))
     for i, j in pairs:
         metric[i, j] = metric[j, i] = sums[f"h{i}_{j}"]
@@ -167,7 +169,8 @@ def fit_rates(rows: DataFrame, tokens: str, shares: list[str], weights: list[flo
     whiten = np.linalg.inv(metric)
     target = budget * np.array(weights, float) / sum(weights)
     start, multipliers = budget / total, []
-    for _ in range(STEPS):
+    # The last turn takes no step; it tells where the steps have led.
+    for turn in range(STEPS + 1):
         now = rate(shares, start, multipliers)
         got = rows.select(now.alias("r"), tokens, *shares).agg(
             *[F.sum(F.col("r") * F.col(tokens) * F.col(s)) for s in shares]).first()
@@ -175,10 +178,14 @@ def fit_rates(rows: DataFrame, tokens: str, shares: list[str], weights: list[flo
         step = whiten @ rest
         # Nine digits: sums differ in the last ones between runs, rates shall not.
         step = [float(f"{m:.9g}") for m in step]
-        if np.abs(rest).max() <= TOLERANCE * budget or not any(step):
+        met = bool(np.abs(rest).max() <= TOLERANCE * budget)
+        if met or not any(step) or turn == STEPS:
             break
         multipliers.append(step)
-    return start, multipliers
+    if not met:
+        warnings.warn(f"targets missed by {np.abs(rest).max() / budget:.2g} of the tokens "
+                      f"after {len(multipliers)} steps", stacklevel=2)
+    return start, multipliers, met
 
 
 def _copies(rate: Column, row: list[str]) -> Column:
@@ -189,16 +196,19 @@ def _copies(rate: Column, row: list[str]) -> Column:
 def mix(spark: SparkSession, docs: DataFrame, model: DomainModel, targets: dict[str, float],
         budget: float | None = None, id_column: str = "doc_id", text_column: str = "text"
         ) -> DataFrame:
-    """Per row: id, n_tokens, a posterior p_<domain> for each domain, rate, n_copies."""
+    """Per row: id, n_tokens, a posterior p_<domain> for each domain, rate, n_copies, and
+    targets_met, the same in every row."""
     shares = [f"p_{d}" for d in model.domains]
     path = scratch_dir(spark, "mixing")
     memberships(docs.select(id_column, text_column), model, "n_tokens", "p_", text_column
                 ).withColumn("draw", F.xxhash64(id_column, text_column)).drop(
         text_column).write.parquet(path)
     rows = spark.read.parquet(path)
-    start, steps = fit_rates(rows, "n_tokens", shares, [targets[d] for d in model.domains], budget)
+    start, steps, met = fit_rates(rows, "n_tokens", shares,
+                                  [targets[d] for d in model.domains], budget)
     return rows.withColumn("rate", rate(shares, start, steps)).withColumn(
-        "n_copies", _copies(F.col("rate"), ["draw"])).drop("draw")
+        "n_copies", _copies(F.col("rate"), ["draw"])).drop("draw").withColumn(
+        "targets_met", F.lit(met))
 
 
 def resample(spark: SparkSession, docs: DataFrame, model: DomainModel, targets: dict[str, float],
@@ -209,16 +219,15 @@ def resample(spark: SparkSession, docs: DataFrame, model: DomainModel, targets:
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix += "_"
     shares = [f"{prefix}{d}" for d in model.domains]
+    # Stored with the texts, so that these are worked through once; fitting reads the narrow columns.
     path = scratch_dir(spark, "mixing")
     marked = memberships(docs, model, tokens, prefix, text_column)
-    marked.select(tokens, *shares).write.parquet(path)
-    start, steps = fit_rates(spark.read.parquet(path), tokens, shares,
-                             [targets[d] for d in model.domains], budget)
+    draw = fresh(marked, "draw")
+    marked.withColumn(draw, F.xxhash64(id_column, text_column)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    start, steps, _ = fit_rates(rows, tokens, shares, [targets[d] for d in model.domains], budget)
     own, copies = fresh(docs, "rate"), fresh(docs, "n_copies")
     # A row's own hash is hashed once more, as in mix, so both draw alike.
-    draw = fresh(marked, "draw")
     now = rate(shares, start, steps)
-    taken = F.array(F.struct(now.alias(own), _copies(now, [draw]).alias(copies)))
-    # Filtered as an array: a filter on columns would have the posteriors worked out again.
-    return marked.withColumn(draw, F.xxhash64(id_column, text_column)).select(
-        *docs.columns, F.inline(F.filter(taken, lambda x: x[copies] > 0)))
+    return rows.withColumn(own, now).withColumn(copies, _copies(F.col(own), [draw])).where(
+        F.col(copies) > 0).select(*docs.columns, own, copies)

@@ -30,11 +30,20 @@ def test_rates(spark, weights):
     p = draw.dirichlet([0.4, 0.2, 0.3], 300)
     rows = spark.createDataFrame([(int(a), *map(float, b)) for a, b in zip(n, p)],
                                  "n long, a double, b double, c double")
-    start, steps = fit_rates(rows, "n", ["a", "b", "c"], list(weights))
+    start, steps, met = fit_rates(rows, "n", ["a", "b", "c"], list(weights))
     got = np.array([r[0] for r in rows.select(rate(["a", "b", "c"], start, steps)).collect()])
     assert got == pytest.approx(solve(n, p, np.array(weights), n.sum()), abs=1e-6)
     totals = (got * n) @ p / n.sum()
     assert (got >= 0).all() and totals == pytest.approx(weights, abs=1e-3)
+    assert met == (np.abs(totals - np.array(weights)).max() <= mixing.TOLERANCE)
+
+
+@pytest.mark.filterwarnings("ignore:targets missed")
+def test_steps_that_end_short_say_so(spark):
+    rows = spark.createDataFrame([(5, 1.0, 0.0), (7, 1.0, 0.0)], "n long, a double, b double")
+    assert fit_rates(rows, "n", ["a", "b"], [1.0, 0.0])[2]
+    with pytest.warns(UserWarning, match="targets missed by 0.5"):
+        assert not fit_rates(rows, "n", ["a", "b"], [0.5, 0.5])[2]
 
 
 def labelled(n):
@@ -57,6 +66,7 @@ def test_documents_meet_the_targets(spark):
         assert own / tokens == pytest.approx(weight, abs=1e-3)
     assert sum(r["n_copies"] * r["n_tokens"] for r in got) == pytest.approx(tokens, rel=0.1)
     assert all(abs(r["n_copies"] - r["rate"]) < 1 for r in got)
+    assert len({r["targets_met"] for r in got}) == 1
     kept = resample(spark, docs, model, TARGETS)
     assert kept.columns == [*docs.columns, "rate", "n_copies"]
     copies = {r["doc_id"]: r["n_copies"] for r in got if r["n_copies"]}
