@@ -9,10 +9,11 @@ coordinates, where few unit vectors have coordinates near enough to the query's
 or by length, where only vectors of length theta / |q| or more remain. Whatever is left is
 verified by integer products.
 
-Work is split in blocks: a bucket's vectors by a hash into blocks of about ``BLOCK``, queries
-into blocks of about ``QUERIES``, and each pair of blocks that has a surviving query is one
-group. A hot bucket is thus many groups, and none is larger than two blocks. Each group keeps
-k answers per query.
+Work is split in blocks: a bucket's vectors by a hash into blocks of about ``BLOCK``. Queries
+that need the same length, theta / |q|, at least visit the same buckets; those of one lowest
+bucket form blocks of about ``QUERIES``, and a bucket's blocks are copied to the query blocks
+that visit it and to no other. A hot bucket is thus many groups, and none is larger than two
+blocks. Each group keeps k answers per query.
 
 Vectors that are NULL, or hold NULL or non-finite components, take no part, nor do rows
 without id. Shorter vectors count as filled up with zeros. Rows that repeat id and vector
@@ -157,6 +158,52 @@ def _thresholds(queries: DataFrame, seeds: pd.DataFrame, width: int, k: int) ->
     return queries.mapInArrow(run, "id long, v array<double>, theta double")
 
 
+def spread(queries: DataFrame, found: DataFrame, stats: list[tuple[int, int, float]]
+           ) -> tuple[DataFrame, DataFrame]:
+    """Queries and vectors with the (bucket, block, query_block) they are compared in.
+
+    ``stats`` are the buckets, shortest first, with their count and greatest length. A query
+    visits the lowest bucket where it can reach its threshold, and all longer ones.
+    """
+    own = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)) * (1 + 1e-9)
+    # Lengths grow with the bucket, so those too short come first.
+    most = F.array(*[F.lit(float(m)) for _, _, m in stats])
+    short = F.size(F.filter(most, lambda m: F.col("theta") > F.col("own") * m))
+    queries = queries.withColumn("own", own).withColumn("band", short).where(
+        F.col("band") < len(stats)).drop("own")
+    # One row per band at most; bands are numbered as the buckets are.
+    counts = {r["band"]: r["n"] for r in
+              queries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ends = [0]
+    for band in range(len(stats)):
+        ends.append(ends[-1] - (-counts.get(band, 0) // QUERIES))
+    blocks = [-(-n // BLOCK) for _, n, _ in stats]
+
+    def of(values: list[int], band: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), band + 1)
+
+    def part(count: Column) -> Column:
+        return F.pmod(F.xxhash64("id"), count).cast("int")
+
+    band = F.col("band")
+    each = F.transform(F.sequence(band, F.lit(len(stats) - 1)), lambda b: F.struct(
+        b.alias("band"), of([b for b, _, _ in stats], b).alias("bucket")))
+    asked = queries.select(
+        "id", "v", "theta",
+        (of(ends[:-1], band) + part(of([ends[i + 1] - ends[i] for i in range(len(stats))], band))
+         ).alias("query_block"), F.inline(each)).select(
+        "bucket", F.explode(F.sequence(F.lit(0), of(blocks, band) - 1)).alias("block"),
+        "query_block", "id", "v", "theta")
+    places = {b: i for i, (b, _, _) in enumerate(stats)}
+    place = F.element_at(F.create_map(*[F.lit(x) for pair in places.items() for x in pair]),
+                         F.col("bucket"))
+    held = found.withColumn("band", place).select(
+        "bucket", part(of(blocks, band)).alias("block"), F.explode(F.filter(
+            F.sequence(F.lit(0), of(ends[1:], band)), lambda q: q < of(ends[1:], band))
+        ).alias("query_block"), "id", "v")
+    return asked, held
+
+
 def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20,
           scale: float = 64.0, id_column: str = "vec_id", vector_column: str = "embedding",
           seeds: int = 1024) -> DataFrame:
@@ -181,29 +228,19 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
     width = max((r["width"] for r in stats), default=0) or 1
     found = found.withColumn("v", F.concat("v", F.array_repeat(
         F.lit(0.0), F.lit(width) - F.size("v"))))
-    first = found.orderBy(F.desc("length"), "id").limit(seeds).select("id", "v").toPandas()
-    queries = _thresholds(found.where(is_query).select("id", "v"), first, width, k)
-    query_blocks = max(1, -(-found.where(is_query).count() // QUERIES))
-    blocks = {r["bucket"]: -(-r["n"] // BLOCK) for r in stats}
-
-    def looked_up(values: dict) -> Column:
-        return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]),
-                            F.col("bucket"))
-
     if not stats:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    own = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)) * (1 + 1e-9)
-    visits = queries.withColumn("own", own).withColumn(
-        "bucket", F.explode(F.array(*[F.lit(b) for b in blocks]))).where(
-        F.col("theta") <= F.col("own") * looked_up({r["bucket"]: float(r["most"]) for r in stats}))
+    stats.sort(key=lambda r: r["bucket"])
+    # The longest buckets that hold all seeds, so that tasks sort little else.
+    lowest = max((i for i in range(len(stats)) if sum(r["n"] for r in stats[i:]) >= seeds),
+                 default=0)
+    first = found.where(F.col("bucket") >= stats[lowest]["bucket"]).orderBy(
+        F.desc("length"), "id").limit(seeds).select("id", "v").toPandas()
+    _thresholds(found.where(is_query).select("id", "v"), first, width, k).write.parquet(
+        f"{base}/queries")
+    asked, held = spread(spark.read.parquet(f"{base}/queries"), found,
+                         [(r["bucket"], r["n"], r["most"]) for r in stats])
     keys = ["bucket", "block", "query_block"]
-    visits = visits.select(
-        "bucket", F.explode(F.sequence(F.lit(0), looked_up(blocks).cast("int") - 1)).alias("block"),
-        F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("query_block"),
-        "id", "v", "theta")
-    held = found.select(
-        "bucket", F.pmod(F.xxhash64("id"), looked_up(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"), "id", "v")
 
     def search(asked: pa.Table, block: pa.Table) -> pa.Table:
         made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -217,7 +254,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20
         return pa.table([pa.array(c, pa.int64()) for c in columns],
                         names=["query_id", "vec_id", "score"])
 
-    answers = visits.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(search, schema)
+    answers = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(search, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return answers.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

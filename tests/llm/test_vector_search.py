@@ -61,6 +61,30 @@ def test_scores_beyond_doubles_are_whole(spark):
     assert top_k(spark, table(spark, AWKWARD), F.col("id") % 20 == 0, k=5).count() > 0
 
 
+def test_vectors_are_copied_to_blocks_that_visit_them_only(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "BLOCK", 4)
+    monkeypatch.setattr(vector_search, "QUERIES", 2)
+    lengths = [1.0] * 9 + [2.0] * 5 + [4.0] * 3
+    found = spark.createDataFrame([(i, [x, 0.0], {1.0: 0, 2.0: 14, 4.0: 28}[x])
+                                   for i, x in enumerate(lengths)],
+                                  "id long, v array<double>, bucket int")
+    # By the length they need: three of the longest only, four of two buckets, two of all, none.
+    thetas = [3.0] * 3 + [1.5] * 4 + [-math.inf, 0.5] + [9.0] * 5
+    queries = spark.createDataFrame([(i, [1.0, 0.0], t) for i, t in enumerate(thetas)],
+                                    "id long, v array<double>, theta double")
+    asked, held = vector_search.spread(queries, found, [(0, 9, 1.0), (14, 5, 2.0), (28, 3, 4.0)])
+    visits = {0: 2, 14: 6, 28: 9}
+    rows = asked.collect()
+    assert {b: len({r["id"] for r in rows if r["bucket"] == b}) for b in visits} == visits
+    copies = {b: held.where(F.col("bucket") == b).count() for b in visits}
+    # Blocks of two queries: one, two and two by what they need.
+    assert copies == {0: 9 * 1, 14: 5 * 3, 28: 3 * 5}
+    met = {(r["id"], r["bucket"], r["block"], r["query_block"]) for r in rows}
+    pairs = [(r["id"], q[0]) for r in held.collect() for q in met
+             if q[1:] == (r["bucket"], r["block"], r["query_block"])]
+    assert len(pairs) == len(set(pairs)) == 9 * 2 + 5 * 6 + 3 * 9
+
+
 def test_few_or_no_rows(spark):
     assert top_k(spark, table(spark, []), F.col("id") % 20 == 0).collect() == []
     assert top_k(spark, table(spark, [(20, [1.0])]), F.col("id") % 20 == 0).collect() == []
