@@ -16,6 +16,7 @@ from .plans.daily import (DailyOptions, Models, build_models, check_models, crea
                           run_daily)
 from .plans.ingest import IngestOptions, ingest
 from .plans.quality import source_freshness
+from .plans.types import retype
 from .session import SETTINGS
 from .streaming.arrivals import load_arrivals, utc_now
 
@@ -25,8 +26,8 @@ SHOWN = 1000
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="orderloom", description=__doc__)
     parser.add_argument("command", choices=["ingest", "build", "check", "daily", "freshness",
-                                            "history", "rollback", "reprocess", "arrivals",
-                                            "sql"])
+                                            "history", "rollback", "retype", "reprocess",
+                                            "arrivals", "sql"])
     parser.add_argument("--root", required=True, help="warehouse folder, shared by all executors")
     parser.add_argument("--landing", help="folder of CSV drops")
     parser.add_argument("--prefix", default="", help="text before orders_dataset and its like")
@@ -50,7 +51,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--late-inputs", action="store_true")
     parser.add_argument("--shuffle-partitions", help="about shuffled bytes / 256 MiB; AQE merges "
                         "small ones", default=None)
-    parser.add_argument("--table", help="raw table, for rollback")
+    parser.add_argument("--table", help="raw table, for rollback and retype")
     parser.add_argument("--batch", help="batch id, for rollback and reprocess")
     parser.add_argument("--file", action="append", default=[], help="file meant by rollback")
     parser.add_argument("--reload", action="store_true", help="load rolled-back files again")
@@ -127,6 +128,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.command == "rollback":
         print(batches.roll_back(spark, args.root, args.table, args.batch, run_ts, args.reload,
                                 args.file))
+    elif args.command == "retype":
+        print(retype(spark, args.root, args.table, run_ts, files.pinned_types))
     elif args.command == "reprocess":
         models = Models(spark, args.root, args.prefix, staged=True)
         batches.reprocess(models, args.batch)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import col
 from ..functions.values import TYPE_ORDER, null_if_token, parse_date, type_class
+from ..sources.local import local_table
+from .evidence import DATE_TEXT, Evidence
 
 
 def drop_all_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -49,38 +51,37 @@ def type_counts(columns: Sequence[str], date_columns: Sequence[str] = ()) -> lis
                 F.count_if(cell <= 1).alias(f"{c}::double"),
                 F.count_if(cell == 2).alias(f"{c}::boolean"),
                 F.count_if(cell == 3).alias(f"{c}::timestamp_ntz")]
-    return out + [F.count_if(col(f"{c}::dated")).alias(f"{c}::date_text") for c in date_columns]
+    return out + [F.count_if(col(f"{c}::dated")).alias(f"{c}::{DATE_TEXT}") for c in date_columns]
 
 
-def winning_type(n_values: Column, fitting: dict[str, Column]) -> Column:
-    """The narrowest type that every value fits; text for an empty column."""
-    choice = F.when(n_values == 0, "string")
-    for t in TYPE_ORDER:
-        choice = choice.when(fitting[t] == n_values, t)
-    return choice.otherwise("string")
+def date_counts(columns: Sequence[str]) -> list[Column]:
+    """Aggregates over text columns: values per column, and those that read as a date."""
+    return [count for c in columns for count in (
+        F.count(col(c)).alias(f"{c}::n_values"),
+        F.count(parse_date(col(c))).alias(f"{c}::{DATE_TEXT}"))]
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """One row per text column with its inferred type, from one aggregation."""
-    columns = df.columns
-    counted = df.select(*type_classes(columns)).agg(*type_counts(columns))
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"),
-                 F.col(f"`{c}::n_values`").alias("n_values"),
-                 *[F.col(f"`{c}::{t}`").alias(f"n_{t}") for t in TYPE_ORDER])
-        for c in columns])).alias("r")
-    return counted.select(rows).select("r.*").withColumn(
-        "inferred_type",
-        winning_type(F.col("n_values"), {t: F.col(f"n_{t}") for t in TYPE_ORDER}))
+    """One row per text column with its counts and inferred type, from one aggregation.
+
+    Types are decided as for a load, from counts that reach the driver as one row.
+    """
+    counts = df.select(*type_classes(df.columns)).agg(*type_counts(df.columns)).first()
+    said = {c: Evidence.of(counts, c) for c in df.columns}
+    return local_table(df.sparkSession, [
+        (c, e.n_values, *[e.fits[t] for t in TYPE_ORDER], e.narrowest("string"))
+        for c, e in said.items()], ", ".join([
+            "column_name string", "n_values bigint", *[f"n_{t} bigint" for t in TYPE_ORDER],
+            "inferred_type string"]))
 
 
 def promote_dates(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
     """Turn text columns into timestamps, each only if all its values parse.
 
-    One aggregation decides for every candidate; only its counts reach the driver.
+    One aggregation decides for every candidate, as for a load; only its counts reach the driver.
     """
     if not candidates:
         return df
-    bad = df.agg(*[F.count_if(F.col(c).isNotNull() & parse_date(F.col(c)).isNull()).alias(c)
-                   for c in candidates]).first()
-    return df.withColumns({c: parse_date(F.col(c)) for c in candidates if bad[c] == 0})
+    counts = df.agg(*date_counts(candidates)).first()
+    dates = [c for c in candidates if Evidence.of(counts, c).narrowest(DATE_TEXT) == DATE_TEXT]
+    return df.withColumns({c: parse_date(col(c)) for c in dates})

@@ -13,8 +13,9 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from ..functions.names import batch_id, col, looks_like_date, normalise_header, target_table
-from ..functions.values import DOUBLE, TYPE_ORDER, UNKNOWN, is_exact_amount, naive_utc
+from ..functions.values import DOUBLE, UNKNOWN, is_exact_amount, naive_utc
 from ..operators.clean import apply_null_tokens, drop_all_null, type_classes, type_counts
+from ..operators.evidence import DATE_TEXT, Evidence
 from ..operators.evolve import LINEAGE, WIDENS, detect_drift, schema_hash
 from ..operators.keys import duplicate_rows
 from ..session import WIDE_QUERY, scratch_dir, settings
@@ -32,7 +33,7 @@ TABLE_THREADS = 4
 DATA_ERRORS = ("ARITHMETIC_OVERFLOW", "CANNOT_PARSE", "CAST_", "DATETIME_OVERFLOW", "DIVIDE_BY_ZERO",
                "INVALID_UTF8_STRING", "MALFORMED_CSV_RECORD", "MALFORMED_RECORD",
                "NUMERIC_VALUE_OUT_OF_RANGE", "NUMERIC_OUT_OF_SUPPORTED_RANGE")
-_LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_batch_id": "string"}
+LINEAGE_TYPES = {"_ingested_at": "timestamp_ntz", "_source_file": "string", "_batch_id": "string"}
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,9 @@ def ingest(spark: SparkSession, landing: str, root: str, run_ts: datetime,
     registered = [row for row in registered if row[5] not in failed]
     if registered:
         audit.append("schema_registry", registered)
+    said = [row for f in files if not f.error for row in load.evidence_rows(f)]
+    if said:
+        audit.append("type_evidence", said)
     log = [load.log_row(f) for f in files]
     if log:
         audit.append("ingestion_log", log)
@@ -336,9 +340,9 @@ class _Load:
                     ("retyped", [f"{c} {old} -> {new}" for c, old, new in drift.type_changes]))
                 if names)
             file.promoted = [c for c, t in found.items()
-                             if t == "date_text" or (t == "timestamp_ntz" and looks_like_date(c))]
+                             if t == DATE_TEXT or (t == "timestamp_ntz" and looks_like_date(c))]
             merged = {**known, **found}
-            file.schema_hash = schema_hash({**merged, **_LINEAGE_TYPES})
+            file.schema_hash = schema_hash({**merged, **LINEAGE_TYPES})
             if merged != known:
                 self.schemas[file.table] = (version + 1, merged)
                 registered.append((file.table, version + 1, file.schema_hash, list(merged),
@@ -350,11 +354,9 @@ class _Load:
         found = {}
         for c in file.columns:
             pinned = self.options.pinned_types.get((file.table, c))
-            n = file.stats[f"{c}::n_values"] if file.read else 0
             # Only dated columns are counted against the looser date forms.
-            fitting = [t for t in (*TYPE_ORDER, "date_text")
-                       if n and f"{c}::{t}" in file.stats and file.stats[f"{c}::{t}"] == n]
-            narrowest = fitting[0] if fitting else "string" if n else UNKNOWN
+            said = Evidence.of(file.stats, c)
+            n, fitting, narrowest = said.n_values, said.fitting(), said.narrowest(UNKNOWN)
             current = known.get(c, UNKNOWN)
             if pinned:
                 found[c] = pinned
@@ -418,6 +420,12 @@ class _Load:
             self._put_aside(lines.select("source_file", F.col("value").alias("record")),
                             failed, [f.error for f in failed])
 
+    def evidence_rows(self, file: _File) -> list[tuple]:
+        """What a file says of its columns, kept for later decisions."""
+        said = {c: Evidence.of(file.stats, c) for c in file.columns}
+        return [(file.table, file.name, c, e.n_values, dict(e.fits), self.run_ts)
+                for c, e in said.items()]
+
     def log_row(self, file: _File) -> tuple:
         return (file.table, file.batch, file.schema_hash, file.name, file.size, file.read,
                 file.loaded, file.read - file.loaded, file.copies, file.promoted,

@@ -20,11 +20,13 @@ REGISTRY = ("table_name string, version bigint, schema_hash string, column_order
             "columns map<string,string>, source_file string, detected_at timestamp_ntz")
 CHECKS = ("check_name string, failing_rows bigint, status string, checked_at timestamp_ntz")
 ATTEMPTS = "table_name string, source_file string, loaded_on string"
+EVIDENCE = ("table_name string, source_file string, column_name string, n_values bigint, "
+            "fits map<string,bigint>, loaded_at timestamp_ntz")
 QUARANTINE = ("table_name string, batch_id string, reason string, record string, "
               "quarantined_at timestamp_ntz, run_id string, source_file string")
 
 TABLES = {"ingestion_log": LOG, "schema_registry": REGISTRY, "check_results": CHECKS,
-          "load_attempts": ATTEMPTS}
+          "load_attempts": ATTEMPTS, "type_evidence": EVIDENCE}
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
@@ -65,17 +67,28 @@ class Audit:
     def read(self, name: str) -> DataFrame:
         return read_or_empty(self.spark, self._path(name), TABLES[name])
 
-    def processed(self) -> DataFrame:
-        """Files that are loaded: a SUCCESS row and no later reopening."""
-        def last(status: str) -> Column:
-            return F.max(F.when(F.col("status") == status, F.col("ingested_at")))
+    def _last(self, *statuses: str) -> Column:
+        return F.max(F.when(F.col("status").isin(*statuses), F.col("ingested_at")))
 
+    def processed(self) -> DataFrame:
+        """Files that are not loaded again: a SUCCESS row and no later reopening."""
         return (self.read("ingestion_log").groupBy("source_file")
-                .agg(last("SUCCESS").alias("loaded"), last("REOPENED").alias("reopened"))
+                .agg(self._last("SUCCESS").alias("loaded"),
+                     self._last("REOPENED").alias("reopened"))
                 .where(F.col("reopened").isNull() | (F.col("loaded") > F.col("reopened")))
                 .where(F.col("loaded").isNotNull())
                 .select("source_file", F.lit("SUCCESS").alias("status")))
 
+    def held(self, table: str) -> DataFrame:
+        """Files whose rows a raw table holds: loaded, and not taken back since."""
+        return (self.read("ingestion_log").where(F.col("table_name") == table)
+                .groupBy("source_file")
+                .agg(self._last("SUCCESS").alias("loaded"),
+                     self._last("REOPENED", "ROLLED_BACK").alias("taken"))
+                .where(F.col("loaded").isNotNull() & (
+                    F.col("taken").isNull() | (F.col("loaded") > F.col("taken"))))
+                .select("source_file"))
+
     def left_behind(self, files: Iterable[str], today: str) -> list[Row]:
         """(table_name, source_file, loaded_on) of earlier days' attempts to load some files: a
         run that died after storing a file has not logged it."""

@@ -16,6 +16,7 @@ _ARROW = {
     "timestamp_ntz": pa.timestamp("us"),
     "array<string>": pa.list_(pa.string()),
     "map<string,string>": pa.map_(pa.string(), pa.string()),
+    "map<string,bigint>": pa.map_(pa.string(), pa.int64()),
 }
 
 
