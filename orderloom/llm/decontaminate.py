@@ -6,8 +6,9 @@ word the automaton gives the longest run ending there that an item holds. Where
 window (``window`` item words, or a whole shorter item) the words are hit.
 
 No automaton grows with the number of items: a shard holds at most ``SHARD_WORDS`` item words,
-and longer items are cut into overlapping parts that lose no window. ``SHARDS_AT_ONCE`` of
-them, each broadcast with that bound, are read in one pass over the documents; where there are
+and longer items are cut into overlapping parts that lose no window. Tasks build the shards from
+items dealt over them and store them. ``SHARDS_AT_ONCE`` of them, each broadcast with that bound,
+are read in one pass over the documents, one after another per batch of rows; where there are
 more, the rows go on to the next pass through the shared folder. Hits of several shards are
 united by position. No document is shuffled.
 
@@ -32,6 +33,8 @@ from .batches import fresh, slices
 
 SHARD_WORDS = 200_000
 SHARDS_AT_ONCE = 8
+# Letters a word has, about; only for the number of tasks that build shards.
+LETTERS = 6
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -156,34 +159,53 @@ class Automaton:
         return spans, items
 
 
-def _parts(words: list[str], window: int) -> list[list[str]]:
+def _parts(words: list[str], window: int, most: int) -> list[list[str]]:
     """The words in parts of bounded length that overlap by all but one word of a window."""
-    step = max(window, SHARD_WORDS // 8)
+    step = max(window, most // 8)
     return [words[i:i + step + window - 1]
             for i in range(0, max(1, len(words) - window + 1), step)]
 
 
-def shards(benchmark: DataFrame, window: int, id_column: str = "item_id",
-           text_column: str = "text") -> Iterator[Automaton]:
-    """Automata of all items, one at a time; the driver holds the items of one."""
+def automata(items: Iterable[tuple[str, str | None]], window: int, most: int
+             ) -> Iterator[Automaton]:
+    """Automata of all items (id, text), one at a time, each of ``most`` words or one part."""
     automaton, size = Automaton(window), 0
-    rows = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"),
-                            F.col(text_column).alias("text"))
-    for row in rows.toLocalIterator():
-        words = words_of(row["text"])
+    for item, text in items:
+        words = words_of(text)
         if not words:
             continue
         size_of_window = min(window, len(words))
-        for part in _parts(words, size_of_window):
-            if size and size + len(part) > SHARD_WORDS:
+        for part in _parts(words, size_of_window, most):
+            if size and size + len(part) > most:
                 yield automaton.finish()
                 automaton, size = Automaton(window), 0
-            automaton.add(part, row["id"], size_of_window)
+            automaton.add(part, item, size_of_window)
             size += len(part)
     if size:
         yield automaton.finish()
 
 
+def shards(spark: SparkSession, benchmark: DataFrame, window: int, id_column: str = "item_id",
+           text_column: str = "text") -> DataFrame:
+    """Stored automata of all items, pickled, one a row. Every task packs the items it is dealt;
+    repeated items are one."""
+    items = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"),
+                             F.col(text_column).alias("text")).distinct()
+    most = SHARD_WORDS
+    letters = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    tasks = max(1, -(-letters // (LETTERS * most)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (pair for batch in batches for pair in zip(*[c.to_pylist() for c in batch.columns]))
+        for automaton in automata(rows, window, most):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pickle.dumps(automaton)], pa.binary())], names=["automaton"])
+
+    path = scratch_dir(spark, "automata")
+    items.repartition(tasks, "id", "text").mapInArrow(build, "automaton binary").write.parquet(path)
+    return spark.read.schema("automaton binary").parquet(path)
+
+
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     done: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -207,7 +229,7 @@ def without(text: str, spans: list[tuple[int, int]], shortest: int) -> str:
     return "".join(kept) + text[end:]
 
 
-def _pass(rows: DataFrame, text: str, names: list[str], automata: list, cut: int | None
+def _pass(rows: DataFrame, text: str, names: list[str], shared: list, cut: int | None
           ) -> DataFrame:
     """Rows with word count, spans and items brought up to date; with ``cut``, texts cut too."""
     schema, at = rows.schema, rows.columns.index(text)
@@ -215,30 +237,36 @@ def _pass(rows: DataFrame, text: str, names: list[str], automata: list, cut: int
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, readers = None, [None]
+        held = reader = None
         for batch in batches:
-            for start, end in slices(batch.column(at)):
+            texts, cuts = batch.column(at), list(slices(batch.column(at)))
+            counts = [0] * len(texts)
+            spans = [list(zip(*x)) for x in zip(*[batch.column(i).to_pylist()
+                                                  for i in (start_at, end_at)])]
+            items = [set(x) for x in batch.column(items_at).to_pylist()]
+            # One at a time in memory, loaded once a batch; the one held is the first of the next.
+            for k in sorted(range(len(shared)), key=lambda k: k != held) or [None]:
+                if held != k:
+                    reader, held = pickle.loads(shared[k].value), k
+                for start, end in cuts:
+                    part = texts.slice(start, end - start).to_pylist()
+                    for i, text in enumerate(part, start):
+                        words = words_of(text)
+                        counts[i] = len(words)
+                        if reader is not None:
+                            found, holders = reader.hits(words)
+                            spans[i] += found
+                            items[i] |= holders
+            for start, end in cuts:
                 part = batch.slice(start, end - start)
-                columns = {i: part.column(i).to_pylist()
-                           for i in (at, words_at, start_at, end_at, items_at)}
-                words = [words_of(t) for t in columns[at]]
-                spans = [list(zip(*x)) for x in zip(columns[start_at], columns[end_at])]
-                items = [set(x) for x in columns[items_at]]
-                for k, automaton in enumerate(automata):
-                    if held != k:  # one at a time in memory, kept if there is one only
-                        readers[0], held = pickle.loads(automaton.value), k
-                    for i, own in enumerate(words):
-                        found, holders = readers[0].hits(own)
-                        spans[i] += found
-                        items[i] |= holders
-                spans = [united(x) for x in spans]
-                columns[words_at] = [len(x) for x in words]
-                columns[start_at] = [[s for s, _ in x] for x in spans]
-                columns[end_at] = [[e for _, e in x] for x in spans]
-                columns[items_at] = [sorted(x) for x in items]
+                own = [united(x) for x in spans[start:end]]
+                columns = {words_at: counts[start:end],
+                           start_at: [[s for s, _ in x] for x in own],
+                           end_at: [[e for _, e in x] for x in own],
+                           items_at: [sorted(x) for x in items[start:end]]}
                 if cut is not None:
                     columns[at] = [t if not x else without(t, x, cut)
-                                   for t, x in zip(columns[at], spans)]
+                                   for t, x in zip(part.column(at).to_pylist(), own)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[i], arrow.field(i).type) if i in columns
                      else part.column(i).cast(arrow.field(i).type)
@@ -256,17 +284,19 @@ def mark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int
     kinds = ["long", "array<int>", "array<int>", "array<string>"]
     rows = docs.withColumns({n: F.lit(0).cast(k) if k == "long" else F.array().cast(k)
                              for n, k in zip(names, kinds)})
-    made = (pickle.dumps(a) for a in shards(benchmark, window))
+    made = (r["automaton"] for r in shards(spark, benchmark, window).toLocalIterator())
     group = list(itertools.islice(made, SHARDS_AT_ONCE))
     while True:
-        automata = [spark.sparkContext.broadcast(a) for a in group]
+        shared = [spark.sparkContext.broadcast(bytes(a)) for a in group]
         group = list(itertools.islice(made, SHARDS_AT_ONCE))
-        rows = _pass(rows, text_column, names, automata, None if group else cut)
+        rows = _pass(rows, text_column, names, shared, None if group else cut)
         if not group:
             return rows, names
         path = scratch_dir(spark, "decontaminate")
         rows.write.parquet(path)
         rows = spark.read.schema(rows.schema).parquet(path)
+        for automaton in shared:
+            automaton.unpersist()
 
 
 def _hit(names: list[str]):
