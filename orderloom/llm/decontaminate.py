@@ -6,8 +6,9 @@ word the automaton gives the longest run ending there that an item holds. Where
 window (``window`` item words, or a whole shorter item) the words are hit.
 
 No automaton grows with the number of items: a shard holds at most ``SHARD_WORDS`` item words,
-and longer items are cut into overlapping parts that lose no window. Tasks build the shards from
-items dealt over them and store them. ``SHARDS_AT_ONCE`` of them, each broadcast with that bound,
+and longer items are cut into overlapping parts that lose no window. Items are dealt by numbers, of
+which there are as many as their words fill shards, so that the number of partitions adds none.
+Tasks build the shards and store them. ``SHARDS_AT_ONCE`` of them, each broadcast with that bound,
 are read in one pass over the documents, one after another per batch of rows; where there are
 more, the rows go on to the next pass through the shared folder. Hits of several shards are
 united by position. No document is shuffled.
@@ -33,9 +34,9 @@ from .batches import fresh, slices
 
 SHARD_WORDS = 200_000
 SHARDS_AT_ONCE = 8
-# Letters a word has, about; only for the number of tasks that build shards.
-LETTERS = 6
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# The same words before A-Z are lower-cased, as Spark reads them.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
@@ -188,12 +189,15 @@ def automata(items: Iterable[tuple[str, str | None]], window: int, most: int
 def shards(spark: SparkSession, benchmark: DataFrame, window: int, id_column: str = "item_id",
            text_column: str = "text") -> DataFrame:
     """Stored automata of all items, pickled, one a row. Every task packs the items it is dealt;
-    repeated items are one."""
+    repeated items are one. All documents are read for every automaton, so tasks beyond those that
+    the words fill are dealt nothing."""
     items = benchmark.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("id"),
                              F.col(text_column).alias("text")).distinct()
     most = SHARD_WORDS
-    letters = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    tasks = max(1, -(-letters // (LETTERS * most)))
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(RAW_WORD)))).first()[0] or 0
+    # Several are filled to nine tenths on average, so that few run over into a shard more.
+    full = 1 if words <= most else -(-words * 10 // (9 * most))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(full)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (pair for batch in batches for pair in zip(*[c.to_pylist() for c in batch.columns]))
@@ -202,7 +206,8 @@ def shards(spark: SparkSession, benchmark: DataFrame, window: int, id_column: st
                 [pa.array([pickle.dumps(automaton)], pa.binary())], names=["automaton"])
 
     path = scratch_dir(spark, "automata")
-    items.repartition(tasks, "id", "text").mapInArrow(build, "automaton binary").write.parquet(path)
+    dealt.repartition(full, "shard").select("id", "text").mapInArrow(
+        build, "automaton binary").write.parquet(path)
     return spark.read.schema("automaton binary").parquet(path)
 
 

@@ -69,6 +69,23 @@ def test_rows(spark):
     assert clean[0]["items_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_shards_follow_words(spark, monkeypatch):
+    """Neither more partitions nor letters outside words make more shards, nor are items lost."""
+    monkeypatch.setattr(d, "SHARD_WORDS", 100)
+    items = [(str(i), ("Aé-9 %d \U00010400x" % i + " .," * 200)) for i in range(75)]
+    items += [("0", None), (None, "zz"), ("0", items[0][1])]
+    docs = list(enumerate(t for _, t in items[:20]))
+    kind = type(spark.range(1))
+    dealt = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *keys: dealt(
+        self, max(n, 40) if keys else n, *keys))
+    assert d.shards(spark, table(spark, items[:20]), 10).count() == 1
+    # 301 words are 4 shards of nine tenths; hashes deal them unevenly.
+    assert 4 <= d.shards(spark, table(spark, items), 10).count() <= 7
+    got = d.contamination(spark, documents(spark, docs), table(spark, items))
+    assert sorted((tuple(r)[:6] for r in got.collect()), key=repr) == brute(docs, items, 10)
+
+
 def test_passages_are_cut_and_copies_dropped(spark):
     item = "one two three four five six"
     docs = documents(spark, [
